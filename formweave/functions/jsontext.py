@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from formweave.functions.text import strip
 
 # Line ends as universal line splitting knows them.
-_LINE_END = r"\r\n|[\n\x0B\f\r\x1C-\x1E\x85  ]"
+_LINE_END = r"\r\n|[\n\x0B\f\r\x1C-\x1E\x85\u2028\u2029]"
 _STRICT = {"allowSingleQuotes": "false"}
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # The characters counted as white space, the marks that end a
 # sentence and the marks that end a clause. Java's \s knows ASCII only.
 SPACE = (
-    r"[\t\n\x0B\f\r\x1C-\x1F \x85\xA0  -     　]"
+    r"[\t\n\x0B\f\r\x1C-\x1F \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 )
 SENTENCE_END = "[。！？!?]"
 CLAUSE_END = "[，,]"
@@ -57,12 +57,8 @@ def clauses(text: Column) -> Column:
 
 def hard_cut(text: Column, size: int) -> Column:
     """Consecutive pieces of ``size`` characters, the last one shorter."""
-    pieces = F.ceil(F.length(text) / size).cast("int")
-    cut = F.transform(
-        F.sequence(F.lit(0), F.greatest(pieces, F.lit(1)) - 1),
-        lambda i: F.substring(text, i * size + 1, F.lit(size)),
-    )
-    return F.filter(cut, lambda p: p != "")
+    # One pass; substring() would count from the start for every piece.
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
 
 
 def fence(text: Column) -> Column:

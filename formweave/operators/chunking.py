@@ -7,8 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formweave.functions.chunks import packed_paragraphs, semantic_chunks
-from formweave.functions.text import paragraphs
+from formweave.functions.chunks import packed_paragraphs, semantic_chunks, token_windows
+from formweave.functions.text import paragraphs, words
 from formweave.operators.positions import global_position
 
 
@@ -56,6 +56,15 @@ def slice_documents(
     )
 
 
+def retrieval_nodes(
+    docs: DataFrame, key: str, tokenizer=words, size: int = 512, overlap: int = 50
+) -> DataFrame:
+    """(key, id, text) windows for retrieval (R1, W7); a short document stays one node."""
+    tokens = docs.select(key, tokenizer(F.col("text")).alias("__t"))
+    windows = F.transform(token_windows(F.col("__t"), size, overlap), lambda w: F.array_join(w, " "))
+    return chunks_per_document(tokens, windows, [key])
+
+
 def semantic(max_len: int = 1000, separator: str | None = None, **rules) -> Callable[[Column], Column]:
     return lambda text: document_chunks(text, max_len, separator, **rules)
 

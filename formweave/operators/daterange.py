@@ -24,8 +24,15 @@ def ranges_of_documents(docs: DataFrame, key: str, text: str = "text") -> DataFr
 
     Row-wise: each document is one row, so nothing is shuffled.
     """
-    found = date_range(date_literals(F.col(text)))
-    return docs.select(key, found.alias("r")).select(key, "r.*", _status(F.col("r.n_literals")).alias("status"))
+    found = docs.select(key, date_literals(F.col(text)).alias("__found"))
+    r = date_range(F.col("__found"))
+    return found.select(
+        key,
+        r["n_literals"].alias("n_literals"),
+        r["start_date"].alias("start_date"),
+        r["end_date"].alias("end_date"),
+        _status(r["n_literals"]).alias("status"),
+    )
 
 
 def ranges_of_lines(lines: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -35,10 +42,10 @@ def ranges_of_lines(lines: DataFrame, key: str, text: str = "text") -> DataFrame
     deduplicated map-side before the shuffle, which keeps a document with very
     many lines as cheap as its distinct literals.
     """
-    found = lines.select(key, F.explode(date_literals(F.col(text))).alias("x")).select(key, "x.*")
+    found = lines.select(key, F.explode_outer(date_literals(F.col(text))).alias("x")).select(key, "x.*")
     distinct = found.groupBy(key, "literal").agg(F.first("day").alias("day"))
     per_doc = distinct.groupBy(key).agg(
-        F.count("*").cast("int").alias("n_literals"), F.min("day").alias("lo"), F.max("day").alias("hi")
+        F.count("literal").cast("int").alias("n_literals"), F.min("day").alias("lo"), F.max("day").alias("hi")
     )
     enough = F.col("n_literals") >= 2
     return per_doc.select(

@@ -152,7 +152,9 @@ def extract_records(
     """
     found = (extractor or rule_extractor(fields))(F.col(text))
     rest = [c for c in chunks.columns if c != text]
-    records = chunks.filter(F.col(text).isNotNull()).select(*rest, found.alias("record"))
+    # Exploding a one-item array computes the record once: as a plain column
+    # the optimizer would copy the extractor into every field and filter.
+    records = chunks.filter(F.col(text).isNotNull()).select(*rest, F.explode(F.array(found)).alias("record"))
     records = conform(records.filter(F.col("record").isNotNull()), fields)
     if REGION_FIELD in fields and CONTINENT_FIELD in fields:
         records = default_from_list(

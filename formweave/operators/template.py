@@ -24,10 +24,14 @@ def clean_header(names: Sequence[str | None]) -> list[str]:
 
 @dataclass(frozen=True)
 class Projection:
-    """A table cut to a template; ``table`` is None when no column matches."""
+    """A table cut to a template; ``table`` is None when no column matches.
+
+    ``columns`` pairs each kept column's raw name with its stripped one.
+    """
 
     table: DataFrame | None
     missing: list[str]
+    columns: list[tuple[str, str]]
 
 
 def project(df: DataFrame, template: Sequence[str]) -> Projection:
@@ -38,12 +42,9 @@ def project(df: DataFrame, template: Sequence[str]) -> Projection:
     wanted = clean_header(template)
     present = {c.strip(): c for c in reversed(df.columns)}
     missing = [w for w in wanted if w not in present]
-    kept = [
-        df[_quoted(raw)].alias(name)
-        for raw, name in ((c, c.strip()) for c in df.columns)
-        if name in wanted and present[name] == raw
-    ]
-    return Projection(df.select(*kept) if kept else None, missing)
+    kept = [(c, c.strip()) for c in df.columns if c.strip() in wanted and present[c.strip()] == c]
+    table = df.select(*[df[_quoted(raw)].alias(name) for raw, name in kept]) if kept else None
+    return Projection(table, missing, kept)
 
 
 def _quoted(name: str) -> str:
@@ -72,6 +73,11 @@ def all_strings(df: DataFrame) -> DataFrame:
     return df.select(*[_as_text(df[_quoted(f.name)], f.dataType).alias(f.name) for f in df.schema.fields])
 
 
+def as_text(df: DataFrame, name: str) -> Column:
+    """One column as all_strings() would write it."""
+    return _as_text(df[_quoted(name)], df.schema[name].dataType)
+
+
 def _as_text(value: Column, kind: T.DataType) -> Column:
     text = value.cast("string")
     if not isinstance(kind, (T.DoubleType, T.FloatType)):
@@ -159,10 +165,19 @@ def _or_null(df: DataFrame, name: str) -> Column:
     return df[_quoted(name)].cast("string") if name in df.columns else F.lit(None).cast("string")
 
 
-def template_object(fields: Sequence[str]) -> Column:
-    """The empty template as a JSON object (K7)."""
-    names = F.array(*[F.lit(f) for f in fields])
-    return F.to_json(F.map_from_arrays(names, F.array_repeat(F.lit(""), len(fields))))
+def empty_template(header: Column) -> Column:
+    """A header array as the empty JSON template {name: ""} (K7)."""
+    return F.to_json(F.map_from_arrays(header, F.array_repeat(F.lit(""), F.size(header))))
+
+
+def present_fields(record: Column, fields: Sequence[str]) -> Column:
+    """Template fields a map record holds, in template order."""
+    return F.array_intersect(F.array(*[F.lit(f) for f in fields]), F.map_keys(record))
+
+
+def missing_fields(record: Column, fields: Sequence[str]) -> Column:
+    """Template fields a map record lacks."""
+    return F.array_except(F.array(*[F.lit(f) for f in fields]), F.map_keys(record))
 
 
 def fill_many(
