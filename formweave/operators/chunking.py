@@ -34,8 +34,10 @@ def numbered_chunks(
     Documents are range-partitioned by key, so each task numbers a stretch of
     documents; no task sees all chunks.
     """
-    carried = docs.select(*key, chunks.alias("__chunks"))
-    return global_position(carried, key, name, explode=("__chunks", item))
+    def cut(sorted_docs: DataFrame) -> DataFrame:
+        return sorted_docs.select(*key, F.explode(chunks).alias(item))
+
+    return global_position(docs, key, name, narrow=cut)
 
 
 def slice_documents(

@@ -8,7 +8,7 @@ rows, and adds the size of the stretches before it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,23 +29,22 @@ def global_position(
     order: Sequence[str],
     name: str = "pos",
     start: int = 1,
-    explode: tuple[str, str] | None = None,
+    narrow: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Number all rows 1..N in the order of ``order`` columns.
 
-    ``order`` must be unique for the numbering to be repeatable. With
-    ``explode=(array_column, item_name)`` the rows are sorted first and each
-    array item then becomes a numbered row, so items never need sorting.
+    ``order`` must be unique for the numbering to be repeatable. ``narrow`` is
+    row-wise work (projecting, filtering, exploding) to do on the sorted rows
+    before they are numbered. Costly work belongs there: what comes before the
+    range shuffle runs twice, once for the sample that sets its bounds.
 
     One range shuffle and one written copy. The copy matters: the counting
     pass and the numbering pass must see the same partition boundaries.
     """
     keys = [F.col(c) for c in order]
     stretched = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    if explode is not None:
-        array, item = explode
-        kept = [c for c in df.columns if c != array]
-        stretched = stretched.select(*kept, F.explode(array).alias(item))
+    if narrow is not None:
+        stretched = narrow(stretched)
     marked = materialise(stretched.withColumn(_MARK, F.monotonically_increasing_id()))
 
     marked = marked.withColumn(_STRETCH, F.shiftright(_MARK, _ROW_BITS))

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formweave.operators import template as T
-from formweave.operators.daterange import filter_by_range
+from formweave.operators.chunking import document_chunks, numbered_chunks
+from formweave.operators.daterange import filter_by_range, ranges_of_documents, require_range
 from formweave.operators.extract import Extractor, extract_records, rule_extractor
 from formweave.operators.positions import global_position
+from formweave.operators.status import DONE
+from formweave.session import materialise
+from formweave.sources.files import convert_folder, only_file, read_texts
+from formweave.sources.workbook import filter_rows, read_workbooks, records
 
 
 def table_records(
@@ -42,7 +47,9 @@ def prose_records(
 ) -> DataFrame:
     """Prose branch: chunks to records of the template's fields."""
     carried = chunks.select(F.struct(*key).alias("__order"), F.col(text).alias("text"))
-    return extract_records(carried, fields, extractor)
+    # Written before it is ordered: extraction is the dear part, and records
+    # are far smaller than their texts.
+    return materialise(extract_records(carried, fields, extractor))
 
 
 def ordered_union(branches: Sequence[DataFrame]) -> DataFrame:
@@ -59,6 +66,61 @@ def ordered_union(branches: Sequence[DataFrame]) -> DataFrame:
     return global_position(T.union_records(keyed), order).drop(*order)
 
 
+def workbook_records(
+    rows: DataFrame, request: DataFrame, fields: Sequence[str], inclusive_day: bool = False
+) -> DataFrame:
+    """Structured branch for workbook rows of any headers (G1).
+
+    Rows go through the sheets' own headers as maps, so sheets of different
+    shapes need no plan each. Sheets sharing no field with the template drop
+    out; absent fields stay null and so keep the template's cells.
+    """
+    maps = records(filter_rows(rows, request, inclusive_day))
+    shared = F.arrays_overlap(F.map_keys("record"), F.array(*[F.lit(f) for f in fields]))
+    return maps.filter(shared).select(
+        F.struct("path", "sheet_idx", "row_idx").alias("__order"),
+        *[F.element_at("record", F.lit(f)).alias(f) for f in fields],
+    )
+
+
+def fill_from_folders(
+    spark: SparkSession,
+    request_folder: str,
+    data_folder: str,
+    template_folder: str,
+    max_len: int = 1000,
+    extractor: Extractor | None = None,
+    kinds: dict[str, str] | None = None,
+) -> DataFrame:
+    """The whole job over folders: request text, mixed documents, one template book.
+
+    Gives ``pos`` and the template's columns. Only the template's header comes
+    to the driver.
+    """
+    request = require_range(
+        ranges_of_documents(only_file(read_texts(spark, request_folder), "request"), "path")
+    )
+    sheet = materialise(only_file(read_workbooks(spark, template_folder, sheet=0), "template"))
+    header = sheet.select("header").first()["header"]
+    fields = [h.strip() for h in header if not h.startswith("Unnamed: ")]
+    template = sheet.filter(F.col("cells").isNotNull()).select(
+        (F.col("row_idx")).cast("long").alias("pos"),
+        *[F.get("cells", F.lit(header.index(h))).alias(h.strip()) for h in header if h.strip() in fields],
+    )
+
+    docs = convert_folder(spark, data_folder)
+    chunks = numbered_chunks(
+        docs.filter(F.col("status") == DONE).select("source", F.col("markdown").alias("text")),
+        document_chunks(F.col("text"), max_len),
+        ["source"],
+    )
+    branches = [
+        workbook_records(read_workbooks(spark, data_folder), request, fields),
+        prose_records(chunks, fields, ["id"], extractor or rule_extractor(fields, kinds)),
+    ]
+    return T.overlay(template, ordered_union(branches), fields)
+
+
 def fill_template(
     request: DataFrame,
     table: DataFrame,
