@@ -5,52 +5,63 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The digits that count as digits in a literal, and how each
-# accepted literal form is written down as year, month, day groups.
+from formweave.functions.binding import let
+
+# The digits that count as digits in a literal, and per accepted
+# literal form its pattern between digit boundaries, a character it must hold,
+# and the order of its groups in ISO form (None: already year, month, day).
 WIDE_DIGITS = "０１２３４５６７８９"
 ASCII_DIGITS = "0123456789"
 _D = "[0-9０-９]"
 LITERAL_FORMS = [
-    # (pattern between digit boundaries, ISO rewrite of its three groups)
-    (f"({_D}{{4}})-({_D}{{1,2}})-({_D}{{1,2}})", "$1-$2-$3"),
-    (f"({_D}{{4}})/({_D}{{1,2}})/({_D}{{1,2}})", "$1-$2-$3"),
-    (f"({_D}{{1,2}})-({_D}{{1,2}})-({_D}{{4}})", "$3-$1-$2"),
-    (f"({_D}{{1,2}})/({_D}{{1,2}})/({_D}{{4}})", "$3-$1-$2"),
-    (f"({_D}{{4}})年({_D}{{1,2}})月({_D}{{1,2}})日", "$1-$2-$3"),
-    (f"({_D}{{1,2}})\\.({_D}{{1,2}})\\.({_D}{{4}})", "$3-$2-$1"),
+    (f"({_D}{{4}})-({_D}{{1,2}})-({_D}{{1,2}})", "-", None),
+    (f"({_D}{{4}})/({_D}{{1,2}})/({_D}{{1,2}})", "/", None),
+    (f"({_D}{{1,2}})-({_D}{{1,2}})-({_D}{{4}})", "-", "$3-$1-$2"),
+    (f"({_D}{{1,2}})/({_D}{{1,2}})/({_D}{{4}})", "/", "$3-$1-$2"),
+    (f"({_D}{{4}})年({_D}{{1,2}})月({_D}{{1,2}})日", "年", None),
+    (f"({_D}{{1,2}})\\.({_D}{{1,2}})\\.({_D}{{4}})", ".", "$3-$2-$1"),
 ]
+# Unbroken runs of the characters literals consist of. A literal and the digits
+# that could bound it lie in one run; the shortest literal has 8 characters.
+_RUN = "[0-9０-９/.年月日-]{8,}"
 
 
-def _iso_to_date(iso: Column) -> Column:
-    """Cast y-m-d text to a date; impossible days and year 0 become null.
+def _to_date(literal: Column, pattern: str, order: str | None) -> Column:
+    """A literal as a date; null for a day that does not exist.
 
-    A cast is used rather than a format: a failed format parse costs a Java
-    exception per value, a failed cast mostly does not.
+    The literal is brought to y-m-d and cast: a failed format parse costs a
+    Java exception per value, a failed cast mostly does not.
     """
-    ascii_iso = F.translate(iso, WIDE_DIGITS, ASCII_DIGITS)
-    return F.when(~ascii_iso.startswith("0000"), ascii_iso.try_cast("date"))
+    iso = literal if order is None else F.regexp_replace(literal, f"^{pattern}$", order)
+    # 日 has no counterpart and is dropped.
+    return F.translate(iso, WIDE_DIGITS + "/年月日", ASCII_DIGITS + "---").try_cast("date")
 
 
-def _literals_of_form(text: Column, pattern: str, iso: str) -> Column:
+def _literals_of_form(runs: Column, pattern: str, mark: str, order: str | None) -> Column:
     bounded = f"(?<!{_D}){pattern}(?!{_D})"
-    return F.transform(
-        F.regexp_extract_all(text, F.lit(bounded), F.lit(0)),
-        lambda s: F.struct(
-            s.alias("literal"), _iso_to_date(F.regexp_replace(s, f"^{pattern}$", iso)).alias("day")
-        ),
+    found = F.transform(
+        F.regexp_extract_all(runs, F.lit(bounded), F.lit(0)),
+        lambda s: F.struct(s.alias("literal"), _to_date(s, pattern, order).alias("day")),
     )
+    none = F.array().cast("array<struct<literal:string,day:date>>")
+    return F.when(runs.contains(mark), found).otherwise(none)
 
 
 def date_literals(text: Column) -> Column:
     """All date literals of a text: array<struct<literal string, day date>> (F1, F2).
 
-    Six forms, each bounded by non-digits. Literals naming no real day are
-    dropped. Every literal is parsed by the form that found it.
+    Six forms, each bounded by non-digits. Literals naming no real day, or
+    year 0, are dropped. Every literal is parsed by the form that found it. One
+    cheap scan picks the runs that may hold literals; the forms see only those.
     """
-    found = [_literals_of_form(text, pattern, iso) for pattern, iso in LITERAL_FORMS]
-    every = F.filter(F.concat(*found), lambda x: x["day"].isNotNull())
-    # Texts with no run of four digits hold no literal: skip six scans.
-    return F.when(text.rlike(f"{_D}{{4}}"), every).otherwise(F.slice(every, 1, 0))
+    runs = F.array_join(F.regexp_extract_all(text, F.lit(_RUN), F.lit(0)), " ")
+    return let(
+        runs,
+        lambda r: F.filter(
+            F.concat(*[_literals_of_form(r, *form) for form in LITERAL_FORMS]),
+            lambda x: x["day"] >= F.lit("0001-01-01").cast("date"),
+        ),
+    )
 
 
 def parse_date(value: Column) -> Column:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from formweave.functions.binding import let
+
 # Scale words, zero-report phrases and currency words.
 SCALES = {"万亿": 10**12, "亿": 10**8, "万": 10**4}
 ZERO_REPORTS = ["全零报告", "无新增", "零新增"]
@@ -14,30 +19,38 @@ NUMBER = r"-?[0-9][0-9,]*(?:\.[0-9]+)?"
 SCALED_NUMBER = rf"({NUMBER})\s*(万亿|亿|万)?"
 
 
+def _digits(number: Column) -> Column:
+    """A matched SCALED_NUMBER as plain digits; '' for ''."""
+    value = F.translate(F.regexp_extract(number, NUMBER, 0), ",", "").try_cast("decimal(24,8)")
+    factors = F.create_map(*[F.lit(x) for pair in {**SCALES, "": 1}.items() for x in pair])
+    factor = F.element_at(factors, F.regexp_extract(number, "(万亿|亿|万)$", 1)).cast("decimal(13,0)")
+    # The product always shows decimals, so trailing zeros are decimals.
+    trimmed = F.rtrim(F.rtrim((value * factor).cast("string"), F.lit("0")), F.lit("."))
+    return F.coalesce(trimmed, F.lit(""))
+
+
+def is_zero_report(text: Column) -> Column:
+    return reduce(or_, [text.contains(words) for words in ZERO_REPORTS])
+
+
 def plain_number(text: Column) -> Column:
     """The first number of a text as plain digits, or '' (F16, F17).
 
     Units, thousands commas and words such as 约 fall away; scale words
     multiply; a zero report is '0'.
     """
-    digits = F.regexp_extract(text, SCALED_NUMBER, 1)
-    scale = F.regexp_extract(text, SCALED_NUMBER, 2)
-    value = F.regexp_replace(digits, ",", "").try_cast("decimal(24,8)")
-    factor = F.lit(1)
-    for word, size in SCALES.items():
-        factor = F.when(scale == word, F.lit(size)).otherwise(factor)
-    scaled = (value * factor.cast("decimal(13,0)")).cast("string")
-    short = F.regexp_replace(F.regexp_replace(scaled, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
-    number = F.when(digits == "", F.lit("")).otherwise(F.coalesce(short, F.lit("")))
-    return F.when(text.rlike("|".join(ZERO_REPORTS)), F.lit("0")).otherwise(number)
+    number = let(F.regexp_extract(text, SCALED_NUMBER, 0), _digits)
+    return F.when(is_zero_report(text), F.lit("0")).otherwise(number)
 
 
-def amount(text: Column) -> Column:
-    """The first amount of money in the basic unit, or '' (F26)."""
-    found = F.regexp_extract(text, rf"{SCALED_NUMBER}\s*(?:{CURRENCY})", 0)
-    return F.when(found == "", F.lit("")).otherwise(plain_number(found))
+_AMOUNT = rf"{NUMBER}\s*(?:万亿|亿|万)?\s*(?:{CURRENCY})"
 
 
 def amounts(text: Column) -> Column:
     """All amounts of money as written."""
-    return F.regexp_extract_all(text, F.lit(rf"{NUMBER}\s*(?:万亿|亿|万)?\s*(?:{CURRENCY})"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(_AMOUNT), F.lit(0))
+
+
+def amount(text: Column) -> Column:
+    """The first amount of money in the basic unit, or '' (F26)."""
+    return let(F.regexp_extract(text, f"({SCALED_NUMBER})\\s*(?:{CURRENCY})", 1), _digits)

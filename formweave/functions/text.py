@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters counted as white space, the marks that end a
-# sentence and the marks that end a clause. Java's \s knows ASCII only.
-SPACE = (
-    r"[\t\n\x0B\f\r\x1C-\x1F \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
-)
+# The characters counted as white space (all scripts', and the
+# four separators Java leaves out), the marks that end a sentence and those that
+# end a clause.
+SPACE = r"(?U:[\s\x1C-\x1F])"
+NON_SPACE = r"(?U:[^\s\x1C-\x1F])"
 SENTENCE_END = "[。！？!?]"
 CLAUSE_END = "[，,]"
 
@@ -22,7 +22,7 @@ def strip(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return ~text.rlike(SPACE.replace("[", "[^", 1))
+    return ~text.rlike(NON_SPACE)
 
 
 def drop_blank(items: Column) -> Column:
@@ -131,7 +131,7 @@ def divider(width: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Tokens between white space."""
-    return F.filter(F.split(text, f"{SPACE}+"), lambda t: t != "")
+    return F.array_remove(F.split(text, f"{SPACE}+"), "")
 
 
 # Fixed value: the block of common Han characters.

@@ -8,9 +8,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formweave.functions.dates import date_literals, iso_date
+from formweave.functions.binding import let
+from formweave.functions.dates import iso_date, parse_date
 from formweave.functions.jsontext import parse_object, strip_fence
-from formweave.functions.numbers import NUMBER, SCALED_NUMBER, ZERO_REPORTS, plain_number
+from formweave.functions.numbers import NUMBER, SCALED_NUMBER, ZERO_REPORTS, is_zero_report, plain_number
 from formweave.functions.text import strip, unbold
 from formweave.operators.daterange import DATE_NAME
 from formweave.operators.template import conform, keep_filled
@@ -42,7 +43,9 @@ def rule_extractor(fields: Sequence[str], kinds: dict[str, str] | None = None) -
     kinds = kinds or {}
 
     def extract(text: Column) -> Column:
-        plain = unbold(text)
+        return let(unbold(text), lambda plain: rules(text, plain))
+
+    def rules(text: Column, plain: Column) -> Column:
         pairs = []
         for field in fields:
             kind = kinds.get(field) or _kind_of(field)
@@ -62,34 +65,46 @@ def _literal(name: str) -> str:
     return re.sub(r"([^\w])", r"\\\1", name)
 
 
+def _if_named(field: str, plain: Column, found: Column) -> Column:
+    """'' without searching when the text does not name the field."""
+    return F.when(plain.contains(field), found).otherwise(F.lit(""))
+
+
 def _labelled(field: str, plain: Column) -> Column:
-    return strip(F.regexp_extract(plain, rf"{_literal(field)}\s*[:：]\s*([^;；,，。\n]+)", 1))
+    value = F.regexp_extract(plain, rf"{_literal(field)}\s*[:：]\s*([^;；,，。\n]+)", 1)
+    return _if_named(field, plain, strip(value))
 
 
 def _number(field: str, text: Column, plain: Column) -> Column:
     near = rf"{_literal(field)}[^0-9;；,，。\n-]{{0,12}}({SCALED_NUMBER})"
-    return plain_number(F.regexp_extract(plain, near, 1))
+    return _if_named(field, plain, plain_number(F.regexp_extract(plain, near, 1)))
 
 
 def _count(field: str, text: Column, plain: Column) -> Column:
-    found = _number(field, text, plain)
-    zero = plain.rlike("|".join(ZERO_REPORTS))
-    return F.when((found == "") & zero, F.lit("0")).otherwise(found)
+    return let(
+        _number(field, text, plain),
+        lambda n: F.when((n == "") & is_zero_report(plain), F.lit("0")).otherwise(n),
+    )
 
 
 def _date(field: str, text: Column, plain: Column) -> Column:
+    """The first date after the field's name, else the first of the text."""
     after = F.regexp_extract(plain, rf"(?s){_literal(field)}(.*)", 1)
-    day = F.coalesce(
-        F.get(date_literals(after), F.lit(0))["day"], F.get(date_literals(plain), F.lit(0))["day"]
-    )
-    return F.coalesce(iso_date(day), F.lit(""))
+    named = F.when(plain.contains(field), parse_date(after))
+    return F.coalesce(iso_date(F.coalesce(named, parse_date(plain))), F.lit(""))
 
 
 def _region(field: str, text: Column, plain: Column) -> Column:
-    listed = F.regexp_extract(plain, f"({'|'.join(CHINESE_PROVINCES)})", 1)
+    """A listed region, else the labelled value, else the first bold text."""
+    may_list = plain.contains("省") | plain.contains("市") | plain.contains("区")
+    listed = F.regexp_extract(plain, "|".join(CHINESE_PROVINCES), 0)
     bold = F.regexp_extract(text, r"\*\*(.+?)\*\*", 1)
-    return F.when(listed != "", listed).otherwise(
-        F.when(_labelled(field, plain) != "", _labelled(field, plain)).otherwise(bold)
+    found = F.when(may_list, listed)
+    return let(
+        found,
+        lambda x: F.when(x != "", x).otherwise(
+            let(_labelled(field, plain), lambda y: F.when(y != "", y).otherwise(bold))
+        ),
     )
 
 
@@ -103,7 +118,8 @@ def _any(field: str, text: Column, plain: Column) -> Column:
     numeric = F.regexp_extract(
         plain, rf"{_literal(field)}\s*[:：]?\s*((?:约|近|逾|超过)?\s*{NUMBER}\s*(?:万亿|亿|万)?)(?![0-9-])", 1
     )
-    return F.when(numeric != "", plain_number(numeric)).otherwise(_labelled(field, plain))
+    value = let(numeric, lambda n: F.when(n != "", plain_number(n)).otherwise(_labelled(field, plain)))
+    return _if_named(field, plain, value)
 
 
 _RULES = {

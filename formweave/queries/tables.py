@@ -23,7 +23,8 @@ from formweave.operators.daterange import (
     ranges_of_lines,
     require_range,
 )
-from formweave.operators.positions import first_occurrence, global_position, top_k
+from formweave.operators.positions import first_occurrence, global_position
+from formweave.sources.tables import read_table
 
 REQUEST = "请汇总 1996-03-01 至 1997/2/28 的订单"
 REQUEST_EVENTS = "events from 1/5/2024 until 12.01.2024 please"
@@ -34,8 +35,8 @@ MAX_LEN, SHORT_LEN = 1000, 120
 ORDER_FIELDS = ["o_orderkey", "o_orderdate", "o_totalprice", "o_clerk"]
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+def table(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
+    return read_table(spark, f"{sf}/{name}.parquet", spread)
 
 
 def joined(items: Column) -> Column:
@@ -58,7 +59,7 @@ def _written(day: Column, number: Column) -> Column:
 
 def _order_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Each order as prose: two dates, an impossible day and a long number."""
-    o = table(spark, sf, "orders")
+    o = table(spark, sf, "orders", spread=True)
     due = F.date_add(F.col("o_orderdate").cast("date"), 30)
     text = F.concat(
         F.lit("ordered "), _written(F.col("o_orderdate"), F.col("o_orderkey")),
@@ -81,7 +82,7 @@ def request_ranges(spark: SparkSession, sf: str) -> DataFrame:
 
 def doc_date_range(spark: SparkSession, sf: str) -> DataFrame:
     """Documents given line by line: one line per item, one per order."""
-    items = table(spark, sf, "lineitem").select(
+    items = table(spark, sf, "lineitem", spread=True).select(
         F.col("l_orderkey").alias("doc"),
         F.concat(F.lit("shipped "), _written(F.col("l_shipdate"), F.col("l_linenumber"))).alias("text"),
     )
@@ -234,7 +235,7 @@ def path_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return table(spark, sf, "documents", spread=True).select("doc_id", "text")
 
 
 def _parts(spark: SparkSession, sf: str, parts: Column) -> DataFrame:
@@ -279,7 +280,7 @@ def token_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def slice_documents(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = _docs(spark, sf)
     source = F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".docx"))
     chunks = C.semantic_chunks(F.col("text"), MAX_LEN)
     sliced = chunking.slice_documents(docs, source, chunks, MAX_LEN)
@@ -445,7 +446,7 @@ RECORD_FIELDS = ["kind", "金额", "日期", extract.REGION_FIELD, extract.CONTI
 
 def _event_prose(spark: SparkSession, sf: str) -> DataFrame:
     """Events as sentences a rule can read back."""
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events", spread=True)
     text = F.concat(
         F.lit("kind: "), F.col("event_type"), F.lit("; 金额约 "),
         F.format_number("value", 2), F.lit(" 万元; 日期 "), F.date_format("ts", "yyyy/M/d"),
@@ -494,7 +495,7 @@ def entity_pool(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _index(spark: SparkSession, sf: str) -> bm25.TermIndex:
-    return bm25.build_index(table(spark, sf, "documents"), node="doc_id")
+    return bm25.build_index(_docs(spark, sf), node="doc_id")
 
 
 def _text_queries(spark: SparkSession, sf: str) -> DataFrame:
