@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formweave.functions.text import divider, join_cells
+from formweave.session import materialise
+
+PART_ROWS = 10_000
+# Fixed value: the most rows a sheet can have.
+SHEET_ROWS = 1_048_576
 
 
 def drop_empty_rows(rows: DataFrame) -> DataFrame:
@@ -23,8 +28,12 @@ def markdown_lines(rows: DataFrame, sheet: Sequence[str]) -> DataFrame:
     sheet's rows need not meet in one task.
     """
     kept = drop_empty_rows(rows)
-    facts = kept.groupBy(*sheet).agg(
-        F.min("row_idx").alias("__head"), F.max(F.size("cells")).alias("__width")
+    # One row per sheet; written, so that the planner knows its size and only
+    # shuffles the rows when there are too many sheets to broadcast.
+    facts = materialise(
+        kept.groupBy(*sheet).agg(
+            F.min("row_idx").alias("__head"), F.max(F.size("cells")).alias("__width")
+        )
     )
     joined = kept.join(facts, list(sheet))
     padded = F.concat("cells", F.array_repeat(F.lit(None).cast("string"), F.col("__width") - F.size("cells")))
@@ -41,27 +50,29 @@ def markdown_lines(rows: DataFrame, sheet: Sequence[str]) -> DataFrame:
     return joined.select(*sheet, F.inline(lines))
 
 
-def markdown_tables(rows: DataFrame, sheet: Sequence[str]) -> DataFrame:
-    """(sheet keys, markdown): one table text per sheet.
+def markdown_tables(rows: DataFrame, sheet: Sequence[str], part_rows: int = PART_ROWS) -> DataFrame:
+    """(sheet keys, part, markdown): the table text of each sheet.
 
-    One value per sheet is the feature; the format bounds a sheet at 1,048,576
-    rows, so does this group. Use markdown_lines for tables of any size.
+    A sheet longer than ``part_rows`` comes as several parts in order, so that
+    no text and no group grows with the sheet.
     """
     lines = markdown_lines(rows, sheet)
+    part = F.floor(F.col("line_no") / (2 * part_rows)).alias("part")
     ordered = F.transform(
         F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]
     )
-    return lines.groupBy(*sheet).agg(F.array_join(ordered, "\n").alias("markdown"))
+    return lines.groupBy(*sheet, part).agg(F.array_join(ordered, "\n").alias("markdown"))
 
 
 def workbook_markdown(rows: DataFrame) -> DataFrame:
     """(path, markdown): every sheet of every workbook, sheets in book order.
 
     ``rows``: path, sheet, sheet_idx, row_idx, cells; an empty sheet is one row
-    with null cells and yields a notice.
+    with null cells and yields a notice. A workbook was one file in one task
+    to begin with, so its text is bounded too.
     """
     keys = ["path", "sheet_idx", "sheet"]
-    tables = markdown_tables(rows, keys)
+    tables = markdown_tables(rows, keys, SHEET_ROWS)
     sheets = rows.select(*keys).distinct()
     title = F.concat(F.lit("<!-- 工作表: "), F.col("sheet"), F.lit(" -->\n"))
     part = F.when(
@@ -78,9 +89,3 @@ def header_rows(rows: DataFrame, sheet: Sequence[str]) -> DataFrame:
     """The first non-empty row of each sheet."""
     packed = F.min_by(F.col("cells"), F.col("row_idx")).alias("header")
     return drop_empty_rows(rows).groupBy(*sheet).agg(packed)
-
-
-def running_lines(lines: DataFrame, sheet: Sequence[str]) -> DataFrame:
-    """Lines renumbered 1..n inside each sheet."""
-    place = F.row_number().over(Window.partitionBy(*sheet).orderBy("line_no"))
-    return lines.withColumn("line_no", place)

@@ -14,8 +14,8 @@ from formweave.operators.extract import Extractor, extract_records, rule_extract
 from formweave.operators.positions import global_position
 from formweave.operators.status import DONE
 from formweave.session import materialise
-from formweave.sources.files import convert_folder, only_file, read_texts
-from formweave.sources.workbook import filter_rows, read_workbooks, records
+from formweave.sources.files import convert_folder, only_file, scan_files, texts_of
+from formweave.sources.workbook import WORKBOOK_SUFFIXES, decode_workbooks, filter_rows, records
 
 
 def table_records(
@@ -97,17 +97,12 @@ def fill_from_folders(
     Gives ``pos`` and the template's columns. Only the template's header comes
     to the driver.
     """
-    request = require_range(
-        ranges_of_documents(only_file(read_texts(spark, request_folder), "request"), "path")
-    )
-    sheet = materialise(only_file(read_workbooks(spark, template_folder, sheet=0), "template"))
-    header = sheet.select("header").first()["header"]
-    fields = [h.strip() for h in header if not h.startswith("Unnamed: ")]
-    template = sheet.filter(F.col("cells").isNotNull()).select(
-        (F.col("row_idx")).cast("long").alias("pos"),
-        *[F.get("cells", F.lit(header.index(h))).alias(h.strip()) for h in header if h.strip() in fields],
-    )
+    asked = texts_of(only_file(scan_files(spark, request_folder, (".txt",)), "request"))
+    request = require_range(ranges_of_documents(asked, "path"))
+    header, template = template_sheet(spark, template_folder)
+    fields = T.clean_header(header)
 
+    books = scan_files(spark, data_folder, WORKBOOK_SUFFIXES)
     docs = convert_folder(spark, data_folder)
     chunks = numbered_chunks(
         docs.filter(F.col("status") == DONE).select("source", F.col("markdown").alias("text")),
@@ -115,10 +110,33 @@ def fill_from_folders(
         ["source"],
     )
     branches = [
-        workbook_records(read_workbooks(spark, data_folder), request, fields),
+        workbook_records(decode_workbooks(books), request, fields),
         prose_records(chunks, fields, ["id"], extractor or rule_extractor(fields, kinds)),
     ]
-    return T.overlay(template, ordered_union(branches), fields)
+    return T.overlay(template, ordered_union(branches), header)
+
+
+def template_sheet(
+    spark: SparkSession, folder: str, header_row: int = 0, start_row: int = 1
+) -> tuple[list[str | None], DataFrame]:
+    """Header cells and numbered rows of the folder's only workbook.
+
+    The header stays as it is, gaps and repeats included; the first data row
+    has ``pos`` 1.
+    """
+    book = only_file(scan_files(spark, folder, WORKBOOK_SUFFIXES), "template")
+    sheet = materialise(decode_workbooks(book, sheet=0, header_row=-1))
+    top = sheet.filter(F.col("row_idx") == header_row).select("cells").first()
+    if top is None or not top["cells"]:
+        raise ValueError(f"the template has no header in row {header_row}")
+    header = [h.strip() if h is not None and h.strip() else None for h in top["cells"]]
+    named = [i for i, h in enumerate(header) if h is not None]
+    columns = [column for column, _ in T.header_columns(header)]
+    rows = sheet.filter((F.col("row_idx") >= start_row) & F.col("cells").isNotNull())
+    return header, rows.select(
+        (F.col("row_idx") - start_row + 1).cast("long").alias("pos"),
+        *[F.get("cells", F.lit(i)).alias(c) for i, c in zip(named, columns)],
+    )
 
 
 def fill_template(

@@ -188,12 +188,12 @@ MD_LINES = f"""
   SELECT * FROM body UNION ALL SELECT * FROM rule"""
 
 MD_TABLES = """
-  WITH place AS (SELECT l_orderkey AS sheet, l_partkey * 1000000 + l_suppkey * 1000 + l_linenumber AS row_idx,
+  WITH place AS (SELECT l_orderkey AS sheet, l_partkey AS p, l_suppkey AS s, l_linenumber AS l,
       min({'a': l_returnflag, 'b': l_linenumber::VARCHAR, 'c': l_partkey::VARCHAR}) AS x FROM lineitem GROUP BY ALL),
-  n AS (SELECT *, row_number() OVER (PARTITION BY sheet ORDER BY row_idx) AS rn FROM place)
-  SELECT sheet, string_agg(concat('| ', x.a, ' | ', x.b, ' | ', x.c, ' |',
+  n AS (SELECT *, row_number() OVER (PARTITION BY sheet ORDER BY p, s, l) AS rn FROM place)
+  SELECT sheet, (rn // 10000)::BIGINT AS part, string_agg(concat('| ', x.a, ' | ', x.b, ' | ', x.c, ' |',
       CASE WHEN rn = 1 THEN concat(chr(10), '| --- | --- | --- |') ELSE '' END), chr(10) ORDER BY rn) AS markdown
-  FROM n GROUP BY sheet"""
+  FROM n GROUP BY sheet, part"""
 
 NUMBER_UNITS = """
   SELECT c_custkey, CASE c_custkey % 6

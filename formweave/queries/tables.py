@@ -23,7 +23,7 @@ from formweave.operators.daterange import (
     ranges_of_lines,
     require_range,
 )
-from formweave.operators.positions import first_occurrence, global_position
+from formweave.operators.positions import first_occurrence, global_position, global_rank
 from formweave.sources.tables import read_table
 
 REQUEST = "请汇总 1996-03-01 至 1997/2/28 的订单"
@@ -337,9 +337,11 @@ def markdown_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Each order's items as a Markdown table."""
     i = table(spark, sf, "lineitem")
     cells = F.array("l_returnflag", F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"))
-    # Line numbers repeat within an order; the packed number orders the rows.
-    place = F.col("l_partkey") * 1000000 + F.col("l_suppkey") * 1000 + F.col("l_linenumber")
-    rows = i.groupBy(F.col("l_orderkey").alias("sheet"), place.alias("row_idx")).agg(F.min(cells).alias("cells"))
+    # Line numbers repeat within an order, so rows are ranked by all three keys.
+    order = ["l_partkey", "l_suppkey", "l_linenumber"]
+    once = i.groupBy("l_orderkey", *order).agg(F.min(cells).alias("cells"))
+    ranked = global_rank(once, ["l_orderkey"], order, "row_idx")
+    rows = ranked.select(F.col("l_orderkey").alias("sheet"), "row_idx", "cells")
     return markdown.markdown_tables(rows, ["sheet"])
 
 

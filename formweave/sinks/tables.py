@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from formweave.functions.dates import iso_date
 from formweave.functions.text import stem, with_suffix
 from formweave.operators.positions import global_position
-from formweave.operators.status import not_existing
+from formweave.operators.status import DONE
 from formweave.operators.template import fill_many, overlay
 
 
@@ -75,45 +75,15 @@ def output_name(path: Column, ending: str) -> Column:
     return F.concat(stem(path), F.lit(ending))
 
 
-def write_markdown(converted: DataFrame, path: str, overwrite: bool = True) -> DataFrame:
-    """Markdown texts keyed by output path; returns the rows with their status.
+def write_markdown(converted: DataFrame, path: str, append: bool = False) -> None:
+    """Converted Markdown texts keyed by output path (K8).
 
-    ``converted``: source, key, markdown, status. The key keeps the source's
-    suffix, so a.docx and a.txt do not collide. Without ``overwrite``, keys
-    already written are skipped and marked so.
+    ``converted``: source, key, markdown, status. Keys keep the source's
+    suffix, so a.docx and a.txt do not collide. To keep outputs that exist,
+    pass their keys to the conversion and append here.
     """
-    spark = converted.sparkSession
-    todo = converted.filter(F.col("status") == "done")
-    columns = ["source", "key", "markdown"]
-    if overwrite:
-        todo.select(*columns).write.mode("overwrite").parquet(path)
-        return converted
-    existing = read_markdown(spark, path)
-    if existing is None:
-        todo.select(*columns).write.parquet(path)
-        return converted
-    # Statuses first: after the append the new keys would look old.
-    from formweave.operators.status import SKIPPED
-    from formweave.session import materialise
-
-    have = existing.select("key").distinct().withColumn("__have", F.lit(True))
-    marked = materialise(
-        converted.join(have, "key", "left")
-        .withColumn("status", F.when(F.col("__have"), SKIPPED).otherwise(F.col("status")))
-        .drop("__have")
-    )
-    new = not_existing(marked.filter(F.col("status") == "done"), existing, ["key"])
-    new.select(*columns).write.mode("append").parquet(path)
-    return marked
-
-
-def read_markdown(spark, path: str) -> DataFrame | None:
-    from pyspark.sql.utils import AnalysisException
-
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    done = converted.filter(F.col("status") == DONE).select("source", "key", "markdown")
+    done.write.mode("append" if append else "overwrite").parquet(path)
 
 
 def markdown_key(relative: Column, keep_suffix: bool = True) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formweave.functions.jsontext import parse_object, parse_objects, parse_record_list
-from formweave.sources.files import only_file, read_texts
+from formweave.sources.files import only_file, read_texts, scan_files, texts_of
 
 
 def read_objects(spark: SparkSession, folder: str) -> DataFrame:
@@ -59,7 +59,7 @@ def read_template(spark: SparkSession, folder: str) -> list[str]:
 
 def read_range(spark: SparkSession, folder: str) -> DataFrame:
     """start_date, end_date of the folder's only JSON file."""
-    texts = only_file(read_texts(spark, folder, (".json",)), "JSON file")
+    texts = texts_of(only_file(scan_files(spark, folder, (".json",)), "JSON file"))
     parsed = texts.select(parse_object(F.col("text")).alias("r"))
 
     def end(name: str):

@@ -10,13 +10,15 @@ from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formweave.functions.dates import to_moment
 from formweave.operators.daterange import ACCEPT_RATIO, SAMPLE_ROWS
 from formweave.session import materialise
 
+WORKBOOK_SUFFIXES = (".xlsx", ".xlsm")
+
 # Texts a spreadsheet reader takes for a missing cell.
 MISSING_TEXTS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -205,12 +207,6 @@ def decode_workbooks(
     return files.select("path", "content").mapInPandas(decode, ROWS_SCHEMA)
 
 
-def read_workbooks(spark: SparkSession, folder: str, recursive: bool = False, **options) -> DataFrame:
-    from formweave.sources.files import scan_files
-
-    return decode_workbooks(scan_files(spark, folder, (".xlsx", ".xlsm"), recursive), **options)
-
-
 def headers(rows: DataFrame) -> DataFrame:
     """path, sheet, header: one row per sheet."""
     return rows.groupBy("path", "sheet_idx", "sheet").agg(F.any_value("header").alias("header"))
@@ -287,7 +283,8 @@ def filter_rows(rows: DataFrame, ranges: DataFrame, inclusive_day: bool = False)
     """Workbook rows in the range; sheets without a date column pass whole."""
     # Decoding is the dear part and the rows are read three times from here.
     rows = materialise(rows)
-    dated = rows.join(date_columns(rows), ["path", "sheet_idx", "sheet"])
+    # One row per sheet: written, the planner sees whether it can be broadcast.
+    dated = rows.join(materialise(date_columns(rows)), ["path", "sheet_idx", "sheet"])
     start = ranges.select("start_date").scalar()
     end = ranges.select("end_date").scalar()
     at = to_moment(F.get("cells", F.col("date_idx")))

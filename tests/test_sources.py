@@ -6,18 +6,18 @@ from pyspark.sql import functions as F
 from formweave.operators.chunking import chunks_per_document
 from formweave.operators.daterange import ranges_of_documents
 from formweave.operators.status import observed, run_stats
-from formweave.plans.fill import fill_from_folders
+from formweave.plans.fill import fill_from_folders, template_sheet
 from formweave.plans.search import open_index, search
 from formweave.sinks.tables import write_markdown, write_ranges, write_records
-from formweave.sources.docx import block_rows, read_docx
-from formweave.sources.files import convert_folder, decoded, read_folder, read_markdown, read_texts
+from formweave.sources.docx import block_rows, decode_docx
+from formweave.sources.files import convert_folder, decoded, read_folder, read_markdown, read_texts, scan_files
 from formweave.sources.records import read_objects, read_range, read_record_lists, read_template, read_text_objects
 from formweave.sources.workbook import (
     date_columns,
     filter_rows,
     headers,
+    decode_workbooks,
     long_cells,
-    read_workbooks,
     records,
     wide,
 )
@@ -33,6 +33,14 @@ def put(folder, files):
     return str(folder)
 
 
+def read_workbooks(spark, folder, **options):
+    return decode_workbooks(scan_files(spark, folder, (".xlsx",)), **options)
+
+
+def read_docx(spark, folder):
+    return decode_docx(scan_files(spark, folder, (".docx",)))
+
+
 def by_name(rows, column, key="path"):
     return {os.path.basename(r[key]): r[column] for r in rows.collect()}
 
@@ -159,11 +167,11 @@ def test_markdown_sink_skips_existing(spark, tmp_path):
     folder = put(tmp_path / "in", {f"{n}.md": n for n in "abcd"})
     put(tmp_path / "in", {"bad.docx": b"x"})
     out = str(tmp_path / "out")
-    first = convert_folder(spark, folder, (".md",)).filter("key like 'a%'")
-    assert write_markdown(first, out, overwrite=False).count() == 1
-    marked = write_markdown(convert_folder(spark, folder), out, overwrite=False)
+    write_markdown(convert_folder(spark, folder, (".md",)).filter("key like 'a%'"), out)
+    marked = convert_folder(spark, folder, existing=spark.read.parquet(out))
     assert run_stats(marked).first().asDict() == {"total": 5, "success": 4, "failed": 1, "skipped": 1}
-    assert spark.read.parquet(out).count() == 4
+    write_markdown(marked, out, append=True)
+    assert sorted(r.key for r in spark.read.parquet(out).collect()) == ["a.md.md", "b.md.md", "c.md.md", "d.md.md"]
     watched, seen = observed(marked)
     watched.write.format("noop").mode("overwrite").save()
     assert seen.get["skipped"] == 1
@@ -244,6 +252,14 @@ def test_whole_job_over_folders(spark, tmp_path):
     assert rows[9] == ("广东省", "Asia", "1234", "")
 
 
+def test_template_sheet_keeps_gaps_and_repeats(spark, tmp_path):
+    book = xlsx({"S": [["title"], [" 省份", "GDP", None, "省份"], [None, "9"], [], ["x"]]})
+    header, rows = template_sheet(spark, put(tmp_path, {"t.xlsx": book}), header_row=1, start_row=2)
+    assert header == ["省份", "GDP", None, "省份"]
+    assert rows.columns == ["pos", "省份", "GDP", "省份.1"]
+    assert {tuple(r) for r in rows.collect()} == {(1, None, "9", None), (3, "x", None, None)}
+
+
 def test_slices_of_a_docx(spark, tmp_path):
     from formweave.functions.chunks import semantic_chunks
     from formweave.operators.chunking import slice_documents
