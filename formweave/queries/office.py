@@ -1,4 +1,4 @@
-"""Minimal xlsx and docx files for the tests, written with the standard library."""
+"""Minimal xlsx and docx bytes for tests and derived inputs."""
 
 from __future__ import annotations
 

@@ -286,9 +286,6 @@ def hybrid(k: int | None) -> str:
   SELECT query_id, node_id, score, rank::INTEGER AS rank FROM ({ranked("SELECT * FROM f", 5)})"""
 
 
-_INSTRUCTION_HEAD = None
-
-
 def _prompt_head() -> str:
     """The fixed part of the request text, as a SQL literal."""
     text = (
@@ -323,7 +320,50 @@ TEMPLATE_FILL = f"""
     coalesce(o_totalprice, '') AS o_totalprice, coalesce(kind, p_name, '') AS kind, coalesce(amount, p_brand, '') AS amount
   FROM r FULL JOIN t USING (pos)"""
 
+BOOK_PRICE = "regexp_replace(o_totalprice::VARCHAR, '\\.0$', '')"
+BOOK_ROWS = f"""
+  SELECT concat('books/', o_orderkey, '.xlsx') AS path, 'data' AS sheet, 0::INTEGER AS sheet_idx, 1::INTEGER AS row_idx,
+    concat(o_orderkey, '|', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), '|', o_orderstatus, '|', {BOOK_PRICE}) AS cells, o_orderdate AS d
+  FROM orders UNION ALL
+  SELECT concat('books/', o_orderkey, '.xlsx'), 'data', 0, 3,
+    concat(o_orderkey, '|', strftime(o_orderdate + INTERVAL 400 DAY, '%Y-%m-%d %H:%M:%S'), '||7'), o_orderdate + INTERVAL 400 DAY
+  FROM orders UNION ALL
+  SELECT concat('books/', o_orderkey, '.xlsx'), 'notes', 1, 1, 'none', NULL FROM orders"""
+
+DOCX_BLOCKS = f"""
+  WITH b AS (SELECT doc_id, list_concat({paragraphs("regexp_replace(text, '[" + r"\x00-\x08\x0b\x0c\x0e-\x1f" + "]', '', 'g')")},
+      [lang, lang, lang, 'end']) AS t FROM documents),
+  r AS (SELECT concat('docs/', doc_id, '.docx') AS path, i - 1 AS pos, t[i] AS text, len(t) AS n, i
+    FROM b, unnest(range(1, len(t) + 1)) AS r(i))"""
+
 ORACLES = {
+    "stored_index": f"""WITH {bm25_scores(BENCH_Q)}
+  SELECT query_id, node_id, score, rank::INTEGER AS rank
+  FROM ({ranked("SELECT query_id, node_id, round(score, 4) AS score FROM scores", 5)})""",
+    "retrieval_chunks": f"""
+  WITH w AS (SELECT doc_id, {TOKENS} AS t FROM documents),
+  starts AS (SELECT doc_id, t, list_filter(range(0, len(t), 56), lambda i: i = 0 OR i + 8 < len(t)) AS s FROM w),
+  documents AS (SELECT doc_id * 100000 + j AS doc_id, array_to_string(list_slice(t, s[j] + 1, s[j] + 64), ' ') AS text
+    FROM starts, unnest(range(1, len(s) + 1)) AS r(j)),
+  {bm25_scores(f"SELECT 0 AS query_id, '{Q.ONE_QUERY}' AS text")}
+  SELECT node_id, round(coalesce(score, 0.0), 4) AS score FROM dl LEFT JOIN scores USING (node_id)""",
+    "workbook_cells": f"""SELECT path, sheet, sheet_idx, row_idx,
+    CASE WHEN sheet = 'data' THEN '订单|UpdateTime|Unnamed: 2|价格' ELSE 'empty' END AS header, cells FROM ({BOOK_ROWS})""",
+    "workbook_columns": f"""SELECT concat('books/', o_orderkey, '.xlsx') AS path, r::INTEGER AS row_idx, o_orderkey::VARCHAR AS key,
+    CASE WHEN r = 1 THEN {BOOK_PRICE} ELSE '7' END AS price FROM orders, (VALUES (1), (3)) AS v(r)""",
+    "workbook_range": f"""SELECT path, sheet, row_idx, cells FROM ({BOOK_ROWS})
+  WHERE d IS NULL OR d BETWEEN TIMESTAMP '1996-03-01' AND TIMESTAMP '1997-02-28'""",
+    "docx_blocks": f"""{DOCX_BLOCKS}
+  SELECT path, CASE WHEN i <= n - 4 THEN 'body' WHEN i <= n - 2 THEN 'table' WHEN i = n - 1 THEN 'header' ELSE 'footer' END AS block_kind,
+    pos::INTEGER AS pos, text FROM r""",
+    "docx_slices": f"""{DOCX_BLOCKS}, {semantic("SELECT path AS doc_id, i AS par, text FROM r", S).strip().removeprefix("WITH")},
+  f AS (SELECT doc_id, flatten(list(p ORDER BY par)) AS c FROM packed GROUP BY doc_id)
+  SELECT doc_id AS source, len(c)::BIGINT AS slice_count,
+    array_to_string(list_transform(range(1, len(c) + 1), lambda i: concat(i, ':', c[i])), '|') AS slices FROM f""",
+    "decoded_texts": r"""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN text
+    ELSE regexp_replace(text, '[^\x00-\x{FF}]', '?', 'g') END AS text FROM documents""",
+    "stored_records": f"""SELECT c_custkey::VARCHAR AS c_custkey, c_name, CASE WHEN c_nationkey = 3 THEN 'null'
+    ELSE {text_double('c_acctbal')} END AS balance, c_mktsegment AS source_file FROM customer""",
     "template_fill": TEMPLATE_FILL,
     "date_literals": f"""WITH texts AS ({ORDER_TEXTS})
   SELECT o_orderkey, literal, strftime(day, '%Y-%m-%d') AS day FROM ({literals('texts', 'o_orderkey')})""",

@@ -6,6 +6,10 @@ Spark derives it from their rows, so the work grows with the tables.
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +28,10 @@ from formweave.operators.daterange import (
     require_range,
 )
 from formweave.operators.positions import first_occurrence, global_position, global_rank
+from formweave.session import shared_dir
+from formweave.sinks.tables import indexed_records, write_records
+from formweave.sources import docx as docx_source
+from formweave.sources import files, workbook
 from formweave.sources.tables import read_table
 
 REQUEST = "请汇总 1996-03-01 至 1997/2/28 的订单"
@@ -213,8 +221,6 @@ def empty_templates(spark: SparkSession, sf: str) -> DataFrame:
 
 def numbered_records(spark: SparkSession, sf: str) -> DataFrame:
     """Records keyed by position, one JSON object per row."""
-    from formweave.sinks.tables import indexed_records
-
     c = template.all_strings(table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment"))
     with_key = c.withColumn("__key", F.col("c_custkey").cast("long"))
     return indexed_records(with_key, ["__key"], ["c_custkey", "c_name", "c_mktsegment"])
@@ -586,6 +592,126 @@ def hit_counts(spark: SparkSession, sf: str) -> DataFrame:
     return shown.groupBy("query_id").agg(F.count("*").alias("n_shown")).join(rest, "query_id")
 
 
+def stored_index(spark: SparkSession, sf: str) -> DataFrame:
+    """An index written to storage, opened again and searched."""
+    path = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
+
+    def nodes() -> DataFrame:
+        return _docs(spark, sf).withColumnRenamed("doc_id", "node_id")
+
+    bm25.load_or_build_index(spark, path, nodes)
+    index = bm25.load_or_build_index(spark, path, nodes)
+    return bm25.best_matches(index, _text_queries(spark, sf), fusion.TOP_K, decimals=4)
+
+
+def retrieval_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Fusion-ready nodes: every window of every document, searched for one query."""
+    chunks = chunking.retrieval_nodes(_docs(spark, sf), "doc_id", size=64, overlap=8)
+    nodes = chunks.select((F.col("doc_id") * 100000 + F.col("id")).alias("node_id"), "text")
+    scored = bm25.all_scores(bm25.build_index(nodes), ONE_QUERY)
+    return scored.select("node_id", F.round("score", 4).alias("score"))
+
+
+# --- documents and files ---------------------------------------------------
+
+# Each order as a workbook file: a filled sheet and one without rows.
+_BOOK_HEADER = ["订单", "UpdateTime", None, "价格"]
+
+
+def _order_books(spark: SparkSession, sf: str) -> DataFrame:
+    """path, content: one small workbook per order."""
+    from formweave.queries.office import xlsx
+
+    def book(key: int, day: str, price: float, status: str) -> bytes:
+        serial = (datetime.fromisoformat(day) - datetime(1899, 12, 30)).days
+        filled = [_BOOK_HEADER, [key, ("date", serial), status, price], [], [key, ("date", serial + 400), None, 7]]
+        return xlsx({"data": filled, "notes": [["empty"]]})
+
+    @F.pandas_udf("binary")
+    def books(key: pd.Series, day: pd.Series, price: pd.Series, status: pd.Series) -> pd.Series:
+        return pd.Series([book(*row) for row in zip(key, day, price, status)])
+
+    o = table(spark, sf, "orders", spread=True)
+    return o.select(
+        F.concat(F.lit("books/"), F.col("o_orderkey").cast("string"), F.lit(".xlsx")).alias("path"),
+        books("o_orderkey", iso_date(F.col("o_orderdate")), "o_totalprice", "o_orderstatus").alias("content"),
+    )
+
+
+def workbook_cells(spark: SparkSession, sf: str) -> DataFrame:
+    rows = workbook.decode_workbooks(_order_books(spark, sf))
+    return rows.select(
+        "path", "sheet", "sheet_idx", "row_idx", joined(F.col("header")).alias("header"),
+        F.coalesce(joined(F.col("cells")), F.lit("none")).alias("cells"),
+    )
+
+
+def workbook_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Two named columns of the first sheets, as records."""
+    rows = workbook.decode_workbooks(_order_books(spark, sf), sheet=0, columns=["价格", "订单"])
+    record = F.col("record")
+    return workbook.records(rows).select("path", "row_idx", record["订单"].alias("key"), record["价格"].alias("price"))
+
+
+def workbook_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of all books within the requested range, by each sheet's own date column."""
+    rows = workbook.decode_workbooks(_order_books(spark, sf))
+    kept = workbook.filter_rows(rows, request_range(spark, REQUEST))
+    return kept.select("path", "sheet", "row_idx", F.coalesce(joined(F.col("cells")), F.lit("none")).alias("cells"))
+
+
+def _document_files(spark: SparkSession, sf: str) -> DataFrame:
+    """path, content: each document as a Word file, a line per paragraph."""
+    from formweave.queries.office import docx
+
+    @F.pandas_udf("binary")
+    def files(text: pd.Series, lang: pd.Series) -> pd.Series:
+        return pd.Series([docx(t.split("\n"), [[g, ""], ["", g]], g, "end") for t, g in zip(text, lang)])
+
+    # XML cannot hold control characters.
+    text = F.regexp_replace("text", "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]", "")
+    d = table(spark, sf, "documents", spread=True)
+    path = F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".docx"))
+    return d.select(path.alias("path"), files(text, "lang").alias("content"))
+
+
+def docx_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    return docx_source.block_rows(docx_source.decode_docx(_document_files(spark, sf)))
+
+
+def docx_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """Word files to nested slices, a block never sharing a slice with the next."""
+    docs = docx_source.decode_docx(_document_files(spark, sf))
+    chunks = F.flatten(F.transform("blocks", lambda b: C.semantic_chunks(b["text"], SHORT_LEN)))
+    sliced = chunking.slice_documents(docs, F.col("path"), chunks, SHORT_LEN)
+    return sliced.select(
+        "source", F.col("slice_count").cast("long").alias("slice_count"),
+        joined(F.transform("slices", lambda s: F.concat(s["id"].cast("string"), F.lit(":"), s["text"]))).alias("slices"),
+    )
+
+
+def decoded_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents stored in several encodings and line ends, read back as text."""
+    d = _docs(spark, sf)
+    latin = F.encode(F.regexp_replace("text", "[^\\x00-\\xFF]", "?"), "ISO-8859-1")
+    wide = F.encode(F.regexp_replace("text", "\n", "\r\n"), "UTF-8")
+    content = F.when(F.col("doc_id") % 2 == 0, wide).otherwise(latin)
+    return d.select("doc_id", files.decoded(content, ("utf-8", "latin-1")).alias("text"))
+
+
+def stored_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Records written per input and read back with nulls in place."""
+    path = f"{shared_dir(spark)}/records-{uuid.uuid4().hex}"
+    c = template.all_strings(
+        table(spark, sf, "customer").selectExpr(
+            "c_custkey", "c_name", "if(c_nationkey = 3, null, c_acctbal) balance", "c_mktsegment source_file"
+        )
+    )
+    write_records(c, path, by=["source_file"])
+    back = spark.read.schema(c.schema).json(path)
+    return back.withColumn("balance", F.coalesce("balance", F.lit("null")))
+
+
 # --- status ----------------------------------------------------------------
 
 
@@ -695,6 +821,15 @@ QUERIES = {
     "hybrid_rrf_all": hybrid_rrf_all,
     "evidence": evidence,
     "hit_counts": hit_counts,
+    "stored_index": stored_index,
+    "retrieval_chunks": retrieval_chunks,
+    "workbook_cells": workbook_cells,
+    "workbook_columns": workbook_columns,
+    "workbook_range": workbook_range,
+    "docx_blocks": docx_blocks,
+    "docx_slices": docx_slices,
+    "decoded_texts": decoded_texts,
+    "stored_records": stored_records,
     "skip_existing": skip_existing,
     "run_stats": run_stats,
 }

@@ -21,7 +21,7 @@ from formweave.sources.workbook import (
     records,
     wide,
 )
-from tests.office import docx, xlsx
+from formweave.queries.office import docx, xlsx
 
 
 def put(folder, files):
