@@ -21,6 +21,9 @@ LITERAL_FORMS = [
     (f"({_D}{{4}})年({_D}{{1,2}})月({_D}{{1,2}})日", "年", None),
     (f"({_D}{{1,2}})\\.({_D}{{1,2}})\\.({_D}{{4}})", ".", "$3-$2-$1"),
 ]
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+# The first and last microsecond of a 64-bit nanosecond clock.
+CLOCK = ("1677-09-21 00:12:43.145225", "2262-04-11 23:47:16.854775")
 # Unbroken runs of the characters literals consist of. A literal and the digits
 # that could bound it lie in one run; the shortest literal has 8 characters.
 _RUN = "[0-9０-９/.年月日-]{8,}"
@@ -92,19 +95,40 @@ def iso_date(day: Column) -> Column:
 def to_moment(value: Column) -> Column:
     """Text to timestamp, value by value; anything unreadable is null.
 
-    ISO text with an optional time, a bare year, y/m/d, m/d/y, y年m月d日 and
-    d.m.y dates with an optional time are understood.
+    ISO text with an optional time, a bare year, eight digits, y/m/d, m/d/y,
+    y年m月d日, d.m.y and dates with an English month name, with an optional
+    time, are understood. Moments outside the usual 64-bit nanosecond clock are
+    null, so a small number is no year.
     """
     s = F.translate(F.trim(value), WIDE_DIGITS, ASCII_DIGITS)
     tail = "((?:[ T].*)?)$"
     ymd = f"^([0-9]{{4}})(?:/|年)([0-9]{{1,2}})(?:/|月)([0-9]{{1,2}})日?{tail}"
     mdy = f"^([0-9]{{1,2}})/([0-9]{{1,2}})/([0-9]{{4}}){tail}"
     dmy = f"^([0-9]{{1,2}})\\.([0-9]{{1,2}})\\.([0-9]{{4}}){tail}"
+    compact = "^([0-9]{4})([0-9]{2})([0-9]{2})$"
+    named = f"^([0-9]{{1,2}})[ -]([A-Za-z]{{3,9}})[ -]([0-9]{{4}}){tail}"
+    named_us = f"^([A-Za-z]{{3,9}}) ([0-9]{{1,2}}),? ([0-9]{{4}}){tail}"
+
+    def month(pattern: str, group: int) -> Column:
+        name = F.lower(F.substring(F.regexp_extract(s, pattern, group), 1, 3))
+        # Names start at 1, 4, 7 ...; anything else, and 0, is no month.
+        at = F.instr(F.lit(MONTHS), name)
+        return F.when(at % 3 == 1, F.floor(at / 3) + 1).otherwise(0).cast("string")
+
     iso = (
         F.when(s.rlike(ymd), F.regexp_replace(s, ymd, "$1-$2-$3$4"))
         .when(s.rlike(mdy), F.regexp_replace(s, mdy, "$3-$1-$2$4"))
         .when(s.rlike(dmy), F.regexp_replace(s, dmy, "$3-$2-$1$4"))
+        .when(s.rlike(compact), F.regexp_replace(s, compact, "$1-$2-$3"))
+        .when(s.rlike(named), F.concat(F.regexp_replace(s, named, "$3-"), month(named, 2), F.regexp_replace(s, named, "-$1$4")))
+        .when(
+            s.rlike(named_us),
+            F.concat(F.regexp_replace(s, named_us, "$3-"), month(named_us, 1), F.regexp_replace(s, named_us, "-$2$4")),
+        )
         # A cast alone would read "12:30" as a time of today.
         .when(s.rlike("^[0-9]{4}(?:-|$)"), s)
     )
-    return iso.try_cast("timestamp")
+    return let(
+        iso.try_cast("timestamp"),
+        lambda t: F.when(t.between(*[F.lit(m).cast("timestamp") for m in CLOCK]), t),
+    )

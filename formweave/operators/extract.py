@@ -15,6 +15,7 @@ from formweave.functions.numbers import NUMBER, SCALED_NUMBER, ZERO_REPORTS, is_
 from formweave.functions.text import strip, unbold
 from formweave.operators.daterange import DATE_NAME
 from formweave.operators.template import conform, keep_filled
+from formweave.session import materialise
 
 # The regions of China, the two fields they fill and the value.
 CHINESE_PROVINCES = [
@@ -192,9 +193,10 @@ def default_from_table(
 ) -> DataFrame:
     """As default_from_list with the members in a table's ``key`` column.
 
-    A plain left join: Spark broadcasts the members when they are small.
+    The members are written first: knowing their size, Spark broadcasts them
+    when small and need not gather the rows of a frequent key.
     """
-    known = members.select(F.col(key).alias("__key")).distinct()
+    known = materialise(members.select(F.col(key).alias("__key")).distinct())
     joined = df.join(known, strip(df[f"`{key}`"]) == known["__key"], "left")
     filled = joined.withColumn(target, _blank_or(joined, target, F.col("__key").isNotNull(), value))
     return filled.drop("__key")

@@ -68,7 +68,9 @@ def global_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], name: st
     holding most of the rows is spread over many tasks.
     """
     placed = global_position(df, [*by, *order], name="__at")
-    firsts = placed.groupBy(*by).agg(F.min("__at").alias("__first"))
+    # One row per group, written so that the planner knows whether it is small:
+    # a few groups are broadcast, and a hot one is not gathered for the join.
+    firsts = materialise(placed.groupBy(*by).agg(F.min("__at").alias("__first")))
     return (
         placed.join(firsts, list(by))
         .withColumn(name, F.col("__at") - F.col("__first") + 1)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formweave.operators import pool
+from formweave.session import materialise
 
 
 def pooled_values(
@@ -31,6 +32,8 @@ def pooled_values(
         .join(field_vectors.select("node_id", "field"), "node_id")
         .select("template_field", "field")
     )
-    return pool.flag_review(best.join(matched, "field")).select(
+    # Few names against all values, a third of which may share a name: written,
+    # the names have a known size and are broadcast when small.
+    return pool.flag_review(best.join(materialise(matched), "field")).select(
         key, "template_field", "field", "value", "confidence", "tier", F.col("review")
     )

@@ -384,7 +384,9 @@ ORACLES = {
   u AS (SELECT 'event_id' AS column_name, event_id::VARCHAR AS v FROM s UNION ALL SELECT 'ts', ts::VARCHAR FROM s
     UNION ALL SELECT 'user_id', user_id::VARCHAR FROM s UNION ALL SELECT 'event_type', event_type FROM s
     UNION ALL SELECT 'value', value::VARCHAR FROM s UNION ALL SELECT 'props', props FROM s)
-  SELECT column_name, avg(CASE WHEN try_cast(v AS TIMESTAMP) IS NOT NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS ratio
+  SELECT column_name, avg(CASE WHEN coalesce(try_cast(v AS TIMESTAMP), try_strptime(v, '%Y%m%d'),
+      CASE WHEN regexp_matches(v, '^[0-9]{4}$') THEN try_strptime(v, '%Y') END)
+    BETWEEN TIMESTAMP '1677-09-21 00:12:43.145225' AND TIMESTAMP '2262-04-11 23:47:16.854775' THEN 1.0 ELSE 0.0 END)::DOUBLE AS ratio
   FROM u GROUP BY column_name""",
     "template_project": f"""SELECT o_orderkey::VARCHAR AS o_orderkey, {text_double('o_totalprice')} AS o_totalprice,
   o_orderpriority FROM orders""",

@@ -13,6 +13,8 @@ SHARED_DIR_CONF = "spark.checkpoint.dir"
 # by somebody else can be brought in line with configure().
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    # Template fields and record keys match exactly, case included.
+    "spark.sql.caseSensitive": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Decoding binary files hands whole files to Python: bound the batch by

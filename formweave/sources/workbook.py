@@ -256,7 +256,10 @@ def date_columns(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
             lambda i: i.isNotNull(),
         )
     )
-    named = rows.groupBy(*keys).agg(F.min(by_name).alias("by_name"), F.min("row_idx").alias("first"))
+    # One row per sheet; its size decides whether the rows below are shuffled.
+    named = materialise(
+        rows.groupBy(*keys).agg(F.min(by_name).alias("by_name"), F.min("row_idx").alias("first"))
+    )
     small = rows.join(named.filter("by_name is null"), keys).filter(
         F.col("row_idx") < F.col("first") + sample_rows
     )

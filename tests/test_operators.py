@@ -140,6 +140,8 @@ def test_projection(spark):
     assert cut.table.columns == ["b", "a"] and cut.missing == ["z"]
     assert template.project(df, ["q"]).table is None
     assert template.project(spark.sql("select 1 B"), ["b"]).table is None
+    both = template.project(spark.sql("select 1 B, 2 b"), ["b"]).table
+    assert both.columns == ["b"] and both.first()[0] == 2
     assert template.clean_header([" a ", "b", "a", "", None, "z"]) == ["a", "b", "z"]
 
 
