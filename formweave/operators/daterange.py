@@ -124,12 +124,15 @@ def filter_by_range(
     field = df.schema[column]
     kind = field.dataType
     if not isinstance(kind, _DATE_TYPES):
-        df, kind = df.withColumn(column, _as_moment(df, field)), T.TimestampType()
+        # Exploding a one-item array parses each value once; as a plain column
+        # the parse would be copied into both comparisons.
+        others = [F.col(f"`{c}`") if c != column else F.explode(F.array(_as_moment(df, field))).alias(c) for c in df.columns]
+        df, kind = df.select(*others), T.TimestampType()
     # The bounds take the column's type: casting the column instead would
     # keep the comparison out of the scan.
     start = ranges.select("start_date").scalar().cast(kind)
     end = ranges.select("end_date").scalar()
-    at = F.col(column)
+    at = F.col(f"`{column}`")
     upper = at < F.date_add(end, 1).cast(kind) if inclusive_day else at <= end.cast(kind)
     return RangeFilter(df.filter((at >= start) & upper), column)
 
