@@ -61,14 +61,29 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_copies: list[str] = []
+
+
+def drop_copies(spark: SparkSession) -> int:
+    """Delete the copies this process has written, once their results are used."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    dropped = 0
+    while _copies:
+        path = jvm.org.apache.hadoop.fs.Path(_copies.pop())
+        dropped += bool(path.getFileSystem(conf).delete(path, True))
+    return dropped
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and return the table read back.
 
     The copy survives lost executors, freezes values that a recomputation
     could change (partition ids, sampled range bounds), and stays columnar, so
-    a later pass over one column reads that column only.
+    a later pass over one column reads that column only. Copies live until
+    drop_copies() or until the folder's owner clears it.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/formweave-{uuid.uuid4().hex}"
+    _copies.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

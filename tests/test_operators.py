@@ -25,6 +25,7 @@ from formweave.operators.extract import (
     rule_extractor,
 )
 from formweave.plans.pool import pooled_values
+from formweave.session import drop_copies, materialise
 from formweave.sinks.tables import indexed_records
 
 
@@ -78,6 +79,15 @@ def test_first_occurrence(spark):
     assert rows(positions.first_occurrence(df, ["k"], ["n"]), "k") == [("a", 1, "x"), ("b", 3, None)]
 
 
+def test_copies_stay_until_dropped(spark):
+    drop_copies(spark)
+    copy = materialise(spark.range(5))
+    assert copy.count() == 5
+    assert drop_copies(spark) == 1 and drop_copies(spark) == 0
+    with pytest.raises(Exception, match="(?i)not.exist|not.found"):
+        copy.count()
+
+
 # --- dates -----------------------------------------------------------------
 
 
