@@ -103,12 +103,10 @@ def fill_from_folders(
     fields = T.clean_header(header)
 
     books = scan_files(spark, data_folder, WORKBOOK_SUFFIXES)
-    docs = convert_folder(spark, data_folder)
-    chunks = numbered_chunks(
-        docs.filter(F.col("status") == DONE).select("source", F.col("markdown").alias("text")),
-        document_chunks(F.col("text"), max_len),
-        ["source"],
-    )
+    docs = convert_folder(spark, data_folder).filter(F.col("status") == DONE)
+    # Written before the chunks are numbered: ordering reads its input twice.
+    texts = materialise(docs.select("source", F.col("markdown").alias("text")))
+    chunks = numbered_chunks(texts, document_chunks(F.col("text"), max_len), ["source"])
     branches = [
         workbook_records(decode_workbooks(books), request, fields),
         prose_records(chunks, fields, ["id"], extractor or rule_extractor(fields, kinds)),
