@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formweave.functions.chunks import packed_paragraphs, semantic_chunks, token_windows
+from formweave.functions.chunks import semantic_chunks, token_windows
 from formweave.functions.text import paragraphs, words
 from formweave.operators.positions import global_position
 
@@ -65,11 +65,3 @@ def retrieval_nodes(
     tokens = docs.select(key, tokenizer(F.col("text")).alias("__t"))
     windows = F.transform(token_windows(F.col("__t"), size, overlap), lambda w: F.array_join(w, " "))
     return chunks_per_document(tokens, windows, [key])
-
-
-def semantic(max_len: int = 1000, separator: str | None = None, **rules) -> Callable[[Column], Column]:
-    return lambda text: document_chunks(text, max_len, separator, **rules)
-
-
-def packed(max_len: int = 1000, separator: str | None = None, glue: str = "\n\n") -> Callable[[Column], Column]:
-    return lambda text: packed_paragraphs(text, max_len, separator, glue)

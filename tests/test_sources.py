@@ -8,7 +8,16 @@ from formweave.operators.daterange import ranges_of_documents
 from formweave.operators.status import observed, run_stats
 from formweave.plans.fill import fill_from_folders, template_sheet
 from formweave.plans.search import open_index, search
-from formweave.sinks.tables import write_markdown, write_ranges, write_records
+from formweave.sinks.tables import (
+    output_name,
+    write_filled,
+    write_filled_many,
+    write_markdown,
+    write_ranges,
+    write_records,
+    write_slices,
+    write_table,
+)
 from formweave.sources.docx import block_rows, decode_docx
 from formweave.sources.files import convert_folder, decoded, read_folder, read_markdown, read_texts, scan_files
 from formweave.sources.records import read_objects, read_range, read_record_lists, read_template, read_text_objects
@@ -271,3 +280,26 @@ def test_slices_of_a_docx(spark, tmp_path):
     assert [(s.id, s.text) for s in row.slices] == [(1, "一二。三四。"), (2, "五六七八九。"), (3, "短")]
     per = chunks_per_document(read_docx(spark, folder), chunks, ["path"])
     assert [r.id for r in per.collect()] == [1, 2, 3]
+
+
+def test_table_sinks(spark, value, tmp_path):
+    from formweave.operators.chunking import slice_documents
+
+    sheet = spark.createDataFrame([(1, None, "9"), (2, "t", None)], "pos long, a string, b string")
+    records = spark.createDataFrame([(1, "x", None)], "pos long, a string, b string")
+    write_filled(sheet, records, ["a", "b"], str(tmp_path / "filled"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "filled"))
+    assert {tuple(r) for r in back.collect()} == {("x", "9"), ("t", None)}
+
+    write_filled_many(records, {"one": ["a"], "two": ["b", "a"]}, ["pos"], str(tmp_path / "many"))
+    assert sorted(os.listdir(tmp_path / "many"))[-2:] == ["template=one", "template=two"]
+    assert spark.read.parquet(str(tmp_path / "many")).count() == 3
+
+    write_table(sheet, str(tmp_path / "by"), "json", by=["pos"])
+    assert spark.read.json(str(tmp_path / "by")).count() == 2
+    assert value(output_name(F.lit("/in/book.xlsx"), "_Extracted.xlsx")) == "book_Extracted.xlsx"
+
+    docs = spark.createDataFrame([("/in/d.docx",)], "path string")
+    write_slices(slice_documents(docs, F.col("path"), F.array(F.lit("s1"), F.lit("s2")), 10), str(tmp_path / "slices"))
+    row = spark.read.json(str(tmp_path / "slices")).first()
+    assert row.output == "d_Sliced.json" and [(s.id, s.text) for s in row.slices] == [(1, "s1"), (2, "s2")]
