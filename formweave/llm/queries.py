@@ -3,17 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from formweave.llm.common import table
 from formweave.llm.exact_dedup import exact_groups
+from formweave.llm.licenses import scan_licenses
+from formweave.llm.quality import score_quality
+
+QUALITY_CUT = 0.3
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
+
+
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_quality": op7_quality,
+    "op9_license_scan": op9_license_scan,
 }
 
 ORACLES = {
