@@ -9,8 +9,10 @@ from formweave.llm.common import table
 from formweave.llm.exact_dedup import exact_groups
 from formweave.llm.licenses import scan_licenses
 from formweave.llm.quality import score_quality
+from formweave.llm.toxicity import score_toxicity
 
 QUALITY_CUT = 0.3
+TOXIC_CUT = 0.7
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +23,11 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored, _ = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_CUT).cast("int"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
@@ -28,6 +35,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_toxicity": op5_toxicity,
     "op7_quality": op7_quality,
     "op9_license_scan": op9_license_scan,
 }
