@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from formweave.llm.bpe import round_trip
 from formweave.llm.common import table
 from formweave.llm.exact_dedup import exact_groups
 from formweave.llm.licenses import scan_licenses
@@ -15,6 +16,10 @@ QUALITY_CUT = 0.3
 TOXIC_CUT = 0.7
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_quality": op7_quality,
