@@ -9,6 +9,7 @@ from formweave.llm.bpe import round_trip
 from formweave.llm.common import table
 from formweave.llm.exact_dedup import exact_groups
 from formweave.llm.licenses import scan_licenses
+from formweave.llm.packing import pack_documents
 from formweave.llm.quality import score_quality
 from formweave.llm.toxicity import score_toxicity
 
@@ -16,6 +17,10 @@ QUALITY_CUT = 0.3
 TOXIC_CUT = 0.7
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
@@ -39,6 +44,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
