@@ -9,6 +9,7 @@ from formweave.llm.bpe import round_trip
 from formweave.llm.common import table
 from formweave.llm.exact_dedup import exact_groups
 from formweave.llm.licenses import scan_licenses
+from formweave.llm.neighbours import nearest
 from formweave.llm.packing import pack_documents
 from formweave.llm.quality import score_quality
 from formweave.llm.toxicity import score_toxicity
@@ -25,6 +26,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_neighbours": op3_neighbours,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_quality": op7_quality,
