@@ -11,6 +11,7 @@ from formweave.llm.exact_dedup import exact_groups
 from formweave.llm.licenses import scan_licenses
 from formweave.llm.neighbours import nearest
 from formweave.llm.packing import pack_documents
+from formweave.llm.passages import remove_repeats
 from formweave.llm.quality import score_quality
 from formweave.llm.toxicity import score_toxicity
 
@@ -48,6 +49,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_byte_bpe": op2_byte_bpe,
@@ -56,6 +61,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op7_quality": op7_quality,
     "op9_license_scan": op9_license_scan,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES = {
