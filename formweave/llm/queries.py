@@ -9,6 +9,7 @@ from formweave.llm.bpe import round_trip
 from formweave.llm.common import table
 from formweave.llm.exact_dedup import exact_groups
 from formweave.llm.licenses import scan_licenses
+from formweave.llm.near_dedup import near_classes
 from formweave.llm.neighbours import nearest
 from formweave.llm.packing import pack_documents
 from formweave.llm.passages import remove_repeats
@@ -35,6 +36,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes, _ = near_classes(table(spark, sf_dir, "documents"))
+    return classes
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
@@ -60,6 +66,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_quality": op7_quality,
+    "op8_near_dedup": op8_near_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
