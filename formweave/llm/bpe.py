@@ -24,10 +24,9 @@ from itertools import chain
 import ahocorasick
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
-from formweave.llm.common import batches, whole_texts
+from formweave.llm.common import batches, piece_splitter, whole_texts
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 MEMO_PIECES = 300_000
@@ -52,7 +51,7 @@ class Codec:
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bytes_of = {rank: data for data, rank in self.ranks.items()}
-        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
+        self.pieces = piece_splitter()
         self._halves: dict[int, tuple[int, int]] = {}  # a token's two parts before its own merge
         self._union: dict[tuple[int, int], int] = {}
         self._side_by_side: dict[tuple[int, int], bool] = {}

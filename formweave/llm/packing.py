@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import combinations_with_replacement
@@ -23,17 +24,16 @@ from itertools import combinations_with_replacement
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from formweave.llm.common import batches, whole_texts
+from formweave.llm.common import batches, piece_splitter, whole_texts
 from formweave.session import materialise, shared_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WINDOW, UNIT, DEPTH, END_ID = 2048, 8, 3, 1
-MEMO_PIECES = 300_000
+MEMO_PIECES = 500_000
 _PIECES = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -63,12 +63,12 @@ class Tokenizer:
 
         self.library = Library.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
+        self.pieces = piece_splitter()
         self.memo: dict[str, bytes] = {}
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if any(s in t for s in self.special) else self.pieces(t) for t in texts]
@@ -250,7 +250,8 @@ def _poured(rest: DataFrame, pieces: DataFrame, used: int, window: int) -> DataF
         "doc_id", "start", "length", "doc_tokens", (F.col("first") + used).alias("sequence_id"), (F.col("at") % window).alias("offset"), "ids_crc32"
     )
     # One piece per window at most is cut; only those read their ids again.
-    crossing = laid.filter("length > room").select("task", "row", "at", "first", "room").join(
+    # Written first, so that its size is known before the pieces are joined.
+    crossing = materialise(laid.filter("length > room").select("task", "row", "at", "first", "room")).join(
         pieces.select("doc_id", "start", "length", "doc_tokens", "task", "row", "ids"), ["task", "row"]
     )
     room = F.col("room").cast("int")
