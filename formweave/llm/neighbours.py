@@ -29,7 +29,7 @@ from formweave.session import materialise
 # The network is fitted on at most this many vectors.
 SAMPLE_ROWS = 16_384
 MAX_PARTS = 256
-BLOCK, QUERY_BLOCK = 1024, 512
+BLOCK, QUERY_BLOCK = 8192, 512
 _ROUTED = pa.schema([("part", pa.int32()), ("query", pa.bool_()), ("id", pa.int64()), ("vector", pa.binary())])
 _PACKED = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("ids", pa.binary()), ("vectors", pa.binary())])
 _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
