@@ -38,7 +38,9 @@ from formweave.session import materialise
 
 LENGTH, GRAM = 100, 32
 # Bytes of text behind one shard, and the fewest shards.
-SHARD_BYTES, MIN_SHARDS = 48 << 20, 32
+SHARD_BYTES, MIN_SHARDS = 16 << 20, 32
+# Strings of different surroundings that are sorted at once.
+SORTED = 200_000
 # An anchor standing more often than this is handled string by string.
 HOT = 2000
 _LAST = (1 << 63) - 1  # stands for a null doc_id: after all others
@@ -119,7 +121,7 @@ def anchors(prefixes: Prefixes, starts: np.ndarray, length: int, gram: int) -> t
     return x[new], p[new], p[ends - 1], value[x[new]]
 
 
-def _buffers(rows: list[tuple], size: int = 4 << 20) -> Iterator[list[tuple]]:
+def _buffers(rows: list[tuple], size: int = 1 << 20) -> Iterator[list[tuple]]:
     """Rows (.., .., data) in groups of about ``size`` bytes."""
     held, total = [], 0
     for row in rows:
@@ -209,13 +211,14 @@ def surroundings(joined: DataFrame, shards: int, length: int, gram: int) -> Data
         for b in batches(stream):
             columns = [b.column(b.schema.get_field_index(n)).to_pylist() for n in ("doc", "key", "text", "places")]
             rows = sorted(((d, k, t.encode("utf-8", "replace"), m) for d, k, t, m in zip(*columns)), key=lambda r: r[:2])
+            seen: dict[tuple[int, bytes], tuple[int, int]] = {}
             for part in _buffers(rows):
-                yield from _send_part(part, shards, length, gram)
+                yield from _send_part(part, seen, shards, length, gram)
 
     return joined.mapInArrow(send, _SHARDED_SQL)
 
 
-def _send_part(part: list[tuple], shards: int, length: int, gram: int) -> Iterator[pa.RecordBatch]:
+def _send_part(part: list[tuple], seen: dict, shards: int, length: int, gram: int) -> Iterator[pa.RecordBatch]:
     buffer, starts = _laid(part)
     prefixes = Prefixes(buffer)
     x, low, high, h = anchors(prefixes, starts, length, gram)
@@ -239,7 +242,6 @@ def _send_part(part: list[tuple], shards: int, length: int, gram: int) -> Iterat
     records["doc"], records["key"], records["at"] = docs[mine], keys[mine], low[chosen] - starts[mine]
     records["ahead"], records["strings"] = x[chosen] - low[chosen], high[chosen] - low[chosen] + 1
     sizes = high[chosen] - low[chosen] + length
-    seen: dict[tuple[int, bytes], tuple[int, int]] = {}
     data: list[bytes] = []
     doc_at = zip(records["doc"].tolist(), records["at"].tolist())
     for i, (a, size, ahead, place) in enumerate(zip(low[chosen].tolist(), sizes.tolist(), records["ahead"].tolist(), doc_at)):
@@ -344,6 +346,36 @@ def sort_suffixes(buffer: np.ndarray, prefixes: Prefixes, starts: np.ndarray, gr
     return order
 
 
+def _sorted_repeats(buffer: np.ndarray, prefixes: Prefixes, r: np.ndarray, b: np.ndarray, anchor: np.ndarray, length: int) -> tuple:
+    """Records and starts of the strings that also start earlier, by sorting all strings of some anchors."""
+    n = r["strings"].astype(np.int64)
+    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    start, w = np.repeat(b, n) + inner, np.repeat(r, n)
+    at = w["at"] + inner
+    group = np.repeat(anchor, n) * (length + 1) + (w["ahead"] - inner)
+    _, back, counts = np.unique(group, return_inverse=True, return_counts=True)
+    several = counts[back] > 1
+    start, w, at, group = start[several], w[several], at[several], group[several]
+    early = np.lexsort((at, w["doc"]))
+    start, w, at, group = start[early], w[early], at[early], group[early]
+    order = sort_suffixes(buffer, prefixes, start, group, length)
+    if not len(order):
+        return w, at
+    same = np.zeros(len(order) - 1, bool)
+    near = np.flatnonzero(group[order][1:] == group[order][:-1])
+    near = near[common_extension(prefixes, start[order[near]], start[order[near + 1]], length) == length]
+    span = np.arange(length)
+    for i in range(0, len(near), 1 << 16):  # collisions: compare the bytes themselves
+        some = near[i : i + (1 << 16)]
+        same[some] = (buffer[start[order[some]][:, None] + span] == buffer[start[order[some + 1]][:, None] + span]).all(1)
+    # The sort is stable over (doc, start): a run's first is its earliest.
+    lead = np.flatnonzero(np.append(True, ~same))
+    lead = np.repeat(lead, np.diff(np.append(lead, len(order))))
+    w, at = w[order], at[order]
+    earlier = (w["doc"][lead] < w["doc"]) | ((w["doc"][lead] == w["doc"]) & (at[lead] < at))
+    return w[earlier], at[earlier]
+
+
 def _repeated_in_shard(records: np.ndarray, data: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(doc, key, start) of the strings that also start earlier."""
     out = [[], [], []]
@@ -386,33 +418,15 @@ def _repeated_in_shard(records: np.ndarray, data: bytes, length: int, gram: int)
     anchor = prefixes.of(b + r["ahead"], b + r["ahead"] + gram)
     _, inverse, counts = np.unique(anchor, return_inverse=True, return_counts=True)
     several = counts[inverse] > 1
-    r, b, inverse = r[several], b[several], inverse[several]
-    if len(r):
-        n = r["strings"].astype(np.int64)
-        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        start, w = np.repeat(b, n) + inner, np.repeat(r, n)
-        at = w["at"] + inner
-        group = np.repeat(inverse, n) * (length + 1) + (w["ahead"] - inner)
-        _, back, counts = np.unique(group, return_inverse=True, return_counts=True)
-        several = counts[back] > 1
-        start, w, at, group = start[several], w[several], at[several], group[several]
-        early = np.lexsort((at, w["doc"]))
-        start, w, at, group = start[early], w[early], at[early], group[early]
-        order = sort_suffixes(buffer, prefixes, start, group, length)
-        same = np.zeros(max(len(order) - 1, 0), bool)
-        near = np.flatnonzero(group[order][1:] == group[order][:-1])
-        near = near[common_extension(prefixes, start[order[near]], start[order[near + 1]], length) == length]
-        for i in range(0, len(near), 1 << 16):  # collisions: compare the bytes themselves
-            some = near[i : i + (1 << 16)]
-            span = np.arange(length)
-            same[some] = (buffer[start[order[some]][:, None] + span] == buffer[start[order[some + 1]][:, None] + span]).all(1)
-        # The sort is stable over (doc, start): a run's first is its earliest.
-        lead = np.flatnonzero(np.append(True, ~same)) if len(order) else np.zeros(0, int)
-        lead = np.repeat(lead, np.diff(np.append(lead, len(order))))
-        o = w[order]
-        first_doc, first_at = w["doc"][order][lead], at[order][lead]
-        earlier = (first_doc < o["doc"]) | ((first_doc == o["doc"]) & (first_at < at[order]))
-        report(o[earlier], at[order][earlier])
+    order = np.flatnonzero(several)[np.argsort(inverse[several], kind="stable")]
+    r, b, inverse = r[order], b[order], inverse[order]
+    held = np.cumsum(r["strings"].astype(np.int64))
+    a = 0
+    while a < len(r):  # whole anchors, of a bounded number of strings together
+        z = int(np.searchsorted(held, (held[a - 1] if a else 0) + SORTED, side="right"))
+        z = int(np.searchsorted(inverse, inverse[min(max(z, a + 1), len(r)) - 1], side="right"))
+        report(*_sorted_repeats(buffer, prefixes, r[a:z], b[a:z], inverse[a:z], length))
+        a = z
     return tuple(np.concatenate(o) if o else np.zeros(0, np.int64) for o in out)
 
 
