@@ -13,6 +13,7 @@ from formweave.llm.near_dedup import near_classes
 from formweave.llm.neighbours import nearest
 from formweave.llm.packing import pack_documents
 from formweave.llm.passages import remove_repeats
+from formweave.llm.pitman_yor import score_language
 from formweave.llm.quality import score_quality
 from formweave.llm.toxicity import score_toxicity
 
@@ -50,6 +51,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_CUT).cast("int"))
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_language(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
@@ -65,6 +70,7 @@ QUERIES = {
     "op3_neighbours": op3_neighbours,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_language_model": op6_language_model,
     "op7_quality": op7_quality,
     "op8_near_dedup": op8_near_dedup,
     "op9_license_scan": op9_license_scan,
