@@ -1,23 +1,86 @@
-"""The corpus pipeline: stages over documents, each written and read again."""
+"""The corpus pipeline: stages over documents, each written and read again.
+
+A stage works on all rows that the one before kept. All but the last return the columns
+of ``documents``; where a stage changes a text, n_chars follows it.
+"""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from formweave.llm.common import BATCH_BYTES, table
 from formweave.llm.exact_dedup import exact_groups
+from formweave.llm.near_dedup import near_classes
+from formweave.llm.packing import pack_documents
+from formweave.llm.passages import remove_repeats
+from formweave.llm.quality import score_quality
 from formweave.session import shared_dir
 
+QUALITY_CUT = 0.3
+
+
+def _text_key(text: str):
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below the cut go. Rows of one id with different texts are judged each."""
+    _bounded(spark)
+    scored = score_quality(docs, table(spark, sf_dir, "labels"), with_key=True)
+    rejected = scored.filter(F.col("score") < QUALITY_CUT).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (_text_key("text") == F.col("__key"))
+    return docs.join(rejected, same, "left_anti")
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the row with the largest doc_id stays; of rows repeated whole, one."""
+    _bounded(spark)
+    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
+    sha = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    stays = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left_semi")
+    return stays.dropDuplicates(["doc_id", "text"])
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates, the document of the smallest doc_id stays."""
+    _bounded(spark)
+    classes, _ = near_classes(docs)
+    gone = classes.filter("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__id")), "left_anti")
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages are cut out of the texts, in whole characters; a document
+    of which nothing is left goes. Texts that were empty before stay."""
+    _bounded(spark)
+    cut = remove_repeats(docs, texts=True).filter("n_removed > 0")
+    cut = cut.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("text").alias("__text")).dropDuplicates(["__id", "__key"])
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (_text_key("text") == F.col("__key"))
+    left = docs.join(cut, same, "left").filter("__text IS NULL OR __text <> ''")
+    changed = F.col("__text").isNotNull()
+    columns = {"text": F.coalesce("__text", "text"), "n_chars": F.when(changed, F.length("__text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)}
+    return left.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document stands in the packed sequences."""
+    _bounded(spark)
+    return pack_documents(docs)
+
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest doc_id stays."""
-    kept = exact_groups(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+def _bounded(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 STAGES = [
-    ("exact dedup", exact_dedup),
+    ("quality classifier", quality),
+    ("exact dedup", exact),
+    ("MinHash near-dedup", near),
+    ("suffix-array dedup", passages),
+    ("packing", packing),
 ]
 
 # Trained classifiers, sampled hash functions and tokenizers are beyond SQL.

@@ -30,7 +30,7 @@ SAMPLE_ROWS = 20_000
 PAIRS = 100_000
 _UPPER, _LOWER, _DIGIT = (bytes(range(a, b)) for a, b in ((65, 91), (97, 123), (48, 58)))
 _MARKS = b"!?#*|<>{}[]=_/\\~^$%&@+"
-_FEATURES = pa.schema([("doc_id", pa.int64()), ("features", pa.list_(pa.float64()))])
+_FEATURES = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("features", pa.list_(pa.float64()))])
 WIDTH = 15
 
 
@@ -63,14 +63,15 @@ def measures(text: str) -> list[float]:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """(doc_id, features) of every row."""
+    """(doc_id, key, features) of every row; the key is a hash of the text."""
 
     def compute(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(stream):
             rows = [measures(t) for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0).cast(pa.int64()), pa.array(rows, _FEATURES.field(1).type)], schema=_FEATURES)
+            yield pa.record_batch([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(rows, _FEATURES.field(2).type)], schema=_FEATURES)
 
-    return whole_texts(docs).mapInArrow(compute, "doc_id long, features array<double>")
+    keyed = whole_texts(docs).withColumn("key", F.xxhash64("text"))
+    return keyed.mapInArrow(compute, "doc_id long, key long, features array<double>")
 
 
 @dataclass
@@ -154,11 +155,14 @@ def _curve(score: np.ndarray, good: np.ndarray) -> tuple[float, float]:
     return float(c[0] / spread), float(c[1])
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, modulus: int = 5, sample: int = SAMPLE_ROWS) -> DataFrame:
+def score_quality(
+    docs: DataFrame, labels: DataFrame, modulus: int = 5, sample: int = SAMPLE_ROWS, with_key: bool = False
+) -> DataFrame:
     """Score every row of ``docs`` (doc_id, text) by ``labels`` (doc_id, quality 0/1).
 
     Returns per row: doc_id, held_out (crc32 of the id modulo ``modulus`` is 0;
-    such rows are never learned from), score (0..1, higher is better). Null and
+    such rows are never learned from), score (0..1, higher is better), and on
+    request key (xxhash64 of the text, telling rows of one id apart). Null and
     empty texts are scored as empty ones; repeated rows get equal scores; labels
     that are null count as absent. Without labels of both kinds all scores are
     equal. An empty table gives an empty table; other columns are not looked at.
@@ -173,9 +177,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, modulus: int = 5, sample:
         .select("features", "quality")
         .toPandas()
     )
-    rows = np.array(learned["features"].tolist(), float).reshape(len(learned), -1)
+    rows = np.array(learned["features"].tolist(), float).reshape(len(learned), WIDTH)
     model = fit_ranker(rows, learned["quality"].to_numpy(int) == 1)
-    return vectors.select("doc_id", (remainder("doc_id", modulus) == 0).alias("held_out"), model.score().alias("score"))
+    key = ["key"] if with_key else []
+    return vectors.select("doc_id", *key, (remainder("doc_id", modulus) == 0).alias("held_out"), model.score().alias("score"))
 
 
 def above_quantile(scored: DataFrame, quantile: float) -> DataFrame:
