@@ -12,10 +12,10 @@ texts' order is found, within the band that the wanted similarity leaves. With A
 matches between texts of m and n shingles the similarity is A / (m + n - A).
 
 Pairs of a bucket are not all emitted. Each bucket is compared with its first
-member, then with some random ones; verified links join components; last, only
-pairs whose ends still are in different components are compared. A coarse
-histogram of shingles bounds the similarity from above, exactly, so that most pairs that fail
-never move a text.
+member, then with some random ones, and verified links join components. For
+buckets that still hold several components, their texts' rarest shingles give the remaining
+candidates, by a bound that loses none. A coarse histogram of shingles bounds
+the similarity from above, exactly, so that most pairs that fail never move a text.
 """
 
 from __future__ import annotations
@@ -207,14 +207,45 @@ def _pivot_pairs(members: DataFrame, labels: DataFrame, picks: list[Column], wan
     return pairs.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
 
 
-def _remaining_pairs(members: DataFrame, labels: DataFrame, wanted: float) -> DataFrame:
-    """All pairs of a bucket that still are in different components."""
+def _remaining_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, wanted: float) -> DataFrame:
+    """Pairs in different components that may still be similar, by their rarest shingles.
+
+    In order of frequency, two texts of m and n shingles that are similar share
+    one of the first m - wanted * m + 1 (n likewise), and after the first shared
+    one enough must be left for the overlap they need. Texts with many shingles of
+    their own share none, whatever the size of the group around them. Shingles
+    within one component join nothing; of others, the texts outside the shingle's
+    commonest component are paired with all.
+    """
     live = members.join(labels, "node")
     mixed = live.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("bucket")
-    live = live.join(mixed, "bucket")
-    one, two = (live.select("bucket", F.col("node").alias(n), F.col("comp").alias(f"c{n}"), F.col("shingles").alias(f"s{n}")) for n in ("a", "b"))
-    pairs = one.join(two, "bucket").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits(F.col("sa"), F.col("sb"), wanted))
-    return pairs.select("a", "b").distinct()
+    open_ = materialise(live.join(mixed, "bucket").select("node", "comp").distinct())
+
+    def shingled(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
+        schema = pa.schema([("node", pa.int64()), ("m", pa.int64()), ("x", pa.list_(pa.int64()))])
+        for batch in batches(stream):
+            x = [labelled_shingles(words_of(t), hashes).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array([len(v) for v in x], pa.int64()), pa.array(x, schema.field(2).type)], schema=schema)
+
+    each = texts.join(open_, "node", "left_semi").select("node", "text").mapInArrow(shingled, "node long, m long, x array<long>")
+    each = materialise(each.select("node", "m", F.explode("x").alias("x")))
+    shared = materialise(each.groupBy("x").agg(F.count("*").alias("df")).filter("df > 1"))
+    ordered = each.join(shared, "x").groupBy("node", "m").agg(F.array_sort(F.collect_list(F.struct("df", "x"))).alias("shared"))
+    # Shingles met in one text only come first; they can't be shared.
+    own = F.col("m") - F.size("shared")
+    first = F.col("m") - F.ceil(F.col("m") * wanted - 1e-9) + 1
+    prefix = ordered.withColumn("own", own).filter(first > own)
+    prefix = prefix.select("node", "m", "own", F.posexplode(F.slice("shared", F.lit(1), (first - own).cast("int"))).alias("at", "s"))
+    prefix = materialise(prefix.select("node", "m", (F.col("own") + F.col("at")).alias("at"), F.col("s.x").alias("x")).join(open_, "node"))
+    common = prefix.groupBy("x", "comp").agg(F.count("*").alias("n")).groupBy("x")
+    common = common.agg(F.count("*").alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("common")).filter("comps > 1")
+    mixed_x = prefix.join(common, "x")
+    side = lambda d, n: d.select("x", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "comp", "m", "at")])
+    need = F.ceil((F.col("m_a") + F.col("m_b")) * (wanted / (1 + wanted)) - 1e-9)
+    enough = F.least(F.col("m_a") - F.col("at_a"), F.col("m_b") - F.col("at_b")) >= need
+    pairs = side(mixed_x.filter("comp <> common"), "a").join(side(mixed_x, "b"), "x").filter((F.col("comp_a") != F.col("comp_b")) & enough)
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def _possible(pairs: DataFrame, described: DataFrame, wanted: float) -> DataFrame:
@@ -283,7 +314,7 @@ def near_classes(docs: DataFrame, wanted: float = SIMILARITY) -> tuple[DataFrame
     tested: list[DataFrame] = []
     random = [F.xxhash64("node", F.lit(p)) for p in range(PIVOTS)]
     for picks in ([F.col("node")], random, None):
-        pairs = _remaining_pairs(members, labels, wanted) if picks is None else _pivot_pairs(members, labels, picks, wanted)
+        pairs = _remaining_pairs(members, labels, texts, wanted) if picks is None else _pivot_pairs(members, labels, picks, wanted)
         if tested:
             pairs = pairs.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
         tested.append(materialise(pairs))
