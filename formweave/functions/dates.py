@@ -22,8 +22,6 @@ LITERAL_FORMS = [
     (f"({_D}{{1,2}})\\.({_D}{{1,2}})\\.({_D}{{4}})", ".", "$3-$2-$1"),
 ]
 MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
-# The first and last microsecond of a 64-bit nanosecond clock.
-CLOCK = ("1677-09-21 00:12:43.145225", "2262-04-11 23:47:16.854775")
 # Unbroken runs of the characters literals consist of. A literal and the digits
 # that could bound it lie in one run; the shortest literal has 8 characters.
 _RUN = "[0-9０-９/.年月日-]{8,}"
@@ -97,8 +95,8 @@ def to_moment(value: Column) -> Column:
 
     ISO text with an optional time, a bare year, eight digits, y/m/d, m/d/y,
     y年m月d日, d.m.y and dates with an English month name, with an optional
-    time, are understood. Moments outside the usual 64-bit nanosecond clock are
-    null, so a small number is no year.
+    time, are understood. A year has four digits and no leading zero, so a small
+    number is no year.
     """
     s = F.translate(F.trim(value), WIDE_DIGITS, ASCII_DIGITS)
     tail = "((?:[ T].*)?)$"
@@ -128,7 +126,4 @@ def to_moment(value: Column) -> Column:
         # A cast alone would read "12:30" as a time of today.
         .when(s.rlike("^[0-9]{4}(?:-|$)"), s)
     )
-    return let(
-        iso.try_cast("timestamp"),
-        lambda t: F.when(t.between(*[F.lit(m).cast("timestamp") for m in CLOCK]), t),
-    )
+    return let(iso, lambda text: F.when(~text.startswith("0"), text.try_cast("timestamp")))

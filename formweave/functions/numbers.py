@@ -19,14 +19,38 @@ NUMBER = r"-?[0-9][0-9,]*(?:\.[0-9]+)?"
 SCALED_NUMBER = rf"({NUMBER})\s*(万亿|亿|万)?"
 
 
+def shift_point(digits: Column, places: Column) -> Column:
+    """Plain digits with their point moved right by ``places`` (left if negative).
+
+    The number stays text: no size or precision is lost. Leading zeros and
+    trailing decimals that are zero fall away.
+    """
+    sign = F.regexp_extract(digits, "^-", 0)
+    whole = F.regexp_extract(digits, r"^-?([0-9]*)", 1)
+    rest = F.regexp_extract(digits, r"\.([0-9]*)$", 1)
+
+    def shifted(parts: Column) -> Column:
+        every, at = parts["every"], parts["at"]
+        zeros = F.repeat(F.lit("0"), F.greatest(-at, F.lit(0)))
+        filled = F.concat(zeros, every, F.repeat(F.lit("0"), F.greatest(at - F.length(every), F.lit(0))))
+        cut = F.greatest(at, F.lit(0))
+        before = F.regexp_replace(F.substring(filled, F.lit(1), cut), "^0+", "")
+        after = F.rtrim(F.substring(filled, cut + 1, F.length(filled)), F.lit("0"))
+        number = F.concat(
+            F.when(before == "", F.lit("0")).otherwise(before),
+            F.when(after == "", F.lit("")).otherwise(F.concat(F.lit("."), after)),
+        )
+        return F.when(number == "0", number).otherwise(F.concat(sign, number))
+
+    return let(F.struct(F.concat(whole, rest).alias("every"), (F.length(whole) + places).cast("int").alias("at")), shifted)
+
+
 def _digits(number: Column) -> Column:
     """A matched SCALED_NUMBER as plain digits; '' for ''."""
-    value = F.translate(F.regexp_extract(number, NUMBER, 0), ",", "").try_cast("decimal(24,8)")
-    factors = F.create_map(*[F.lit(x) for pair in {**SCALES, "": 1}.items() for x in pair])
-    factor = F.element_at(factors, F.regexp_extract(number, "(万亿|亿|万)$", 1)).cast("decimal(13,0)")
-    # The product always shows decimals, so trailing zeros are decimals.
-    trimmed = F.rtrim(F.rtrim((value * factor).cast("string"), F.lit("0")), F.lit("."))
-    return F.coalesce(trimmed, F.lit(""))
+    value = F.translate(F.regexp_extract(number, NUMBER, 0), ",", "")
+    places = F.create_map(*[F.lit(x) for w, n in {**SCALES, "": 1}.items() for x in (w, len(str(n)) - 1)])
+    scale = F.element_at(places, F.regexp_extract(number, "(万亿|亿|万)$", 1))
+    return F.when(value == "", F.lit("")).otherwise(shift_point(value, scale))
 
 
 def is_zero_report(text: Column) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from formweave.functions.binding import let
+
 # The characters counted as white space (all scripts', and the
 # four separators Java leaves out), the marks that end a sentence and those that
 # end a clause.
@@ -85,16 +87,26 @@ def clean(text: Column) -> Column:
 
 def render(template: Column, values: dict[str, Column]) -> Column:
     """Put values into {{ name }} places; a null value leaves nothing."""
-    out = template
-    for name, value in values.items():
+    if not values:
+        return template
+    for name in values:
         # An escaped name could not hold \E, so none is accepted.
         if "\\E" in name:
             raise ValueError(f"bad field name {name!r}")
-        text = F.coalesce(value.cast("string"), F.lit(""))
-        # $ and \ would be read as group references in the replacement.
-        safe = F.regexp_replace(text, r"([\\$])", r"\\$1")
-        out = F.regexp_replace(out, F.lit(f"\\{{\\{{\\s*\\Q{name}\\E\\s*\\}}\\}}"), safe)
-    return out
+    place = "\\{\\{\\s*(" + "|".join(f"\\Q{name}\\E" for name in values) + ")\\s*\\}\\}"
+    texts = F.create_map(*[x for n, v in values.items() for x in (F.lit(n), F.coalesce(v.cast("string"), F.lit("")))])
+    # The template is cut once, so a place inside a value stays text.
+    return let(
+        texts,
+        lambda held: F.array_join(
+            F.zip_with(
+                F.split(template, place),
+                F.transform(F.regexp_extract_all(template, F.lit(place), F.lit(1)), lambda name: F.element_at(held, name)),
+                lambda literal, value: F.concat(literal, F.coalesce(value, F.lit(""))),
+            ),
+            "",
+        ),
+    )
 
 
 def file_name(path: Column) -> Column:

@@ -77,7 +77,7 @@ def _labelled(field: str, plain: Column) -> Column:
 
 
 def _number(field: str, text: Column, plain: Column) -> Column:
-    near = rf"{_literal(field)}[^0-9;；,，。\n-]{{0,12}}({SCALED_NUMBER})"
+    near = rf"{_literal(field)}[^0-9;；,，。\n-]*({SCALED_NUMBER})"
     return _if_named(field, plain, plain_number(F.regexp_extract(plain, near, 1)))
 
 
@@ -114,10 +114,13 @@ def _text(field: str, text: Column, plain: Column) -> Column:
 
 
 def _any(field: str, text: Column, plain: Column) -> Column:
-    """A labelled value; with a leading number it is read as that number."""
+    """A labelled value; with a leading number it is read as that number.
+
+    Digits after a leading zero are a code, and stay as written.
+    """
     # Thousands commas would end a labelled text, so numbers are tried first.
     numeric = F.regexp_extract(
-        plain, rf"{_literal(field)}\s*[:：]?\s*((?:约|近|逾|超过)?\s*{NUMBER}\s*(?:万亿|亿|万)?)(?![0-9-])", 1
+        plain, rf"{_literal(field)}\s*[:：]?\s*((?:约|近|逾|超过)?\s*(?!0[0-9]){NUMBER}\s*(?:万亿|亿|万)?)(?![0-9-])", 1
     )
     value = let(numeric, lambda n: F.when(n != "", plain_number(n)).otherwise(_labelled(field, plain)))
     return _if_named(field, plain, value)

@@ -20,9 +20,6 @@ _ROW_BITS = 33
 _MARK = "__mark"
 _STRETCH = "__stretch"
 
-# Up to this k Spark limits each group before the shuffle (window group limit).
-GROUP_LIMIT = 1000
-
 
 def global_position(
     df: DataFrame,
@@ -84,8 +81,6 @@ def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, nam
     Spark cuts every group to k rows in each map task before the shuffle, so a
     hot group costs no more than k rows per task.
     """
-    if k > GROUP_LIMIT:
-        raise ValueError(f"k above {GROUP_LIMIT}: use global_rank and filter on the rank")
     window = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= k)
 

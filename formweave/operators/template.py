@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from formweave.functions.numbers import shift_point
 from formweave.functions.text import any_filled
 
 # A template up to this many cells is broadcast; a larger one is shuffled.
@@ -82,8 +83,9 @@ def _as_text(value: Column, kind: T.DataType) -> Column:
     text = value.cast("string")
     if not isinstance(kind, (T.DoubleType, T.FloatType)):
         return text
-    plain = F.regexp_replace(value.try_cast("decimal(38,15)").cast("string"), r"(\.[0-9]*?)0+$", "$1")
-    text = F.when(text.contains("E"), F.coalesce(plain, text)).otherwise(text)
+    # Printed digits and exponent, so that neither small nor large values lose any.
+    plain = shift_point(F.regexp_extract(text, "^[^E]+", 0), F.regexp_extract(text, "E(-?[0-9]+)$", 1).try_cast("int"))
+    text = F.when(text.contains("E"), plain).otherwise(text)
     return F.regexp_replace(text, r"\.0?$", "")
 
 
@@ -199,7 +201,8 @@ def fill_many(
         for i, field in enumerate(fields, start=1)
         if field in records.columns
     ]
-    return records.select(*key, F.inline(F.array(*cells)))
+    row = "array<struct<template:string,field_no:int,field:string,value:string>>"
+    return records.select(*key, F.inline(F.array(*cells).cast(row)))
 
 
 def distinct_paths(listings: Sequence[DataFrame]) -> DataFrame:

@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.caseSensitive": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Top-k per group is cut in each map task, for large k too.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     # Decoding binary files hands whole files to Python: bound the batch by
     # bytes, since 10,000 workbooks in one batch would not fit a task.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),

@@ -266,7 +266,10 @@ def date_columns(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     ratios = (
         small.select(*keys, F.posexplode("cells").alias("i", "cell"))
         .groupBy(*keys, "i")
-        .agg(F.avg(_readable(F.col("cell"))).alias("ratio"))
+        .agg(F.sum(_readable(F.col("cell"))).alias("dates"))
+        # A row too short for the column counts as a row without a date.
+        .join(small.groupBy(*keys).agg(F.count("*").alias("sampled")), keys)
+        .withColumn("ratio", F.col("dates") / F.col("sampled"))
         .filter(F.col("ratio") >= ACCEPT_RATIO)
         .groupBy(*keys)
         .agg(F.min_by("i", F.struct(-F.col("ratio"), F.col("i"))).alias("by_content"))
@@ -287,7 +290,7 @@ def filter_rows(rows: DataFrame, ranges: DataFrame, inclusive_day: bool = False)
     # Decoding is the dear part and the rows are read three times from here.
     rows = materialise(rows)
     # One row per sheet: written, the planner sees whether it can be broadcast.
-    dated = rows.join(materialise(date_columns(rows)), ["path", "sheet_idx", "sheet"])
+    dated = rows.join(materialise(date_columns(rows.filter("cells IS NOT NULL"))), ["path", "sheet_idx", "sheet"], "left")
     start = ranges.select("start_date").scalar()
     end = ranges.select("end_date").scalar()
     at = to_moment(F.get("cells", F.col("date_idx")))
