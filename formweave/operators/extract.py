@@ -63,7 +63,8 @@ def _kind_of(field: str) -> str:
 
 
 def _literal(name: str) -> str:
-    return re.sub(r"([^\w])", r"\\\1", name)
+    """A field name as a pattern; no letter, digit or Han character stands before it."""
+    return r"(?<![\p{L}\p{N}_])" + re.sub(r"([^\w])", r"\\\1", name)
 
 
 def _if_named(field: str, plain: Column, found: Column) -> Column:
