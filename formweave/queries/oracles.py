@@ -239,12 +239,12 @@ POOL = f"""
 
 TOKENS = f"list_filter(regexp_split_to_array(text, '{SP}+'), lambda t: t <> '')"
 BM25_BASE = f"""
-  toks AS (SELECT doc_id AS node_id, {TOKENS} AS t FROM documents),
+  toks AS MATERIALIZED (SELECT doc_id AS node_id, {TOKENS} AS t FROM documents),
   dl AS (SELECT node_id, len(t) AS dl FROM toks),
-  post AS (SELECT node_id, term, count(*) AS tf FROM (SELECT node_id, unnest(t) AS term FROM toks) GROUP BY ALL),
+  post AS MATERIALIZED (SELECT node_id, term, count(*) AS tf FROM (SELECT node_id, unnest(t) AS term FROM toks) GROUP BY ALL),
   g AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
   dfs AS (SELECT term, count(*) AS df FROM post GROUP BY term),
-  raw AS (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS r FROM dfs, g),
+  raw AS MATERIALIZED (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS r FROM dfs, g),
   mi AS (SELECT avg(r) AS m FROM raw),
   idf AS (SELECT term, df, CASE WHEN r < 0 THEN 0.25 * m ELSE r END AS idf FROM raw, mi)"""
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +49,9 @@ def local_session(cores: int | str = "*", app: str = "formweave", memory: str =
     return spark
 
 
+_own_folder: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
@@ -58,20 +63,40 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SHARED_DIR_CONF} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="formweave-")
-    spark.conf.set(SHARED_DIR_CONF, folder)
-    return folder
+    if not _own_folder:
+        _own_folder.append(tempfile.mkdtemp(prefix="formweave-"))
+    return _own_folder[0]
+
+
+# Handles in use, the innermost last; the first belongs to the process.
+_handles: list[list[str]] = [[]]
 
 
-_copies: list[str] = []
+@contextmanager
+def copies(spark: SparkSession) -> Iterator[list[str]]:
+    """Own the copies written inside the block: they are deleted at its end.
+
+    Copies of other results, made before, after or in an inner block, stay.
+    """
+    own: list[str] = []
+    _handles.append(own)
+    try:
+        yield own
+    finally:
+        _handles.remove(own)
+        _delete(spark, own)
 
 
 def drop_copies(spark: SparkSession) -> int:
-    """Delete the copies this process has written, once their results are used."""
+    """Delete the copies written outside copies() blocks, once their results are used."""
+    return _delete(spark, _handles[0])
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> int:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     dropped = 0
-    while _copies:
-        path = jvm.org.apache.hadoop.fs.Path(_copies.pop())
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         dropped += bool(path.getFileSystem(conf).delete(path, True))
     return dropped
 
@@ -82,10 +107,11 @@ def materialise(df: DataFrame) -> DataFrame:
     The copy survives lost executors, freezes values that a recomputation
     could change (partition ids, sampled range bounds), and stays columnar, so
     a later pass over one column reads that column only. Copies live until
-    drop_copies() or until the folder's owner clears it.
+    the end of their copies() block, until drop_copies(), or until the folder's
+    owner clears it.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/formweave-{uuid.uuid4().hex}"
-    _copies.append(path)
+    _handles[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
