@@ -114,7 +114,7 @@ def fit_ranker(rows: np.ndarray, good: np.ndarray, pairs: int = PAIRS, steps: in
     width = rows.shape[1] if len(rows) else WIDTH
     model = Ranker(np.zeros(width), np.ones(width), np.zeros(2 * width), 1.0, 0.0)
     share = float(good.mean()) if len(good) else 0.5
-    if not 0 < share < 1:
+    if not len(good) or not 0 < share < 1:
         model.offset = float(np.log((share * len(good) + 1) / ((1 - share) * len(good) + 1)))
         return model
     model.centre, model.scale = rows.mean(0), rows.std(0) + 1e-6
