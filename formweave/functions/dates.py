@@ -21,6 +21,8 @@ LITERAL_FORMS = [
     (f"({_D}{{4}})年({_D}{{1,2}})月({_D}{{1,2}})日", "年", None),
     (f"({_D}{{1,2}})\\.({_D}{{1,2}})\\.({_D}{{4}})", ".", "$3-$2-$1"),
 ]
+# The first and last whole year of a 64-bit nanosecond clock.
+YEARS = ("1678", "2262")
 MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 # Unbroken runs of the characters literals consist of. A literal and the digits
 # that could bound it lie in one run; the shortest literal has 8 characters.
@@ -95,8 +97,8 @@ def to_moment(value: Column) -> Column:
 
     ISO text with an optional time, a bare year, eight digits, y/m/d, m/d/y,
     y年m月d日, d.m.y and dates with an English month name, with an optional
-    time, are understood. A year has four digits and no leading zero, so a small
-    number is no year.
+    time, are understood. A year has four digits and no leading zero; standing
+    alone it must lie in YEARS, so that not every number of four digits is a date.
     """
     s = F.translate(F.trim(value), WIDE_DIGITS, ASCII_DIGITS)
     tail = "((?:[ T].*)?)$"
@@ -126,4 +128,7 @@ def to_moment(value: Column) -> Column:
         # A cast alone would read "12:30" as a time of today.
         .when(s.rlike("^[0-9]{4}(?:-|$)"), s)
     )
-    return let(iso, lambda text: F.when(~text.startswith("0"), text.try_cast("timestamp")))
+    dated = F.length(s) > 4
+    return let(
+        iso, lambda text: F.when(~text.startswith("0") & (dated | text.between(*YEARS)), text.try_cast("timestamp"))
+    )

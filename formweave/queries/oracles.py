@@ -444,6 +444,21 @@ ORACLES = {
     "number_units": NUMBER_UNITS,
     "mail_merge": """SELECT c_custkey, concat('Dear ', c_name, ' $1 \\,', chr(10), c_acctbal::DECIMAL(18,2)::VARCHAR, ' is due. ',
   c_name, ' $1 \\ / {{ unknown }} / ', CASE WHEN c_nationkey <> 3 THEN c_mktsegment ELSE '' END) AS letter FROM customer""",
+    "mail_merge_nested": "SELECT c_custkey, concat('A {{ b }}', c_custkey, ' B ', c_name, '{{c}}') AS letter FROM customer",
+    "long_numbers": """SELECT o_orderkey, concat('110101', lpad(o_orderkey::VARCHAR, 12, '0')) AS id_number,
+  concat('0.', lpad(o_orderkey::VARCHAR, 12, '0'), '1') AS decimals,
+  concat('9', lpad(o_orderkey::VARCHAR, 12, '0'), '500000000000') AS scaled FROM orders""",
+    "distant_numbers": """SELECT o_orderkey, (o_orderkey * 10000)::VARCHAR AS amount, concat('00', o_orderkey) AS code,
+  o_custkey::VARCHAR AS gdp FROM orders""",
+    "first_filled_values": """SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN c_name WHEN 3 THEN c_mktsegment ELSE '?' END AS value
+  FROM customer""",
+    "blank_line_paragraphs": pieces(paragraphs("text")),
+    "han_bigrams": """WITH h AS (SELECT o_orderkey, o_orderstatus, translate(o_orderkey::VARCHAR, '0123456789', '零一二三四五六七八九') AS han FROM orders),
+  b AS (SELECT *, array_to_string(list_transform(range(1, greatest(length(han) - 1, 1) + 1), lambda i: substr(han, i, 2)), '|') AS pairs FROM h)
+  SELECT o_orderkey, concat(pairs, '|', o_orderstatus, '|', pairs, '|元') AS tokens FROM b""",
+    "bm25_topk_large": f"""WITH {bm25_scores(BENCH_Q)}
+  SELECT query_id, node_id, score, rank::INTEGER AS rank
+  FROM ({ranked("SELECT query_id, node_id, round(score, 4) AS score FROM scores", 1500)})""",
     "lookup_default": LOOKUP,
     "lookup_default_table": """SELECT c_custkey, n_name AS nation, CASE WHEN c_custkey % 5 = 0 THEN 'kept'
   WHEN n_regionkey = 2 THEN 'ASIA' ELSE '' END AS area FROM customer JOIN nation ON c_nationkey = n_nationkey""",

@@ -252,6 +252,20 @@ def paragraph_split(spark: SparkSession, sf: str) -> DataFrame:
     return _parts(spark, sf, X.paragraphs(F.col("text"), "\n"))
 
 
+def blank_line_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
+    """Paragraphs between blank lines, some of which hold ideographic spaces."""
+    apart = F.regexp_replace("text", "\\n", "\n\u3000 \n")
+    return _parts(spark, sf, X.paragraphs(apart))
+
+
+def han_bigrams(spark: SparkSession, sf: str) -> DataFrame:
+    """Two-character windows over Han runs beside words of spaced scripts."""
+    o = table(spark, sf, "orders")
+    han = F.translate(F.col("o_orderkey").cast("string"), "0123456789", "零一二三四五六七八九")
+    text = F.concat(han, F.col("o_orderstatus"), F.lit(" "), han, F.lit(" 元"))
+    return o.select("o_orderkey", joined(X.words_and_bigrams(text)).alias("tokens"))
+
+
 def sentence_split(spark: SparkSession, sf: str) -> DataFrame:
     return _parts(spark, sf, X.sentences(F.col("text")))
 
@@ -377,6 +391,44 @@ def mail_merge(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("c_custkey", X.render(body, values).alias("letter"))
 
 
+def mail_merge_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """A value that looks like a place stays as it is."""
+    c = table(spark, sf, "customer")
+    values = {"a": F.concat(F.lit("{{ b }}"), F.col("c_custkey").cast("string")), "b": F.col("c_name")}
+    return c.select("c_custkey", X.render(F.lit("A {{ a }} B {{ b }}{{c}}"), values).alias("letter"))
+
+
+def long_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers of 18 digits, of 12 decimals, and large ones with a scale word."""
+    key = F.lpad(F.col("o_orderkey").cast("string"), 12, "0")
+    return table(spark, sf, "orders").select(
+        "o_orderkey",
+        plain_number(F.concat(F.lit("号: 110101"), key, F.lit(" 件"))).alias("id_number"),
+        plain_number(F.concat(F.lit("约 0."), key, F.lit("1"))).alias("decimals"),
+        plain_number(F.concat(F.lit("9"), key, F.lit(".5万亿元"))).alias("scaled"),
+    )
+
+
+def distant_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """A number far behind its field name, codes with leading zeros, and a field name inside another."""
+    fields = ["合同金额", "编码", "GDP"]
+    text = F.concat(
+        F.lit("合同金额（含税及全部附加费用合计、不含运输）为 "), F.col("o_orderkey").cast("string"),
+        F.lit(" 万元；编码: 00"), F.col("o_orderkey").cast("string"), F.lit("；人均GDP: 5；GDP: "), F.col("o_custkey").cast("string"),
+    )
+    rules = extract.rule_extractor(fields, {"合同金额": "number"})
+    names = ["amount", "code", "gdp"]
+    found = table(spark, sf, "orders").select("o_orderkey", rules(text).alias("record"))
+    return found.select("o_orderkey", *[F.element_at("record", F.lit(f)).alias(n) for f, n in zip(fields, names)])
+
+
+def first_filled_values(spark: SparkSession, sf: str) -> DataFrame:
+    """The first of several values that is neither null nor empty."""
+    part = F.col("c_custkey") % 4
+    values = [F.when(part == 0, F.col("c_name")).when(part == 1, ""), F.when(part < 2, ""), F.when(part > 2, F.col("c_mktsegment"))]
+    return table(spark, sf, "customer").select("c_custkey", X.first_filled(values).alias("value"))
+
+
 # --- extraction ------------------------------------------------------------
 
 
@@ -528,6 +580,11 @@ def bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
     return bm25.best_matches(_index(spark, sf), _text_queries(spark, sf), fusion.TOP_K, decimals=4)
 
 
+def bm25_topk_large(spark: SparkSession, sf: str) -> DataFrame:
+    """More hits per query than the usual few."""
+    return bm25.best_matches(_index(spark, sf), _text_queries(spark, sf), 1500, decimals=4)
+
+
 def bm25_all(spark: SparkSession, sf: str) -> DataFrame:
     scored = bm25.all_scores(_index(spark, sf), ONE_QUERY)
     return scored.select("node_id", F.round("score", 4).alias("score"))
@@ -802,6 +859,13 @@ QUERIES = {
     "markdown_tables": markdown_tables,
     "number_units": number_units,
     "mail_merge": mail_merge,
+    "mail_merge_nested": mail_merge_nested,
+    "long_numbers": long_numbers,
+    "distant_numbers": distant_numbers,
+    "first_filled_values": first_filled_values,
+    "blank_line_paragraphs": blank_line_paragraphs,
+    "han_bigrams": han_bigrams,
+    "bm25_topk_large": bm25_topk_large,
     "lookup_default": lookup_default,
     "lookup_default_table": lookup_default_table,
     "reply_parse": reply_parse,

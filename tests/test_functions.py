@@ -75,7 +75,7 @@ def test_ranges(value):
         ("2020-07-01", "2020-07-01 00:00:00"), ("2020-07-01 10:30:00", "2020-07-01 10:30:00"), ("2020", "2020-01-01 00:00:00"),
         ("2020/7/1 09:00", "2020-07-01 09:00:00"), ("7/1/2020", "2020-07-01 00:00:00"), ("2020年7月1日", "2020-07-01 00:00:00"),
         ("20200701", "2020-07-01 00:00:00"), ("20201301", None), ("1 July 2020", "2020-07-01 00:00:00"),
-        ("01-Jul-2020 08:00", "2020-07-01 08:00:00"), ("Aug 31, 2020", "2020-08-31 00:00:00"), ("1 Foo 2020", None), ("1 anf 2020", None), ("1066", "1066-01-01 00:00:00"), ("0042", None), ("9999-12-31", "9999-12-31 00:00:00"), ("2 dec 2020", "2020-12-02 00:00:00"),
+        ("01-Jul-2020 08:00", "2020-07-01 08:00:00"), ("Aug 31, 2020", "2020-08-31 00:00:00"), ("1 Foo 2020", None), ("1 anf 2020", None), ("1677", None), ("1678", "1678-01-01 00:00:00"), ("1066-10-14", "1066-10-14 00:00:00"), ("0042", None), ("9999-12-31", "9999-12-31 00:00:00"), ("2 dec 2020", "2020-12-02 00:00:00"),
         ("31.08.2020", "2020-08-31 00:00:00"), ("12:30", None), ("bad", None), ("2020-13-01", None), ("17", None),
     ],
 )
