@@ -38,10 +38,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest doc_id stays; of rows repeated whole, one."""
     _bounded(spark)
-    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
+    groups = exact_groups(docs).filter("group_size > 1")
+    groups = groups.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("kept").alias("__kept")).distinct()
     sha = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    stays = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left_semi")
-    return stays.dropDuplicates(["doc_id", "text"])
+    joined = docs.join(groups, docs["doc_id"].eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left")
+    # Only rows with copies can be repeated whole.
+    several = joined.filter("__kept").dropDuplicates(["__id", "__sha"])
+    return joined.filter("__kept IS NULL").select(*docs.columns).unionByName(several.select(*docs.columns))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,13 +59,12 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages are cut out of the texts, in whole characters; a document
     of which nothing is left goes. Texts that were empty before stay."""
     _bounded(spark)
-    cut = remove_repeats(docs, texts=True).filter("n_removed > 0")
-    cut = cut.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("text").alias("__text")).dropDuplicates(["__id", "__key"])
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (_text_key("text") == F.col("__key"))
-    left = docs.join(cut, same, "left").filter("__text IS NULL OR __text <> ''")
-    changed = F.col("__text").isNotNull()
-    columns = {"text": F.coalesce("__text", "text"), "n_chars": F.when(changed, F.length("__text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)}
-    return left.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
+    cut = remove_repeats(docs, texts=True, carry=docs.columns)
+    changed = F.col("n_removed") > 0
+    given = {c: F.col(f"__{c}") for c in docs.columns}
+    n_chars = F.when(changed, F.length("text")).otherwise(given["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    columns = given | {"text": F.when(changed, F.col("text")).otherwise(given["text"]), "n_chars": n_chars}
+    return cut.filter(~changed | (F.col("text") != "")).select(*[v.alias(c) for c, v in columns.items()])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

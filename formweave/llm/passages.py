@@ -26,12 +26,13 @@ passage common to most documents sends one record per batch.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from formweave.llm.common import batches
 from formweave.session import materialise
@@ -494,19 +495,25 @@ def _whole_characters(data: bytes, spans: np.ndarray) -> str:
     return b"".join([*kept, data[at:]]).decode("utf-8", "replace")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts: bool = False, hot: int = HOT) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, texts: bool = False, hot: int = HOT, carry: Sequence[str] = ()
+) -> DataFrame:
     """Remove repeated passages from all rows of ``docs`` (doc_id, text).
 
     Returns per row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs),
-    kept_sha256 (of the remaining bytes); with ``texts`` also key (a hash of the
-    given text) and text, what remains when the removed runs are shrunk to whole
-    characters. Null texts are empty. A null doc_id comes after all others. Rows
+    kept_sha256 (of the remaining bytes); with ``texts`` also text, what remains
+    when the removed runs are shrunk to whole characters; last, as "__<name>",
+    any columns of ``docs`` named in ``carry``, unchanged. Null texts are empty. A null doc_id comes after all others. Rows
     with the same doc_id count as one document: of rows repeated whole none
     repeats the other. An empty table gives an empty table; other columns are
     not looked at.
     """
+    extra = [f"__{c}" for c in carry]
     given = docs.select(
-        "doc_id", F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), F.coalesce("text", F.lit("")).alias("text")
+        "doc_id",
+        F.coalesce("doc_id", F.lit(_LAST)).alias("doc"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        *[docs[f"`{c}`"].alias(e) for c, e in zip(carry, extra)],
     ).withColumn("key", F.xxhash64("text"))
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(MIN_SHARDS, size // SHARD_BYTES)
@@ -519,23 +526,25 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
 
     places = repeated_anchors(anchor_table(given, shards, length, gram), hot).groupBy("key").agg(F.collect_list("places").alias("places"))
     marked = materialise(firsts.select(F.col("first").alias("doc"), "key").join(places, "key").select("doc", "key", "places"))
-    by_doc = given.select("doc_id", "doc", "key", "text")
+    by_doc = given.select("doc_id", "doc", "key", "text", *extra)
     joined = by_doc.join(marked.hint("shuffle_hash"), ["doc", "key"])
     spans = found_spans(surroundings(joined, shards, length, gram), length, gram).groupBy("doc", "key").agg(F.collect_list("spans").alias("spans"))
     found = materialise(
         spans.withColumn("copy", F.lit(False)).unionByName(copies.select("doc", "key", F.array().cast("array<binary>").alias("spans"), F.lit(True).alias("copy")))
     )
-    columns = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    schema = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
+    columns = T.StructType().add("doc_id", "long").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
     if texts:
-        columns, schema = columns + ", key long, text string", [*schema, ("key", pa.int64()), ("text", pa.string())]
-    schema = pa.schema(schema)
+        columns, kinds = columns.add("text", "string"), [*kinds, pa.string()]
+    for c, e in zip(carry, extra):
+        columns = columns.add(e, docs.schema[c].dataType)
+    names = columns.names
 
     def cut(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(stream):
-            out = [[] for _ in schema]
-            at = [b.column(b.schema.get_field_index(n)).to_pylist() for n in ("doc_id", "key", "text", "spans", "copy")]
-            for doc_id, key, text, spans, copy in zip(*at):
+            out = [[] for _ in kinds]
+            at = [b.column(b.schema.get_field_index(n)).to_pylist() for n in ("doc_id", "text", "spans", "copy")]
+            for doc_id, text, spans, copy in zip(*at):
                 data = text.encode("utf-8", "replace")
                 if copy and len(data) >= length:
                     gone = np.array([[0, len(data)]])
@@ -547,9 +556,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text
                 kept = b"".join(data[a:e] for a, e in zip(edges[::2], edges[1::2]))
                 row = [doc_id, len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest()]
                 if texts:
-                    row += [key, _whole_characters(data, gone)]
+                    row.append(_whole_characters(data, gone))
                 for o, v in zip(out, row):
                     o.append(v)
-            yield pa.record_batch([pa.array(o, f.type) for o, f in zip(out, schema)], schema=schema)
+            carried = [b.column(b.schema.get_field_index(e)) for e in extra]
+            yield pa.RecordBatch.from_arrays([*(pa.array(o, k) for o, k in zip(out, kinds)), *carried], names=names)
 
     return by_doc.join(found.hint("shuffle_hash"), ["doc", "key"], "left").mapInArrow(cut, columns)
