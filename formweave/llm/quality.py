@@ -169,14 +169,10 @@ def score_quality(
     """
     vectors = materialise(measured(docs))
     known = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    learned = (
-        vectors.filter(remainder("doc_id", modulus) != 0)
-        .join(known, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample)
-        .select("features", "quality")
-        .toPandas()
-    )
+    known = known.filter(remainder("doc_id", modulus) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    # At most ``sample`` ids: small enough to send to every task.
+    learned = vectors.join(F.broadcast(known), "doc_id").select("doc_id", "key", "features", "quality").toPandas()
+    learned = learned.drop_duplicates(["doc_id", "key"]).sort_values(["doc_id", "key"], kind="stable")
     rows = np.array(learned["features"].tolist(), float).reshape(len(learned), WIDTH)
     model = fit_ranker(rows, learned["quality"].to_numpy(int) == 1)
     key = ["key"] if with_key else []
