@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from formweave.llm.common import BATCH_BYTES, table
 from formweave.llm.exact_dedup import exact_groups
-from formweave.llm.near_dedup import near_classes
+from formweave.llm.near_dedup import near_classes, text_key
 from formweave.llm.packing import pack_documents
 from formweave.llm.passages import remove_repeats
 from formweave.llm.quality import score_quality
@@ -48,11 +48,12 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates, the document of the smallest doc_id stays."""
+    """Of each class of near duplicates, the text of the smallest doc_id stays. Rows of one id with different texts are judged each."""
     _bounded(spark)
-    classes, _ = near_classes(docs)
-    gone = classes.filter("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__id")), "left_anti")
+    classes, _ = near_classes(docs, with_key=True)
+    gone = classes.filter("NOT kept").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (text_key("text") == F.col("__key"))
+    return docs.join(gone, same, "left_anti")
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

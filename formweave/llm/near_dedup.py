@@ -39,13 +39,12 @@ SHINGLE, SIMILARITY = 5, 0.8
 TABLES, PICKS = 16, 3
 PIVOTS = 8
 BINS = 256
-_LAST = (1 << 63) - 1  # stands for a null doc_id
 _TABLE = bytes(c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 _MEMO = 200_000
 _U = np.uint64
 _SEEDS = np.array([xxhash.xxh3_64_intdigest(b"table %d" % t) for t in range(TABLES)], _U)
 _DESCRIBED = pa.schema(
-    [("doc", pa.int64()), ("digest", pa.binary()), ("shingles", pa.int64()), ("sketch", pa.list_(pa.int64())), ("bins", pa.binary())]
+    [("doc", pa.int64()), ("key", pa.binary()), ("digest", pa.binary()), ("shingles", pa.int64()), ("sketch", pa.list_(pa.int64())), ("bins", pa.binary())]
 )
 
 
@@ -109,14 +108,14 @@ def sketch(x: np.ndarray) -> list[int]:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """(doc, digest, shingles, sketch, bins) of every row. Copies in one batch are sketched once."""
+    """(doc, key, digest, shingles, sketch, bins) of every row. Copies in one batch are sketched once."""
 
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for b in batches(stream):
             known: dict[bytes, tuple] = {}
             out: list[list] = [[] for _ in _DESCRIBED]
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for doc, key, text in zip(*(b.column(i).to_pylist() for i in range(3))):
                 words = words_of(text)
                 plain = b" ".join(words) if words else b"\x00" + text.encode("utf-8", "replace")
                 digest = hashlib.blake2b(plain, digest_size=16).digest()
@@ -124,11 +123,11 @@ def describe(docs: DataFrame) -> DataFrame:
                     x = labelled_shingles(words, hashes)
                     bins = np.bincount((x >> _U(56)).astype(np.int64), minlength=BINS).astype("<u4").tobytes()
                     known[digest] = (len(x), sketch(x), bins)
-                for column, value in zip(out, (doc, digest, *known[digest])):
+                for column, value in zip(out, (doc, key, digest, *known[digest])):
                     column.append(value)
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(out, _DESCRIBED)], schema=_DESCRIBED)
 
-    return docs.select("doc", "text").mapInArrow(run, "doc long, digest binary, shingles long, sketch array<long>, bins binary")
+    return docs.select("doc", "key", "text").mapInArrow(run, "doc long, key binary, digest binary, shingles long, sketch array<long>, bins binary")
 
 
 def chain(a: np.ndarray, b: np.ndarray, least: int) -> int:
@@ -285,29 +284,43 @@ def _verified(pairs: DataFrame, texts: DataFrame, wanted: float) -> DataFrame:
     return joined.mapInArrow(align, "a long, b long, similarity double")
 
 
-def near_classes(docs: DataFrame, wanted: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+def text_key(text: str) -> Column:
+    """128 bits of a text's hash, by which rows of one doc_id are told apart; a null text is empty."""
+    return F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256), 1, 32))
+
+
+def near_classes(docs: DataFrame, wanted: float = SIMILARITY, with_key: bool = False) -> tuple[DataFrame, DataFrame]:
     """Classes of near-duplicate rows of ``docs`` (doc_id, text), and the links between them.
 
     The first table has one row per row of ``docs``: doc_id, class_id (smallest
-    doc_id of the class, which links connect), kept (doc_id is class_id). The
+    doc_id of the class, which links connect), kept, and with ``with_key`` the row's
+    text_key as ``key``. Of each class one doc_id and text is kept: of the smallest
+    doc_id, and of its texts in the class the one of the smallest key. The
     second has the verified links (a, b, similarity) between smallest ids of
     rows with equal words. Null texts are empty; texts without words are alike
-    only when equal; rows with equal words are of one class. Rows sharing a doc_id count as one
-    document, and a null doc_id comes last. An empty table gives empty tables; other
+    only when equal; rows with equal words are of one class. Rows sharing a doc_id
+    with different texts are classed each by its own text, those without a doc_id
+    too, and a null doc_id comes last. An empty table gives empty tables; other
     columns are not looked at.
     """
-    given = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
+    given = docs.select(F.col("doc_id").alias("doc"), text_key("text").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     described = materialise(describe(given))
+    row = F.struct(F.col("doc").isNull().alias("none"), "doc", "key")
+    # A node is all rows with equal words, whatever their ids; written, so that its number stays.
     nodes = materialise(
-        described.groupBy("digest").agg(F.min("doc").alias("node"), F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch"), F.first("bins").alias("bins"))
+        described.groupBy("digest")
+        .agg(F.min(row).alias("first"), F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch"), F.first("bins").alias("bins"))
+        .withColumn("node", F.monotonically_increasing_id())
     )
     signed = nodes.select("node", "shingles", F.posexplode("sketch").alias("table", "signature"))
     signed = signed.select("node", "shingles", F.xxhash64("table", "signature").alias("bucket"))
     full = signed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     members = materialise(signed.join(full, "bucket").select("bucket", "node", "shingles"))
     candidates = materialise(members.select("node").distinct())
-    texts = materialise(given.withColumnRenamed("doc", "node").join(candidates, "node", "left_semi").dropDuplicates(["node"]))
-    bins = materialise(nodes.join(candidates, "node", "left_semi").dropDuplicates(["node"]).select("node", "bins"))
+    firsts = nodes.join(candidates, "node", "left_semi").select("node", F.col("first.doc").alias("__doc"), F.col("first.key").alias("__key"))
+    own = given["doc"].eqNullSafe(F.col("__doc")) & (given["key"] == F.col("__key"))
+    texts = materialise(given.join(firsts, own).select("node", "text").dropDuplicates(["node"]))
+    bins = materialise(nodes.join(candidates, "node", "left_semi").select("node", "bins"))
 
     labels = candidates.withColumn("comp", F.col("node"))
     found: list[DataFrame] = []
@@ -323,9 +336,13 @@ def near_classes(docs: DataFrame, wanted: float = SIMILARITY) -> tuple[DataFrame
         labels = _components(labels, links)
     links = reduce(DataFrame.unionByName, found)
 
-    by_digest = nodes.join(labels, "node", "left").select("digest", F.coalesce("comp", "node").alias("comp"))
-    rows = described.select("doc", "digest").join(by_digest, "digest")
-    class_id = F.when(F.col("comp") != _LAST, F.col("comp"))
-    doc_id = F.when(F.col("doc") != _LAST, F.col("doc"))
-    classes = rows.select(doc_id.alias("doc_id"), class_id.alias("class_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
-    return classes, links.select("a", "b", "similarity")
+    linked = labels.join(nodes.select("node", "first"), "node")
+    least = linked.groupBy("comp").agg(F.count("*").alias("n"), F.min("first").alias("least")).filter("n > 1").drop("n")
+    moved = labels.join(least, "comp").select("node", "least")
+    by_digest = nodes.join(moved, "node", "left").select("digest", F.coalesce("least", "first").alias("least"))
+    rows = described.select("doc", "key", "digest").join(by_digest, "digest")
+    kept = F.col("doc").eqNullSafe(F.col("least.doc")) & (F.col("key") == F.col("least.key"))
+    classes = rows.select(F.col("doc").alias("doc_id"), F.col("least.doc").alias("class_id"), kept.alias("kept"), *(["key"] if with_key else []))
+    one, two = (nodes.select(F.col("node").alias(n), F.col("first.doc").alias(f"doc_{n}")) for n in ("a", "b"))
+    named = links.join(one, "a").join(two, "b")
+    return classes, named.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"), "similarity")

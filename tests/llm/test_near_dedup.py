@@ -1,5 +1,7 @@
 """Near-duplicate classes against all pairs."""
 
+import hashlib
+
 import numpy as np
 
 from formweave.llm.near_dedup import _WordHashes, chain, labelled_shingles, near_classes, similarity, words_of
@@ -67,6 +69,26 @@ def test_edges(spark):
     assert near_classes(docs.limit(0))[0].count() == 0
 
 
+def shared_ids():
+    """Rows without an id, and rows of one id, of which some are near copies of other rows."""
+    texts = [" ".join(f"{name}{i}" for i in range(60)) for name in "abcdef"]
+    near = [t + " more" for t in texts]
+    rows = [(1, texts[0]), (2, texts[1]), (None, near[0]), (None, texts[2]), (None, near[2]), (7, near[1]), (7, texts[3]), (8, near[3]), (8, texts[4]), (9, texts[5])]
+    one = min((texts[2], near[2]), key=lambda t: hashlib.sha256(t.encode()).digest())
+    kept = {(1, texts[0]), (2, texts[1]), (None, one), (7, texts[3]), (8, texts[4]), (9, texts[5])}
+    low = {near[0]: 1, near[1]: 2, near[3]: 7}
+    return rows, kept, low
+
+
+def test_rows_sharing_ids(spark):
+    rows, kept, low = shared_ids()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes, _ = near_classes(docs, with_key=True)
+    text_of = {hashlib.sha256(t.encode()).digest()[:16]: t for _, t in rows}
+    got = {(r.doc_id, text_of[bytes(r.key)]): (r.class_id, r.kept) for r in classes.collect()}
+    assert got == {(i, t): (low.get(t, i), (i, t) in kept) for i, t in rows}
+
+
 def test_chain_against_dynamic_programming():
     picks = np.random.default_rng(8)
     for _ in range(200):

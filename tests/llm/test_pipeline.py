@@ -4,6 +4,7 @@ import corpus_pipeline
 from formweave.llm.common import table
 from formweave.llm.quality import score_quality
 from tests.llm.test_near_dedup import brute as near_brute
+from tests.llm.test_near_dedup import shared_ids
 from tests.llm.test_packing import check as packing_check
 from tests.llm.test_passages import brute as passages_brute
 
@@ -48,3 +49,10 @@ def test_edges(spark):
             assert out.count() <= 4 * some.count(), name
     exact = {(r.doc_id, r.text) for r in corpus_pipeline.exact(spark, docs, DATA).collect()}
     assert exact == {(1, good), (2, good + " more"), (None, rows[3][1]), (4, ""), (5, good[:300]), (5, rows[7][1])}
+
+
+def test_near_copies_of_one_id(spark):
+    """Only the row that is a near copy goes, not all rows of its id or all rows without one."""
+    rows, kept, _ = shared_ids()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.text) for r in corpus_pipeline.near(spark, docs, DATA).collect()} == kept
