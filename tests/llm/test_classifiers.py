@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from formweave.llm.quality import above_quantile, fit_ranker, measures, score_quality
-from formweave.llm.toxicity import Model, _convolved, best_cut, fit, score_toxicity, scores, word_rows, _Hashes
+from formweave.llm.toxicity import Model, _convolved, best_cut, calibrate, fit, score_texts, score_toxicity, scores, train, word_rows, _Hashes
 
 DATA = "/root/testdata/sf0.1"
 
@@ -40,6 +40,39 @@ def test_toxicity_of_held_out_rows(given):
     assert set(cuts) == {"de", "en", "es", "fr"} and all(0 < c < 1 for c in cuts.values())
 
 
+def test_toxicity_does_not_depend_on_the_sample(spark):
+    """A sample that holds all toxic rows and a tenth of the others gives the same scores as all rows."""
+    picks = np.random.default_rng(2)
+    rows = []
+    for i in range(3000):
+        toxic = int(picks.random() < 0.1)
+        bad = picks.random() < (0.7 if toxic else 0.1)
+        rows.append((i, f"plain words {i % 7} and then {'awful' if bad else 'nice'} ones", "en", toxic))
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    docs, labels = given.select("doc_id", "text", "lang"), given.select("doc_id", "toxic")
+    means = []
+    for sample in (3000, 240):
+        model, cuts = train(docs, labels, sample=sample)
+        score = score_texts(docs, model).toPandas()["score"].to_numpy()
+        means.append((score.mean(), np.quantile(score, 0.99)))
+        assert abs(score.mean() - 0.1) < 0.04
+    assert np.allclose(means[0], means[1], atol=0.12)
+
+
+def test_weights_stand_for_rows():
+    """Rows counted by weight give the curve and the threshold of the same rows repeated."""
+    hashes = _Hashes()
+    texts = [word_rows(f"some {'awful' if i % 3 == 0 else 'plain'} words {i % 5}", hashes) for i in range(90)]
+    toxic = np.arange(90) % 4 == 0
+    many = np.where(toxic, 1, 9)
+    one, two = (fit(texts, toxic) for _ in range(2))
+    calibrate(one, texts, toxic, many.astype(float))
+    calibrate(two, [t for t, n in zip(texts, many) for _ in range(n)], np.repeat(toxic, many))
+    assert np.allclose([one.slope, one.offset], [two.slope, two.offset], atol=1e-6)
+    score = scores(one, texts)
+    assert best_cut(score, toxic, many) == best_cut(np.repeat(score, many), np.repeat(toxic, many))
+
+
 def test_odd_rows(spark):
     texts = [None, "", "   ", "word", "!!!", "x" * 100000, "word"]
     docs = spark.createDataFrame([(i, t, None, 0.5) for i, t in enumerate(texts)] + [(None, "word", "en", 0.1)], "doc_id long, text string, lang string, score double")
