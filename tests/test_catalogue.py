@@ -3,6 +3,7 @@
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -22,8 +23,9 @@ def duck():
 
 
 def comparable(frame):
-    frame = frame[sorted(frame.columns)]
-    return sorted(tuple(str(v) for v in row) for row in frame.itertuples(index=False))
+    """Rows as texts; a null is the same in columns of any type."""
+    frame = frame[sorted(frame.columns)].convert_dtypes()
+    return sorted(tuple("" if v is None or v is pd.NA else str(v) for v in row) for row in frame.itertuples(index=False))
 
 
 @pytest.mark.parametrize("name", list(entry.oracle_sql()))
