@@ -1,4 +1,4 @@
-"""Documents to numbered chunks."""
+"""Documents to numbered chunks."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formweave.functions.chunks import semantic_chunks, token_windows
+from formweave.functions.chunks import semantic_chunks, sentence_windows, token_windows
 from formweave.functions.text import paragraphs, words
 from formweave.operators.positions import global_position
 
@@ -65,3 +65,8 @@ def retrieval_nodes(
     tokens = docs.select(key, tokenizer(F.col("text")).alias("__t"))
     windows = F.transform(token_windows(F.col("__t"), size, overlap), lambda w: F.array_join(w, " "))
     return chunks_per_document(tokens, windows, [key])
+
+
+def sentence_nodes(docs: DataFrame, key: str, size: int = 512, overlap: int = 50) -> DataFrame:
+    """(key, id, text) windows of whole sentences for retrieval (R1); the text stays as written."""
+    return chunks_per_document(docs, sentence_windows(F.col("text"), size, overlap), [key])

@@ -35,15 +35,22 @@ def global_position(
     before they are numbered. Costly work belongs there: what comes before the
     range shuffle runs twice, once for the sample that sets its bounds.
 
-    One range shuffle and one written copy. The copy matters: the counting
-    pass and the numbering pass must see the same partition boundaries.
+    One range shuffle and one written copy.
     """
     keys = [F.col(c) for c in order]
     stretched = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     if narrow is not None:
         stretched = narrow(stretched)
-    marked = materialise(stretched.withColumn(_MARK, F.monotonically_increasing_id()))
+    return number_rows(stretched, name, start)
 
+
+def number_rows(df: DataFrame, name: str = "pos", start: int = 1) -> DataFrame:
+    """Number all rows densely in the order they lie, partition after partition. No shuffle.
+
+    The rows are written once, so that the counting pass and the numbering
+    pass see the same partitions.
+    """
+    marked = materialise(df.withColumn(_MARK, F.monotonically_increasing_id()))
     marked = marked.withColumn(_STRETCH, F.shiftright(_MARK, _ROW_BITS))
     sizes = marked.groupBy(_STRETCH).agg(F.count("*").alias("__n"))
     # One row per partition of the written copy: this window and the broadcast

@@ -299,6 +299,60 @@ def _prompt_head() -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# White space and tokens of sentence windows, as in functions/chunks.py.
+GAP = r"[\t\n\x0B\f\r ]"
+TOKEN = r"(?:[\x{4E00}-\x{9FFF}]|[^\t\n\x0B\f\r \x{4E00}-\x{9FFF}]+)"
+
+
+def sentence_windows(source: str) -> str:
+    """CTEs ending in windows(doc_id, id, text); a window is found from running token counts."""
+    mark = "chr(57344)"
+    split = (
+        rf"regexp_replace(regexp_replace(text, '([。！？!?\n])', '\1' || {mark}, 'g'), '\.({GAP})', '.' || {mark} || '\1', 'g')"
+    )
+    count = f"len(regexp_extract_all(s, '{TOKEN}'))"
+    return f"""
+  src AS ({source}),
+  pieces AS (SELECT doc_id, list_filter(string_split({split}, {mark}), lambda s: s <> '') AS p FROM src),
+  parts AS (SELECT doc_id, flatten(list_transform(p, lambda s: CASE WHEN {count} > {Q.WINDOW}
+      THEN regexp_extract_all(s, '{GAP}*(?:{TOKEN}{GAP}*){{1,{Q.WINDOW}}}') ELSE [s] END)) AS s FROM pieces),
+  counted AS (SELECT doc_id, s, list_transform(s, lambda s: {count}) AS c FROM parts),
+  summed AS MATERIALIZED (SELECT doc_id, s, c, list_transform(range(1, len(c) + 1), lambda i: list_sum(list_slice(c, 1, i))::BIGINT) AS cum FROM counted WHERE len(c) > 0),
+  spans(doc_id, a, b) AS (
+    SELECT doc_id, 1::BIGINT, len(list_filter(cum, lambda x: x <= {Q.WINDOW}))::BIGINT FROM summed
+    UNION ALL
+    SELECT doc_id, j, len(list_filter(cum, lambda x: x - cum[j - 1] <= {Q.WINDOW}))::BIGINT
+    FROM (SELECT doc_id, cum, list_filter(range(a + 1, b + 2), lambda j: cum[b] - cum[j - 1] <= least({Q.CARRIED}, {Q.WINDOW} - c[b + 1]))[1] AS j
+      FROM spans JOIN summed USING (doc_id) WHERE b < len(c))),
+  cut AS (SELECT doc_id, a, array_to_string(list_slice(s, a, b), '') AS text FROM spans JOIN summed USING (doc_id)),
+  windows AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY a) AS id, text FROM cut WHERE regexp_matches(text, '{NONSP}'))"""
+
+
+# Ids are paths: compared as text, the name of a document's only file is the same in all its ids.
+FOLDER_DOCS = "SELECT doc_id, concat(text, chr(10)) AS text FROM documents"
+LETTERS = "[" + ", ".join(f"(length(text) - length(replace(text, '{c}', '')))::DOUBLE" for c in "aeinorst") + "]"
+FOLDER_SEARCH = f"""
+  WITH RECURSIVE {sentence_windows(FOLDER_DOCS)},
+  nodes AS MATERIALIZED (SELECT concat(doc_id, '/#', id) AS doc_id, doc_id AS doc, id AS chunk, text FROM windows),
+  {bm25_scores(BENCH_Q).replace("FROM documents", "FROM nodes")},
+  vec AS (SELECT doc_id AS node_id, {LETTERS} AS embedding FROM nodes),
+  vq AS (SELECT item_id AS query_id, {LETTERS} AS qe FROM benchmark),
+  near AS MATERIALIZED (SELECT query_id, node_id, {COSINE} AS score FROM vq, vec
+    WHERE list_sum(qe) > 0 AND list_sum(embedding) > 0),
+  b AS ({ranked("SELECT query_id, node_id, round(score, 6) AS score FROM scores", 5)}),
+  v AS ({ranked("SELECT * FROM near", 5)}),
+  f AS (SELECT query_id, node_id, sum(1.0::DOUBLE / (60 + rank - 1)) AS score
+    FROM (SELECT query_id, node_id, rank FROM b UNION ALL SELECT query_id, node_id, rank FROM v) GROUP BY ALL),
+  hits AS (
+    SELECT 'bm25' AS mode, query_id, node_id, score FROM scores WHERE score >= {Q.FOLDER_THRESHOLDS["bm25"]}
+    UNION ALL SELECT 'vector', query_id, node_id, score FROM near WHERE score >= {Q.FOLDER_THRESHOLDS["vector"]}
+    UNION ALL SELECT 'hybrid', query_id, node_id, score FROM f)
+  SELECT mode, query_id, doc AS doc_id, chunk, round(score, 4) AS score, text FROM hits JOIN nodes ON node_id = nodes.doc_id"""
+
+ODD_VECTORS = """
+  odd AS (SELECT vec_id, CASE vec_id % 10 WHEN 1 THEN 'missing' WHEN 2 THEN 'length' WHEN 3 THEN 'zero' WHEN 4 THEN 'incomplete' END AS reason,
+    embedding AS v, list_slice(embedding, 1, 32) AS half FROM embeddings)"""
+
 REPLIES = """
   SELECT event_id, CASE event_id % 7
     WHEN 1 THEN json_extract_string(props, '$.k') WHEN 2 THEN json_extract_string(props, '$.k')
@@ -468,7 +522,11 @@ ORACLES = {
     "rule_records": EVENT_PROSE_RECORDS,
     "rule_entities": ENTITIES,
     "entity_pool": POOL,
-    "bm25_stats": f"WITH {BM25_BASE} SELECT term, df AS n_nodes, round(idf, 6) AS idf FROM idf",
+    "bm25_stats": f"""
+  WITH held AS (SELECT DISTINCT doc_id, unnest({TOKENS}) AS term FROM documents),
+  totals AS (SELECT term, count(*) AS df FROM held GROUP BY term),
+  raw AS (SELECT term, df, ln((SELECT count(*) FROM documents) - df + 0.5) - ln(df + 0.5) AS r FROM totals)
+  SELECT term, df AS n_nodes, round(CASE WHEN r < 0 THEN 0.25 * (SELECT avg(r) FROM raw) ELSE r END, 6) AS idf FROM raw""",
     "bm25_topk": f"""WITH {bm25_scores(BENCH_Q)}
   SELECT query_id, node_id, score, rank::INTEGER AS rank
   FROM ({ranked("SELECT query_id, node_id, round(score, 4) AS score FROM scores", 5)})""",
@@ -489,6 +547,18 @@ ORACLES = {
     "evidence": f"""WITH {bm25_scores(BENCH_Q)}
   SELECT query_id, rank::INTEGER AS rank, node_id, score, lang, source, substr(d.text, 1, 100) AS preview
   FROM ({ranked("SELECT query_id, node_id, round(score, 4) AS score FROM scores", 5)}) JOIN documents d ON doc_id = node_id""",
+    "evidence_hybrid": f"""SELECT query_id, rank, node_id, score, lang, substr(d.text, 1, 100) AS preview
+  FROM ({hybrid(5)}) JOIN documents d ON doc_id = node_id""",
+    "vector_text_ids": f"""WITH {ODD_VECTORS},
+  n AS (SELECT concat('v#', vec_id) AS node_id, CASE WHEN reason = 'length' THEN half ELSE v END AS embedding, vec_id
+    FROM odd WHERE reason IS NULL OR reason = 'length'),
+  vq AS (SELECT node_id AS query_id, embedding AS qe FROM n WHERE vec_id % 5 = 0)
+  SELECT query_id, node_id, score, rank::INTEGER AS rank FROM ({ranked(f"SELECT query_id, node_id, {COSINE} AS score FROM vq, n WHERE len(qe) = len(embedding)", 5)})""",
+    "vector_left_out": f"WITH {ODD_VECTORS} SELECT reason, count(*) AS n FROM odd WHERE reason IS NOT NULL GROUP BY reason",
+    "sentence_nodes": f"""WITH RECURSIVE {sentence_windows("""SELECT doc_id,
+    concat(text, chr(10), translate(repeat(doc_id::VARCHAR, 25), '0123456789', '零一二三。五六七八九')) AS text FROM documents""")}
+  SELECT doc_id, id::INTEGER AS id, text FROM windows""",
+    "folder_search": FOLDER_SEARCH,
     "hit_counts": f"""WITH {bm25_scores(BENCH_Q)}
   SELECT query_id, least(count(*), 10) AS n_shown, greatest(count(*) - 10, 0) AS n_more FROM scores GROUP BY query_id""",
     "skip_existing": "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",

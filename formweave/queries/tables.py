@@ -6,7 +6,6 @@ Spark derives it from their rows, so the work grows with the tables.
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 import pandas as pd
@@ -28,7 +27,7 @@ from formweave.operators.daterange import (
     require_range,
 )
 from formweave.operators.positions import first_occurrence, global_position, global_rank
-from formweave.session import shared_dir
+from formweave.session import kept_path
 from formweave.sinks.tables import indexed_records, write_records
 from formweave.sources import docx as docx_source
 from formweave.sources import files, workbook
@@ -651,7 +650,7 @@ def hit_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def stored_index(spark: SparkSession, sf: str) -> DataFrame:
     """An index written to storage, opened again and searched."""
-    path = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
+    path = kept_path(spark, "index")
 
     def nodes() -> DataFrame:
         return _docs(spark, sf).withColumnRenamed("doc_id", "node_id")
@@ -661,6 +660,76 @@ def stored_index(spark: SparkSession, sf: str) -> DataFrame:
     return bm25.best_matches(index, _text_queries(spark, sf), fusion.TOP_K, decimals=4)
 
 
+def evidence_hybrid(spark: SparkSession, sf: str) -> DataFrame:
+    """The fused hits of both retrievers with their metadata and the head of their text."""
+    d = table(spark, sf, "documents")
+    nodes = d.select(F.col("doc_id").alias("node_id"), "text", F.create_map(F.lit("lang"), "lang").alias("metadata"))
+    fused = fusion.hybrid(_index(spark, sf), _vectors(spark, sf), _queries(spark, sf))
+    found = fusion.with_sources(fusion.fused_top(fused), nodes)
+    return found.select("query_id", "rank", "node_id", "score", F.col("metadata")["lang"].alias("lang"), X.preview(F.col("text")).alias("preview"))
+
+
+def vector_text_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Neighbours over ids of text; a tenth each of the vectors is missing, short, zero or holds a null."""
+    nodes = _odd_vectors(spark, sf).withColumn("node_id", F.concat(F.lit("v#"), F.col("node_id").cast("string")))
+    asked = nodes.filter(F.col("node_id").rlike("[05]$")).withColumnRenamed("node_id", "query_id")
+    return vector.nearest(nodes, asked, fusion.TOP_K)
+
+
+def vector_left_out(spark: SparkSession, sf: str) -> DataFrame:
+    """How many vectors cannot be compared with the others, and why."""
+    nodes = _odd_vectors(spark, sf)
+    return vector.left_out(nodes, nodes.filter("node_id % 10 = 0").withColumnRenamed("node_id", "query_id"))
+
+
+def _odd_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    kind, v = F.col("node_id") % 10, F.col("embedding")
+    odd = (
+        F.when(kind == 1, F.lit(None))
+        .when(kind == 2, F.slice(v, 1, 32))
+        .when(kind == 3, F.transform(v, lambda x: x * 0))
+        .when(kind == 4, F.transform(v, lambda x, i: F.when(i > 0, x)))
+        .otherwise(v)
+    )
+    return _vectors(spark, sf).select("node_id", odd.alias("embedding"))
+
+
+# Windows small enough that the documents give many, and some sentences are too long.
+WINDOW, CARRIED = 40, 8
+
+
+def sentence_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of whole sentences over documents, each followed by text without spaces."""
+    han = F.translate(F.repeat(F.col("doc_id").cast("string"), 25), "0123456789", "零一二三。五六七八九")
+    d = table(spark, sf, "documents", spread=True).select("doc_id", F.concat("text", F.lit("\n"), han).alias("text"))
+    return chunking.sentence_nodes(d, "doc_id", WINDOW, CARRIED)
+
+
+def letter_counts(text: Column) -> Column:
+    """A vector of a text: how often it holds each of eight letters."""
+    return F.array(*[(F.length(text) - F.length(F.replace(text, F.lit(c)))).cast("double") for c in "aeinorst"])
+
+
+FOLDER_THRESHOLDS = {"bm25": 12.0, "vector": 0.99, "hybrid": 0.0}
+
+
+def folder_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written as files, indexed with vectors, opened again, and searched in all modes."""
+    from formweave.plans.search import open_folder, search_folder
+
+    folder, path = kept_path(spark, "texts"), kept_path(spark, "index")
+    table(spark, sf, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(folder)
+    open_folder(spark, path, folder, recursive=True, size=WINDOW, overlap=CARRIED)
+    index = open_folder(spark, path, folder, letter_counts)
+    found = None
+    for mode, threshold in FOLDER_THRESHOLDS.items():
+        hits = search_folder(_text_queries(spark, sf), index, mode, letter_counts, threshold=threshold)
+        part = hits.select(F.lit(mode).alias("mode"), "query_id", "node_id", F.round("score", 4).alias("score"), "text")
+        found = part if found is None else found.unionByName(part)
+    place = lambda pattern: F.regexp_extract("node_id", pattern, 1).cast("long")
+    return found.select("mode", "query_id", place("doc_id=([0-9]+)/").alias("doc_id"), place("#([0-9]+)$").alias("chunk"), "score", "text")
+
+
 def retrieval_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """Fusion-ready nodes: every window of every document, searched for one query."""
     chunks = chunking.retrieval_nodes(_docs(spark, sf), "doc_id", size=64, overlap=8)
@@ -758,7 +827,7 @@ def decoded_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 def stored_records(spark: SparkSession, sf: str) -> DataFrame:
     """Records written per input and read back with nulls in place."""
-    path = f"{shared_dir(spark)}/records-{uuid.uuid4().hex}"
+    path = kept_path(spark, "records")
     c = template.all_strings(
         table(spark, sf, "customer").selectExpr(
             "c_custkey", "c_name", "if(c_nationkey = 3, null, c_acctbal) balance", "c_mktsegment source_file"
@@ -884,7 +953,12 @@ QUERIES = {
     "hybrid_rrf": hybrid_rrf,
     "hybrid_rrf_all": hybrid_rrf_all,
     "evidence": evidence,
+    "evidence_hybrid": evidence_hybrid,
     "hit_counts": hit_counts,
+    "vector_text_ids": vector_text_ids,
+    "vector_left_out": vector_left_out,
+    "sentence_nodes": sentence_nodes,
+    "folder_search": folder_search,
     "stored_index": stored_index,
     "retrieval_chunks": retrieval_chunks,
     "workbook_cells": workbook_cells,

@@ -68,6 +68,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_folder[0]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def kept_path(spark: SparkSession, kind: str) -> str:
+    """A new folder in the shared one, deleted with the copies of its block."""
+    path = f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    _handles[-1].append(path)
+    return path
+
+
 # Handles in use, the innermost last; the first belongs to the process.
 _handles: list[list[str]] = [[]]
 
@@ -111,7 +124,6 @@ def materialise(df: DataFrame) -> DataFrame:
     owner clears it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/formweave-{uuid.uuid4().hex}"
-    _handles[-1].append(path)
+    path = kept_path(spark, "formweave")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

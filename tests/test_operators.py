@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from formweave.functions.text import words_and_bigrams
 from formweave.operators import bm25, fusion, markdown, pool, positions, status, template, vector
-from formweave.operators.chunking import document_chunks, numbered_chunks, retrieval_nodes
+from formweave.operators.chunking import document_chunks, numbered_chunks, retrieval_nodes, sentence_nodes
 from formweave.operators.daterange import (
     date_column_by_content,
     filter_by_range,
@@ -354,10 +355,11 @@ def brute_cosine(data, query):
     return sorted(((-s, i) for i, s in scored if s is not None))
 
 
-@pytest.mark.parametrize("block", [8, 8_000_000])
-def test_nearest_equals_brute_force(spark, monkeypatch, block):
-    """Queries in one block or in many: the same neighbours."""
-    monkeypatch.setattr(vector, "BLOCK_VALUES", block)
+@pytest.mark.parametrize("pack, sent", [(64, 0), (4 << 20, 0), (64, 32 << 20), (4 << 20, 32 << 20)])
+def test_nearest_equals_brute_force(spark, monkeypatch, pack, sent):
+    """Small packs or large ones, queries broadcast or dealt: the same neighbours."""
+    monkeypatch.setattr(vector, "PACK_BYTES", pack)
+    monkeypatch.setattr(vector, "BROADCAST_BYTES", sent)
     data, nodes = vectors(spark)
     queries = nodes.filter("node_id < 6").withColumnRenamed("node_id", "query_id")
     got = rows(vector.nearest(nodes, queries, 7, decimals=4), "query_id", "rank")
@@ -368,6 +370,89 @@ def test_nearest_equals_brute_force(spark, monkeypatch, block):
     assert close.count() == sum(1 for q in range(6) for s, _ in brute_cosine(data, data[q][1]) if -s >= 0.5)
 
 
+def test_vectors_of_text_ids_lengths_and_ties(spark):
+    """Ids of any type; ties by id; what cannot be compared is left out and counted."""
+    nan = float("nan")
+    data = [(f"p#{i}", [1.0, 0.0]) for i in range(40)] + [("q", [0.0, 2.0]), ("big", [1e300, 1e300]), ("three", [1.0, 0.0, 0.0])]
+    odd = [("a", None), ("b", []), ("c", [1.0, None]), ("d", [nan, 1.0]), ("e", [0.0, 0.0]), ("f", [1.0]), (None, [1.0, 0.0])]
+    nodes = spark.createDataFrame(data + odd, "node_id string, embedding array<double>").repartition(3)
+    queries = spark.createDataFrame([("x", [3.0, 0.0]), ("y", [0.0, 0.0]), ("z", [1.0, 1.0, 0.0])], "query_id string, embedding array<double>")
+    got = rows(vector.nearest(nodes.filter("node_id IS NOT NULL"), queries, 12).select("query_id", "rank", "node_id", "score"), "query_id", "rank")
+    ties = sorted(f"p#{i}" for i in range(40))[:12]
+    assert got == [("x", i + 1, t, 1.0) for i, t in enumerate(ties)] + [("z", 1, "three", 0.707107)]
+    assert ("x", "big", 0.707107) in rows(vector.above(nodes, queries, 0.7))
+    assert dict(rows(vector.left_out(nodes, queries))) == {"missing": 2, "incomplete": 2, "zero": 1, "length": 1}
+    assert vector.nearest(nodes.limit(0), queries).count() == 0 and vector.nearest(nodes, queries.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("bits, pushed", [(0, 2000), (3, 1), (8, 2000)])
+def test_kept_index_rules_out_stretches(spark, tmp_path, monkeypatch, bits, pushed):
+    """Whatever is skipped, the best nodes of a kept index are those of all scores, ties included."""
+    monkeypatch.setattr(bm25, "STRETCH_BITS", bits)
+    monkeypatch.setattr(bm25, "SKIP_FROM", 1)
+    monkeypatch.setattr(bm25, "PUSHED_TERMS", pushed)
+    docs = [(f"p#{i}", t) for i, t in corpus(11, 150)] + [(f"copy#{i}", "w1 w2 the the") for i in range(30)]
+    nodes = spark.createDataFrame(docs, "node_id string, text string").repartition(5)
+    index = bm25.load_or_build_index(spark, str(tmp_path), lambda: nodes)
+    again = bm25.load_or_build_index(spark, str(tmp_path), lambda: pytest.fail("built twice"))
+    texts = {1: "w1 w2", 2: "w3", 3: "the w7 w7 w9", 4: "absent", 5: "w11 the"}
+    queries = spark.createDataFrame(list(texts.items()), "query_id long, query string")
+    for k in (1, 4, 40):
+        for held in (index, again):
+            got = rows(bm25.best_matches(held, queries, k).select("query_id", "rank", "node_id"), "query_id", "rank")
+            want = []
+            for q, text in texts.items():
+                shared = {i for i, t in docs if set(t.split()) & set(text.split())}
+                scored = sorted((-round(s, 6), i) for i, s in brute_bm25(docs, text).items() if i in shared)
+                want += [(q, n + 1, i) for n, (_, i) in enumerate(scored[:k])]
+            assert got == want
+    scan = again.postings.filter(bm25._term_filter(bm25.query_terms(queries)))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(term" in scan if pushed > 1 else "GreaterThanOrEqual(term" in scan
+
+
+def sentence_parts(text, size):
+    parts = []
+    for s in re.split(r"(?<=[。！？!?\n])|(?<=\.)(?=[\t\n\x0b\f\r ])", text):
+        tokens = re.findall(r"[\t\n\x0b\f\r ]*(?:[\u4e00-\u9fff]|[^\t\n\x0b\f\r \u4e00-\u9fff]+)[\t\n\x0b\f\r ]*", s)
+        if len(tokens) > size:
+            parts += [("".join(tokens[i : i + size]), len(tokens[i : i + size])) for i in range(0, len(tokens), size)]
+        elif s:
+            parts.append((s, len(tokens)))
+    return parts
+
+
+def brute_windows(text, size, overlap):
+    parts, out, a, n = sentence_parts(text, size), [], 0, 0
+    for i, (_, c) in enumerate(parts):
+        if n + c > size and a < i:
+            out.append((a, i))
+            j, n = i, 0
+            while j - 1 > a and n + parts[j - 1][1] <= min(overlap, size - c):
+                j, n = j - 1, n + parts[j - 1][1]
+            a = j
+        n += c
+    if parts:
+        out.append((a, len(parts)))
+    texts = ["".join(s for s, _ in parts[a:b]) for a, b in out]
+    return [t for t in texts if t.strip()]
+
+
+def test_sentence_windows(spark):
+    rnd = random.Random(4)
+    texts = ["", " \n\n ", "one. two three! four? five", "没有标点的很长的一句话" * 9, "短句。" * 40, "v1.2 is a.b. ok", "x " * 100, "a" * 50 + "中文" * 30]
+    for _ in range(30):
+        texts.append("".join(rnd.choice(["word ", "w. ", "中", "文。", "! ", "\n", "long-token, ", " ", "？"]) for _ in range(rnd.randint(1, 150))))
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(99, None)], "doc long, text string")
+    for size, overlap in ((7, 3), (20, 0), (20, 19), (512, 50)):
+        got = {}
+        for doc, i, text in rows(sentence_nodes(docs, "doc", size, overlap), "doc", "id"):
+            got.setdefault(doc, []).append(text)
+            assert i == len(got[doc])
+        assert got == {i: w for i, t in enumerate(texts) if (w := brute_windows(t, size, overlap))}
+        if overlap == 0:
+            assert all("".join(got.get(i, [])).split() == t.split() for i, t in enumerate(texts))
+
+
 def test_fusion(spark):
     a = spark.createDataFrame([(1, 7, 1), (1, 8, 2)], "query_id long, node_id long, rank int")
     b = spark.createDataFrame([(1, 7, 1), (1, 9, 2)], "query_id long, node_id long, rank int")

@@ -7,7 +7,7 @@ from formweave.operators.chunking import chunks_per_document
 from formweave.operators.daterange import ranges_of_documents
 from formweave.operators.status import observed, run_stats
 from formweave.plans.fill import fill_from_folders, template_sheet
-from formweave.plans.search import open_index, search
+from formweave.plans.search import open_folder, open_index, search, search_folder
 from formweave.sinks.tables import (
     output_name,
     write_filled,
@@ -240,6 +240,33 @@ def test_folder_nodes_and_index_reuse(spark, tmp_path):
     assert again.nodes.count() == 3
 
 
+def test_folder_search_in_all_modes(spark, tmp_path):
+    """Stored vectors and postings over ids made of paths; vectors can be added later."""
+    folder = put(tmp_path / "in", {"a.txt": "red apple apple", "b.md": "green pear", "c.docx": docx(["red wine"])})
+    path = str(tmp_path / "index")
+
+    def model(text):
+        return F.array(*[F.length(F.regexp_replace(text, f"[^{c}]", "")) * 1.0 for c in "aegr"])
+
+    queries = spark.createDataFrame([(1, "apple"), (2, "zzz")], "query_id long, query string")
+    plain = open_folder(spark, path, folder)
+    with pytest.raises(ValueError, match="needs an index with vectors"):
+        search_folder(queries, plain, "vector")
+    index = open_folder(spark, path, folder, model)
+    with pytest.raises(ValueError, match="a model"):
+        search_folder(queries, index, "hybrid")
+
+    def found(mode, **options):
+        hits = search_folder(queries, index, mode, model, **options).collect()
+        return [(r.query_id, r.metadata["file_name"], r.text) for r in hits]
+
+    assert found("bm25", threshold=0.01) == [(1, "a.txt", "red apple apple")]
+    # No letter of the second query counts, so it has no vector.
+    assert [f for _, f, _ in found("vector", threshold=0.1)] == ["a.txt", "b.md", "c.docx"]
+    assert found("hybrid", candidates_k=1) == [(1, "a.txt", "red apple apple")]
+    assert open_folder(spark, path, folder, lambda text: pytest.fail("embedded twice")).vectors.count() == 3
+
+
 def test_whole_job_over_folders(spark, tmp_path):
     """Ten documents, a request and a template book, filled end to end."""
     request = put(tmp_path / "req", {"r.txt": "请汇总 2020-07-01 至 2020/8/31 的数据"})
