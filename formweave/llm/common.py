@@ -32,6 +32,16 @@ def remainder(key: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % modulus, F.lit(0))
 
 
+# What a worker keeps between tasks, by the function that forgets it.
+CACHES: list[Callable[[], None]] = []
+
+
+def release() -> None:
+    """Forget what earlier work of this worker left behind; workers outlive their stage."""
+    for forget in CACHES:
+        forget()
+
+
 def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (b for b in stream if b.num_rows)
 

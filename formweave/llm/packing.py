@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from formweave.llm.common import batches, piece_splitter, whole_texts
+from formweave.llm.common import CACHES, batches, piece_splitter, whole_texts
 from formweave.session import materialise, shared_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -85,6 +85,9 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
+CACHES.append(tokenizer.cache_clear)
+
+
 def cut_pieces(docs: DataFrame, path: str, window: int, unit: int, end_id: int) -> DataFrame:
     """Tokenise, end each document with ``end_id``, cut it, and number each length class within the task."""
 

@@ -34,12 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from formweave.llm.common import batches
+from formweave.llm.common import batches, release
 from formweave.session import materialise
 
 LENGTH, GRAM = 100, 32
 # Bytes of text behind one shard, and the fewest shards.
-SHARD_BYTES, MIN_SHARDS = 16 << 20, 32
+SHARD_BYTES, MIN_SHARDS = 4 << 20, 32
+# Bytes hashed at once, and powers that a worker keeps.
+SLICE = 1 << 19
+KEPT_POWERS = 1 << 21
 # Strings of different surroundings that are sorted at once.
 SORTED = 200_000
 # An anchor standing more often than this is handled string by string.
@@ -71,7 +74,8 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
                 out[filled : filled + more] = out[:more] * _U(pow(b, filled, 1 << 64))
                 filled += more
             held.append(out)
-        _POWERS[base] = held
+        if size <= KEPT_POWERS:
+            _POWERS[base] = held
     return held[0], held[1]
 
 
@@ -80,8 +84,14 @@ class Prefixes:
 
     def __init__(self, buffer: np.ndarray, base: int = _BASES[0]):
         power, self.inverse = _powers(base, len(buffer) + 1)
-        self.sums = np.zeros(len(buffer) + 1, _U)
-        np.cumsum((buffer.astype(_U) + _U(1)) * power[: len(buffer)], out=self.sums[1:])
+        self.sums = np.empty(len(buffer) + 1, _U)
+        self.sums[0] = 0
+        for a in range(0, len(buffer), SLICE):
+            terms = buffer[a : a + SLICE].astype(_U)
+            terms += _U(1)
+            terms *= power[a : a + SLICE][: len(terms)]
+            terms[0] += self.sums[a]
+            np.cumsum(terms, out=self.sums[a + 1 : a + 1 + len(terms)])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sums[end] - self.sums[start]) * self.inverse[start]
@@ -156,6 +166,7 @@ def anchor_table(texts: DataFrame, shards: int, length: int, gram: int) -> DataF
     schema = pa.schema([("shard", pa.int32()), ("records", pa.binary())])
 
     def send(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         sent: set[int] = set()
         for b in batches(stream):
             rows = []
@@ -366,8 +377,8 @@ def _sorted_repeats(buffer: np.ndarray, prefixes: Prefixes, r: np.ndarray, b: np
     near = np.flatnonzero(group[order][1:] == group[order][:-1])
     near = near[common_extension(prefixes, start[order[near]], start[order[near + 1]], length) == length]
     span = np.arange(length)
-    for i in range(0, len(near), 1 << 16):  # collisions: compare the bytes themselves
-        some = near[i : i + (1 << 16)]
+    for i in range(0, len(near), 1 << 12):  # collisions: compare the bytes themselves
+        some = near[i : i + (1 << 12)]
         same[some] = (buffer[start[order[some]][:, None] + span] == buffer[start[order[some + 1]][:, None] + span]).all(1)
     # The sort is stable over (doc, start): a run's first is its earliest.
     lead = np.flatnonzero(np.append(True, ~same))

@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from formweave.llm.common import batches, remainder, whole_texts
+from formweave.llm.common import batches, release, remainder, whole_texts
 from formweave.session import materialise
 
 # The classifier is fitted on at most this many labelled rows, and pairs.
@@ -88,11 +89,11 @@ class Ranker:
         z = np.clip((rows - self.centre) / self.scale, -6, 6)
         return np.hstack([z, z * z])
 
-    def score(self) -> Column:
-        """The score of the column ``features``, as one expression."""
+    def score(self, features: str = "features") -> Column:
+        """The score of a column of measures, as one expression."""
         terms = []
         for i in range(len(self.centre)):
-            z = (F.col("features")[i] - float(self.centre[i])) / float(self.scale[i])
+            z = (F.col(features)[i] - float(self.centre[i])) / float(self.scale[i])
             z = F.greatest(F.lit(-6.0), F.least(F.lit(6.0), z))
             terms.append(z * float(self.weights[i]) + z * z * float(self.weights[i + len(self.centre)]))
         total = terms[0]
@@ -168,17 +169,52 @@ def score_quality(
     equal. An empty table gives an empty table; other columns are not looked at.
     """
     vectors = materialise(measured(docs))
-    known = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    known = known.filter(remainder("doc_id", modulus) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # At most ``sample`` ids: small enough to send to every task.
-    learned = vectors.join(F.broadcast(known), "doc_id").select("doc_id", "key", "features", "quality").toPandas()
-    learned = learned.drop_duplicates(["doc_id", "key"]).sort_values(["doc_id", "key"], kind="stable")
-    rows = np.array(learned["features"].tolist(), float).reshape(len(learned), WIDTH)
-    model = fit_ranker(rows, learned["quality"].to_numpy(int) == 1)
+    model = _fitted(vectors.join(F.broadcast(_labelled(labels, modulus, sample)), "doc_id"), sample)
     key = ["key"] if with_key else []
     return vectors.select("doc_id", *key, (remainder("doc_id", modulus) == 0).alias("held_out"), model.score().alias("score"))
 
 
+def _labelled(labels: DataFrame, modulus: int, sample: int) -> DataFrame:
+    known = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    return known.filter(remainder("doc_id", modulus) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+
+
+def _fitted(learned: DataFrame, sample: int) -> Ranker:
+    """A ranker of labelled rows (doc_id, key, features, quality); of one id and text one counts."""
+    learned = learned.select("doc_id", "key", "features", "quality").dropDuplicates(["doc_id", "key"])
+    # An id may stand on many rows of different texts; the bound holds for rows.
+    rows = learned.orderBy(F.xxhash64("doc_id", "key"), "doc_id", "key").limit(sample).toPandas()
+    rows = rows.sort_values(["doc_id", "key"], kind="stable")
+    x = np.array(rows["features"].tolist(), float).reshape(len(rows), WIDTH)
+    return fit_ranker(x, rows["quality"].to_numpy(int) == 1)
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, cut: float, modulus: int = 5, sample: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs`` that score_quality() scores at least ``cut``, with all their columns.
+
+    Only labelled rows are measured before; then one pass measures, scores and filters where the
+    rows lie, without a shuffle. Nulls, empty tables and repeats as in score_quality().
+    """
+    known = F.broadcast(_labelled(labels, modulus, sample))
+    model = _fitted(measured(docs.select("doc_id", "text").join(known.select("doc_id"), "doc_id")).join(known, "doc_id"), sample)
+    helper = "features"
+    while helper in docs.columns:
+        helper += "_"
+    columns = [docs[f"`{c}`"] for c in docs.columns]
+    given = docs.select(*columns, F.coalesce("text", F.lit("")).cast("string").alias(helper))
+    at = len(columns)
+
+    def compute(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for batch in batches(stream):
+            rows = pa.array([measures(t) for t in batch.column(at).to_pylist()], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], rows], names=batch.schema.names)
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(helper, T.ArrayType(T.DoubleType()))])
+    return given.mapInArrow(compute, schema).filter(model.score(helper) >= cut).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def above_quantile(scored: DataFrame, quantile: float) -> DataFrame:
     """The rows whose score is at least the given quantile of all scores."""
     cut = scored.agg(F.percentile_approx("score", quantile, 100_000).alias("cut"))

@@ -56,3 +56,17 @@ def test_near_copies_of_one_id(spark):
     rows, kept, _ = shared_ids()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {(r.doc_id, r.text) for r in corpus_pipeline.near(spark, docs, DATA).collect()} == kept
+
+
+def test_columns_named_like_helpers(spark):
+    """Extra columns of any name pass through the filtering stages unchanged."""
+    names = ["features", "features_", "copy_id", "copy_key", "copy_sha", "copy_kept", "__id", "__key", "__sha", "__kept", "key", "score", "class", "kept", "group_size"]
+    good = " ".join(f"word{i} of the text number {i}." for i in range(40))
+    texts = [good, good, good.replace("word7", "other"), "An entirely different but fine text, with some words."]
+    rows = [(i, t, None, "s", len(t), *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, DATA)
+        assert out.columns == docs.columns, name
+        kept = [tuple(r) for r in out.collect()]
+        assert kept and all(tuple(r)[4 if name.startswith("suffix") else 0 :][1:] == rows[r[0]][4 if name.startswith("suffix") else 0 :][1:] for r in kept), name
