@@ -16,43 +16,51 @@ from formweave.llm.exact_dedup import exact_groups
 from formweave.llm.near_dedup import near_classes, text_key
 from formweave.llm.packing import pack_documents
 from formweave.llm.passages import remove_repeats
-from formweave.llm.quality import score_quality
+from formweave.llm.quality import keep_quality
 from formweave.session import shared_dir
 
 QUALITY_CUT = 0.3
 
 
-def _text_key(text: str):
-    return F.xxhash64(F.coalesce(text, F.lit("")))
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """Column names that ``docs`` does not have."""
+    out = []
+    for name in names:
+        while name in docs.columns:
+            name += "_"
+        out.append(name)
+    return out
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below the cut go. Rows of one id with different texts are judged each."""
+    """Documents scored below the cut go; nothing else changes. Rows of one id with different
+    texts are judged each, null texts as empty ones, repeated rows alike; an empty table stays empty."""
     _bounded(spark)
-    scored = score_quality(docs, table(spark, sf_dir, "labels"), with_key=True)
-    rejected = scored.filter(F.col("score") < QUALITY_CUT).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (_text_key("text") == F.col("__key"))
-    return docs.join(rejected, same, "left_anti")
+    return keep_quality(docs, table(spark, sf_dir, "labels"), QUALITY_CUT)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest doc_id stays; of rows repeated whole, one."""
+    """Of equal texts, null ones being empty, the row with the largest doc_id stays; of rows
+    repeated whole, one. An empty table stays empty."""
     _bounded(spark)
+    id_, sha_, kept = _free(docs, "copy_id", "copy_sha", "copy_kept")
     groups = exact_groups(docs).filter("group_size > 1")
-    groups = groups.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("kept").alias("__kept")).distinct()
+    groups = groups.select(F.col("doc_id").alias(id_), F.col("text_sha256").alias(sha_), F.col("kept").alias(kept)).distinct()
     sha = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    joined = docs.join(groups, docs["doc_id"].eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left")
+    joined = docs.join(groups, docs["doc_id"].eqNullSafe(F.col(id_)) & (sha == F.col(sha_)), "left")
     # Only rows with copies can be repeated whole.
-    several = joined.filter("__kept").dropDuplicates(["__id", "__sha"])
-    return joined.filter("__kept IS NULL").select(*docs.columns).unionByName(several.select(*docs.columns))
+    several = joined.filter(F.col(kept)).dropDuplicates([id_, sha_])
+    return joined.filter(F.col(kept).isNull()).select(*docs.columns).unionByName(several.select(*docs.columns))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates, the text of the smallest doc_id stays. Rows of one id with different texts are judged each."""
+    """Of each class of near duplicates, the text of the smallest doc_id stays. Rows of one id with
+    different texts are judged each, null texts as empty ones; an empty table stays empty."""
     _bounded(spark)
+    id_, key = _free(docs, "copy_id", "copy_key")
     classes, _ = near_classes(docs, with_key=True)
-    gone = classes.filter("NOT kept").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (text_key("text") == F.col("__key"))
+    gone = classes.filter("NOT kept").select(F.col("doc_id").alias(id_), F.col("key").alias(key)).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col(id_)) & (text_key("text") == F.col(key))
     return docs.join(gone, same, "left_anti")
 
 
