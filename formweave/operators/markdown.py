@@ -11,8 +11,6 @@ from formweave.functions.text import divider, join_cells
 from formweave.session import materialise
 
 PART_ROWS = 10_000
-# Fixed value: the most rows a sheet can have.
-SHEET_ROWS = 1_048_576
 
 
 def drop_empty_rows(rows: DataFrame) -> DataFrame:
@@ -64,23 +62,40 @@ def markdown_tables(rows: DataFrame, sheet: Sequence[str], part_rows: int = PART
     return lines.groupBy(*sheet, part).agg(F.array_join(ordered, "\n").alias("markdown"))
 
 
-def workbook_markdown(rows: DataFrame) -> DataFrame:
-    """(path, markdown): every sheet of every workbook, sheets in book order.
+# The line above a sheet, and what stands for a sheet without rows.
+_TITLE = "<!-- 工作表: ", " -->\n"
+_NO_ROWS = "*(工作表无数据)*\n"
+
 
-    ``rows``: path, sheet, sheet_idx, row_idx, cells; an empty sheet is one row
-    with null cells and yields a notice. A workbook was one file in one task
-    to begin with, so its text is bounded too.
+def workbook_parts(rows: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+    """(path, sheet_idx, sheet, part, markdown): every sheet of every workbook in parts.
+
+    Read in the order of sheet_idx and part, the texts of a book joined with line ends are its Markdown:
+    the first part of a sheet bears its title, the last one the gap to the next sheet.
+    ``rows``: path, sheet, sheet_idx, row_idx, cells; a sheet without rows is one row with null cells and yields a
+    notice. No text and no group holds more than ``part_rows`` rows.
     """
     keys = ["path", "sheet_idx", "sheet"]
-    tables = markdown_tables(rows, keys, SHEET_ROWS)
-    sheets = rows.select(*keys).distinct()
-    title = F.concat(F.lit("<!-- 工作表: "), F.col("sheet"), F.lit(" -->\n"))
-    part = F.when(
-        F.col("markdown").isNull(), F.concat(title, F.lit("*(工作表无数据)*\n"))
-    ).otherwise(F.concat(title, F.lit("\n"), F.col("markdown"), F.lit("\n\n")))
-    parts = sheets.join(tables, keys, "left").withColumn("__part", part)
+    # Written: the tables are read again for each sheet's first and last part.
+    tables = materialise(markdown_tables(rows, keys, part_rows))
+    ends = tables.groupBy(*keys).agg(F.min("part").alias("first"), F.max("part").alias("last"))
+    parts = rows.select(*keys).distinct().join(ends, keys, "left").join(tables, keys, "left")
+    title = F.concat(F.lit(_TITLE[0]), F.col("sheet"), F.lit(_TITLE[1]))
+    head = F.when(F.col("part") == F.col("first"), F.concat(title, F.lit("\n"))).otherwise("")
+    tail = F.when(F.col("part") == F.col("last"), "\n\n").otherwise("")
+    text = F.when(F.col("part").isNull(), F.concat(title, F.lit(_NO_ROWS))).otherwise(F.concat(head, F.col("markdown"), tail))
+    return parts.select(*keys, F.coalesce("part", F.lit(0)).alias("part"), text.alias("markdown"))
+
+
+def workbook_markdown(rows: DataFrame) -> DataFrame:
+    """(path, markdown): the whole Markdown of each workbook as one text.
+
+    For books that one text can hold, as they were one file in one task; workbook_parts()
+    gives larger ones in parts.
+    """
+    parts = workbook_parts(rows)
     ordered = F.transform(
-        F.array_sort(F.collect_list(F.struct("sheet_idx", F.col("__part").alias("p")))), lambda x: x["p"]
+        F.array_sort(F.collect_list(F.struct("sheet_idx", "part", F.col("markdown").alias("p")))), lambda x: x["p"]
     )
     return parts.groupBy("path").agg(F.array_join(ordered, "\n").alias("markdown"))
 

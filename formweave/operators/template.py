@@ -13,10 +13,6 @@ from pyspark.sql import types as T
 from formweave.functions.numbers import shift_point
 from formweave.functions.text import any_filled
 
-# A template up to this many cells is broadcast; a larger one is shuffled.
-BROADCAST_CELLS = 1_000_000
-
-
 def clean_header(names: Sequence[str | None]) -> list[str]:
     """Header names stripped, empty ones dropped, repeats dropped."""
     stripped = (str(n).strip() for n in names if n is not None)
@@ -139,28 +135,47 @@ def overlay(
 ) -> DataFrame:
     """Write record n over template row n, cell by cell.
 
-    Both sides carry ``pos``. A record's null or absent field keeps the
-    template's cell, '' overwrites it; template rows beyond the records and
-    records beyond the template stay. A small template is broadcast, so the
-    records are not shuffled.
+    Both sides carry ``pos``; the records' runs from 1 without gaps, as ordered_union() numbers
+    them. A record's null or absent field keeps the template's cell, '' overwrites it; template
+    rows beyond the records and records beyond the template stay. Rows beyond are told by their
+    position alone, so the one join is from the records: a template of known small size is broadcast by the planner.
     """
     columns = header_columns(header)
     t = template.select(pos, *[_or_null(template, c).alias(f"t.{c}") for c, _ in columns])
     r = records.select(pos, *[_or_null(records, k).alias(f"r.{c}") for c, k in columns])
     cells = [F.coalesce(F.col(f"`r.{c}`"), F.col(f"`t.{c}`")).alias(c) for c, _ in columns]
+    filled = r.join(t, pos, "left").select(pos, *cells)
+    untouched = t.filter(F.col(pos) > _last(records, pos))
+    return filled.unionByName(untouched.select(pos, *[F.col(f"`t.{c}`").alias(c) for c, _ in columns]))
 
-    limit = max(1, BROADCAST_CELLS // max(1, len(columns)))
-    if template.limit(limit + 1).count() > limit:
-        return r.join(t, pos, "full_outer").select(pos, *cells)
-
-    small = F.broadcast(t)
-    filled = r.join(small, pos, "left").select(pos, *cells)
-    # Positions both sides hold: no more than the template has rows.
-    taken = r.select(pos).join(F.broadcast(t.select(pos)), pos, "left_semi")
-    untouched = t.join(F.broadcast(taken), pos, "left_anti")
-    return filled.unionByName(
-        untouched.select(pos, *[F.col(f"`t.{c}`").alias(c) for c, _ in columns])
-    )
+
+def _last(records: DataFrame, pos: str) -> Column:
+    return records.agg(F.coalesce(F.max(pos).cast("long"), F.lit(0))).scalar()
+
+
+def fill_many_in_place(records: DataFrame, headers: DataFrame, rows: DataFrame, pos: str = "pos") -> DataFrame:
+    """One record set written over the rows of many templates of different headers.
+
+    ``headers``: template, header array; ``rows``: template, pos, cells array; ``records``: pos from 1 without gaps, and
+    fields. Gives template, pos, cells. As in overlay(), cell by cell: a header cell names the
+    field of its column, a null one and cells beyond the header take nothing. The list of headers is small, one entry
+    a template; records and rows meet in one join by template and position.
+    """
+    names = [c for c in records.columns if c != pos]
+    values = F.array(*[records[_quoted(n)].cast("string") for n in names])
+    record = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), values)
+    forms = headers.agg(F.collect_list(F.struct("template", "header"))).scalar()
+    due = records.select(pos, record.alias("__record"), F.inline(forms))
+    held = rows.select("template", pos, "cells")
+    width = F.greatest(F.size("header"), F.coalesce(F.size("cells"), F.lit(0)))
+
+    def cell(i: Column) -> Column:
+        return F.coalesce(F.element_at("__record", F.get("header", i)), F.get("cells", i))
+
+    places = F.when(width > 0, F.sequence(F.lit(0), width - 1)).otherwise(F.array().cast("array<int>"))
+    filled = due.join(held, ["template", pos], "left").select("template", pos, F.transform(places, cell).alias("cells"))
+    known = headers.select("template").distinct()
+    return filled.unionByName(held.filter(F.col(pos) > _last(records, pos)).join(known, "template", "left_semi"))
 
 
 def _or_null(df: DataFrame, name: str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from formweave.operators.chunking import document_chunks, numbered_chunks
 from formweave.operators.daterange import filter_by_range, ranges_of_documents, require_range
 from formweave.operators.extract import Extractor, extract_records, rule_extractor
 from formweave.operators.positions import global_position
-from formweave.operators.status import DONE
+from formweave.operators.status import DONE, FAILED
 from formweave.session import materialise
 from formweave.sources.files import convert_folder, only_file, scan_files, texts_of
 from formweave.sources.workbook import WORKBOOK_SUFFIXES, decode_workbooks, filter_rows, records
@@ -67,7 +68,7 @@ def ordered_union(branches: Sequence[DataFrame]) -> DataFrame:
 
 
 def workbook_records(
-    rows: DataFrame, request: DataFrame, fields: Sequence[str], inclusive_day: bool = False
+    rows: DataFrame, request: DataFrame, fields: Sequence[str], inclusive_day: bool = False, written: bool = False
 ) -> DataFrame:
     """Structured branch for workbook rows of any headers (G1).
 
@@ -75,7 +76,7 @@ def workbook_records(
     shapes need no plan each. Sheets sharing no field with the template drop
     out; absent fields stay null and so keep the template's cells.
     """
-    maps = records(filter_rows(rows, request, inclusive_day))
+    maps = records(filter_rows(rows, request, inclusive_day, written))
     shared = F.arrays_overlap(F.map_keys("record"), F.array(*[F.lit(f) for f in fields]))
     return maps.filter(shared).select(
         F.struct("path", "sheet_idx", "row_idx").alias("__order"),
@@ -83,7 +84,19 @@ def workbook_records(
     )
 
 
-def fill_from_folders(
+@dataclass(frozen=True)
+class Job:
+    """What a job filled, and what became of each of its files.
+
+    filled: pos and the template's columns
+    report: path, kind (table or prose), status, message, n_read (sheet rows or chunks), n_records
+    """
+
+    filled: DataFrame
+    report: DataFrame
+
+
+def run_job(
     spark: SparkSession,
     request_folder: str,
     data_folder: str,
@@ -91,27 +104,59 @@ def fill_from_folders(
     max_len: int = 1000,
     extractor: Extractor | None = None,
     kinds: dict[str, str] | None = None,
-) -> DataFrame:
-    """The whole job over folders: request text, mixed documents, one template book.
+    recursive: bool = False,
+) -> Job:
+    """The whole job over folders: request text, mixed documents, one template book.
 
-    Gives ``pos`` and the template's columns. Only the template's header comes
-    to the driver.
+    Only the template's header comes to the driver. Every file is one row of the report, broken
+    books and undecodable texts included; what was decoded and extracted is written once
+    and read by both the filling and the report.
     """
     asked = texts_of(only_file(scan_files(spark, request_folder, (".txt",)), "request"))
     request = require_range(ranges_of_documents(asked, "path"))
     header, template = template_sheet(spark, template_folder)
     fields = T.clean_header(header)
 
-    books = scan_files(spark, data_folder, WORKBOOK_SUFFIXES)
-    docs = convert_folder(spark, data_folder).filter(F.col("status") == DONE)
+    rows = materialise(decode_workbooks(scan_files(spark, data_folder, WORKBOOK_SUFFIXES, recursive)))
+    tables = materialise(workbook_records(rows, request, fields, written=True))
+
     # Written before the chunks are numbered: ordering reads its input twice.
-    texts = materialise(docs.select("source", F.col("markdown").alias("text")))
+    docs = materialise(convert_folder(spark, data_folder, recursive=recursive))
+    texts = docs.filter(F.col("status") == DONE).select("source", F.col("markdown").alias("text"))
     chunks = numbered_chunks(texts, document_chunks(F.col("text"), max_len), ["source"])
-    branches = [
-        workbook_records(decode_workbooks(books), request, fields),
-        prose_records(chunks, fields, ["id"], extractor or rule_extractor(fields, kinds)),
-    ]
-    return T.overlay(template, ordered_union(branches), header)
+    prose = prose_records(chunks, fields, ["id", "source"], extractor or rule_extractor(fields, kinds))
+
+    filled = T.overlay(template, ordered_union([tables, prose]), header)
+    return Job(filled, job_report(rows, tables, docs, chunks, prose))
+
+
+def job_report(rows: DataFrame, tables: DataFrame, docs: DataFrame, chunks: DataFrame, prose: DataFrame) -> DataFrame:
+    """One row per file from what the branches of run_job() wrote.
+
+    Counts come from aggregates by file, each one row a file; run_stats() sums them up.
+    """
+
+    def counted(df: DataFrame, path: str, name: str) -> DataFrame:
+        return df.groupBy(F.col(path).alias("path")).agg(F.count("*").alias(name))
+
+    error = F.max("error")
+    books = rows.groupBy("path").agg(
+        F.when(error.isNull(), DONE).otherwise(FAILED).alias("status"),
+        F.coalesce(error, F.lit("")).alias("message"),
+        F.count("cells").alias("n_read"),
+    )
+    books = books.join(counted(tables, "__order.path", "n_records"), "path", "left").withColumn("kind", F.lit("table"))
+    texts = docs.select(F.col("source").alias("path"), "status", "message", F.lit("prose").alias("kind"))
+    texts = texts.join(counted(chunks, "source", "n_read"), "path", "left")
+    texts = texts.join(counted(prose, "__order.source", "n_records"), "path", "left")
+    zero = lambda n: F.coalesce(F.col(n), F.lit(0)).alias(n)
+    columns = ["path", "kind", "status", "message", zero("n_read"), zero("n_records")]
+    return books.select(*columns).unionByName(texts.select(*columns))
+
+
+def fill_from_folders(spark: SparkSession, request_folder: str, data_folder: str, template_folder: str, **options) -> DataFrame:
+    """What run_job() fills: ``pos`` and the template's columns."""
+    return run_job(spark, request_folder, data_folder, template_folder, **options).filled
 
 
 def template_sheet(

@@ -405,6 +405,16 @@ ORACLES = {
     CASE WHEN sheet = 'data' THEN '订单|UpdateTime|Unnamed: 2|价格' ELSE 'empty' END AS header, cells FROM ({BOOK_ROWS})""",
     "workbook_columns": f"""SELECT concat('books/', o_orderkey, '.xlsx') AS path, r::INTEGER AS row_idx, o_orderkey::VARCHAR AS key,
     CASE WHEN r = 1 THEN {BOOK_PRICE} ELSE '7' END AS price FROM orders, (VALUES (1), (3)) AS v(r)""",
+    "workbook_markdown": """
+  WITH o AS (SELECT strftime(o_orderdate, '%Y') AS path, o_orderstatus AS s, o_orderkey AS k,
+      concat('| ', o_orderkey, ' | ', CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus ELSE '' END, ' |') AS line FROM orders),
+  l AS (SELECT *, k = min(k) OVER (PARTITION BY path, s) AS top, k // 100 AS part FROM o),
+  p AS (SELECT path, s, part, bool_or(top) AS top,
+      string_agg(CASE WHEN top THEN concat(line, chr(10), '| --- | --- |') ELSE line END, chr(10) ORDER BY k) AS t FROM l GROUP BY ALL),
+  e AS (SELECT *, part = max(part) OVER (PARTITION BY path, s) AS last FROM p)
+  SELECT path, concat('s', s) AS sheet, ascii(s)::INTEGER AS sheet_idx, part::BIGINT AS part,
+    concat(CASE WHEN top THEN concat('<!-- 工作表: s', s, ' -->', chr(10), chr(10)) ELSE '' END, t, CASE WHEN last THEN chr(10) || chr(10) ELSE '' END) AS markdown FROM e
+  UNION ALL SELECT DISTINCT path, 'none', 1, 0, concat('<!-- 工作表: none -->', chr(10), '*(工作表无数据)*', chr(10)) FROM o""",
     "workbook_range": f"""SELECT path, sheet, row_idx, cells FROM ({BOOK_ROWS})
   WHERE d IS NULL OR d BETWEEN TIMESTAMP '1996-03-01' AND TIMESTAMP '1997-02-28'""",
     "docx_blocks": f"""{DOCX_BLOCKS}
@@ -464,6 +474,23 @@ ORACLES = {
   UNION ALL SELECT p_partkey::VARCHAR, 'brands', 2, 'p_type', p_type FROM part
   UNION ALL SELECT p_partkey::VARCHAR, 'sizes', 1, 'p_size', p_size::VARCHAR FROM part
   UNION ALL SELECT p_partkey::VARCHAR, 'sizes', 2, 'p_name', p_name FROM part""",
+    "fill_many_in_place": """
+  WITH r AS (SELECT row_number() OVER (ORDER BY p_partkey) AS pos, CASE WHEN p_size <> 7 THEN p_name END AS name, p_brand AS brand,
+    CASE WHEN p_size = 9 THEN '' ELSE p_type END AS type FROM part),
+  o AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS pos, o_orderstatus AS a, o_orderpriority AS c FROM orders),
+  s AS (SELECT row_number() OVER (ORDER BY s_suppkey) AS pos, s_name AS a FROM supplier)
+  SELECT 'orders' AS template, pos, concat(coalesce(type, a), '|', name, '|', coalesce(name, c)) AS cells FROM r FULL JOIN o USING (pos)
+  UNION ALL SELECT 'suppliers', pos, CASE WHEN a IS NULL THEN concat('||', brand) ELSE concat(a, '|x|', brand, '|last') END
+  FROM r FULL JOIN s USING (pos)
+  UNION ALL SELECT 'empty', pos, brand FROM r""",
+    "job_report": """
+  WITH n AS (SELECT n_nationkey AS k FROM nation),
+  b AS (SELECT k, CASE WHEN k % 5 = 0 THEN 'broken' WHEN k % 5 = 1 THEN 'other' ELSE 'good' END AS form FROM n)
+  SELECT concat('book', k, '.xlsx') AS file, 'table' AS kind, CASE WHEN form = 'broken' THEN 'failed' ELSE 'done' END AS status,
+    form = 'broken' AS told, (CASE form WHEN 'broken' THEN 0 WHEN 'other' THEN 1 ELSE 1 + k % 3 END)::BIGINT AS n_read,
+    (CASE WHEN form = 'good' THEN CASE WHEN k % 3 = 2 THEN 2 ELSE 1 END ELSE 0 END)::BIGINT AS n_records FROM b
+  UNION ALL SELECT concat('bad', k, '.txt'), 'prose', 'failed', true, 0, 0 FROM n WHERE k % 10 = 3
+  UNION ALL SELECT DISTINCT concat('c_nationkey=', c_nationkey), 'prose', 'done', false, 2, 1 FROM customer""",
     "empty_templates": """SELECT c_custkey, concat('{"', c_name, '":"","', c_mktsegment, '":""}') AS template FROM customer""",
     "numbered_records": """SELECT row_no, concat('{"', row_no, '": {"c_custkey":"', c_custkey, '","c_name":"', c_name,
   '","c_mktsegment":"', c_mktsegment, '"}}') AS record

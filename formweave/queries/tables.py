@@ -779,6 +779,19 @@ def workbook_columns(spark: SparkSession, sf: str) -> DataFrame:
     return workbook.records(rows).select("path", "row_idx", record["订单"].alias("key"), record["价格"].alias("price"))
 
 
+def workbook_markdown(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as sheets of a book for each year, one sheet empty; Markdown in bounded parts."""
+    o = table(spark, sf, "orders").select(F.year("o_orderdate").cast("string").alias("path"), "o_orderkey", "o_orderstatus")
+    rows = o.select(
+        "path", F.concat(F.lit("s"), "o_orderstatus").alias("sheet"), F.ascii("o_orderstatus").alias("sheet_idx"),
+        F.col("o_orderkey").cast("int").alias("row_idx"),
+        F.array(F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus"))).alias("cells"),
+    )
+    none = o.select("path", F.lit("none").alias("sheet"), F.lit(1).alias("sheet_idx"), F.lit(0).alias("row_idx"), F.lit(None).cast("array<string>").alias("cells"))
+    parts = markdown.workbook_parts(rows.unionByName(none.distinct()), part_rows=100)
+    return parts.select("path", "sheet", "sheet_idx", "part", "markdown")
+
+
 def workbook_range(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of all books within the requested range, by each sheet's own date column."""
     rows = workbook.decode_workbooks(_order_books(spark, sf))
@@ -841,6 +854,58 @@ def stored_records(spark: SparkSession, sf: str) -> DataFrame:
 # --- status ----------------------------------------------------------------
 
 
+def fill_many_in_place(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts written over the rows of three sheets: one longer than the parts, one shorter, one empty."""
+    parts = table(spark, sf, "part").selectExpr(
+        "p_partkey", "if(p_size = 7, null, p_name) name", "p_brand brand", "if(p_size = 9, '', p_type) type"
+    )
+    records = global_position(parts, ["p_partkey"]).drop("p_partkey")
+    orders = global_position(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), ["o_orderkey"])
+    suppliers = global_position(table(spark, sf, "supplier").select("s_suppkey", "s_name"), ["s_suppkey"])
+    none = F.lit(None).cast("string")
+    rows = orders.select(F.lit("orders").alias("template"), "pos", F.array("o_orderstatus", none, "o_orderpriority").alias("cells"))
+    rows = rows.unionByName(
+        suppliers.select(F.lit("suppliers").alias("template"), "pos", F.array("s_name", F.lit("x"), none, F.lit("last")).alias("cells"))
+    )
+    headers = [("orders", ["type", "name", "name"]), ("suppliers", ["absent", None, "brand"]), ("empty", ["brand"])]
+    headers = spark.createDataFrame(headers, "template string, header array<string>")
+    filled = template.fill_many_in_place(records, headers, rows)
+    return filled.select("template", "pos", joined(F.col("cells")).alias("cells"))
+
+
+def _put(spark: SparkSession, folder: str, name: str, content: bytes) -> None:
+    """One small file of a query's folder, in whatever store the folder is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(content))
+    out.close()
+
+
+def job_report(spark: SparkSession, sf: str) -> DataFrame:
+    """A job over a text and a workbook for each nation; some books are broken or of another form, some texts undecodable."""
+    from formweave.plans.fill import run_job
+    from formweave.queries.office import xlsx
+
+    request, data, sheet = (kept_path(spark, k) for k in ("request", "data", "sheet"))
+    _put(spark, request, "request.txt", REQUEST.encode())
+    _put(spark, sheet, "sheet.xlsx", xlsx({"s": [["kind", "UpdateTime", "nation"], ["old", None, None]]}))
+    # One row a nation: the files of books are few, whatever the tables' size.
+    for n in table(spark, sf, "nation").select("n_nationkey", "n_name").collect():
+        days = ["1996-05-01", "1999-01-01", "1997-01-01"][: 1 + n.n_nationkey % 3]
+        rows = [["UpdateTime", "nation"], *[[d, n.n_name] for d in days]] if n.n_nationkey % 5 > 1 else [["other"], [1]]
+        _put(spark, data, f"book{n.n_nationkey}.xlsx", b"no book" if n.n_nationkey % 5 == 0 else xlsx({"s": rows}))
+        if n.n_nationkey % 10 == 3:
+            _put(spark, data, f"bad{n.n_nationkey}.txt", b"\xff\xff")
+    c = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n"), F.max("c_custkey").alias("top"))
+    text = F.concat(F.lit("kind: "), F.col("n").cast("string"), F.lit("; until "), F.col("top").cast("string"))
+    c.select("c_nationkey", text.alias("text")).write.partitionBy("c_nationkey").text(f"{data}/texts")
+    job = run_job(spark, request, data, sheet, kinds={"kind": "text"}, recursive=True)
+    name = F.coalesce(F.nullif(F.regexp_extract("path", "c_nationkey=[0-9]+", 0), F.lit("")), X.file_name(F.col("path")))
+    return job.report.select(
+        name.alias("file"), "kind", "status", (F.col("message") != "").alias("told"), "n_read", "n_records"
+    )
+
+
 def _conversions(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "lang")
     marked = status.mark_existing(docs, table(spark, sf, "labels"), ["doc_id"])
@@ -907,6 +972,7 @@ QUERIES = {
     "merge_records": merge_records,
     "overlay_fill": overlay_fill,
     "multi_template_fill": multi_template_fill,
+    "fill_many_in_place": fill_many_in_place,
     "empty_templates": empty_templates,
     "numbered_records": numbered_records,
     "first_occurrences": first_occurrences,
@@ -963,11 +1029,13 @@ QUERIES = {
     "retrieval_chunks": retrieval_chunks,
     "workbook_cells": workbook_cells,
     "workbook_columns": workbook_columns,
+    "workbook_markdown": workbook_markdown,
     "workbook_range": workbook_range,
     "docx_blocks": docx_blocks,
     "docx_slices": docx_slices,
     "decoded_texts": decoded_texts,
     "stored_records": stored_records,
+    "job_report": job_report,
     "skip_existing": skip_existing,
     "run_stats": run_stats,
 }

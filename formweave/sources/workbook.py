@@ -285,10 +285,12 @@ def _readable(cell: Column) -> Column:
     return F.coalesce(is_date, F.lit(False)).cast("double")
 
 
-def filter_rows(rows: DataFrame, ranges: DataFrame, inclusive_day: bool = False) -> DataFrame:
+def filter_rows(
+    rows: DataFrame, ranges: DataFrame, inclusive_day: bool = False, written: bool = False
+) -> DataFrame:
     """Workbook rows in the range; sheets without a date column pass whole."""
     # Decoding is the dear part and the rows are read three times from here.
-    rows = materialise(rows)
+    rows = rows if written else materialise(rows)
     # One row per sheet: written, the planner sees whether it can be broadcast.
     dated = rows.join(materialise(date_columns(rows.filter("cells IS NOT NULL"))), ["path", "sheet_idx", "sheet"], "left")
     start = ranges.select("start_date").scalar()

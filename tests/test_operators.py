@@ -182,15 +182,26 @@ def test_conform(spark):
     assert template.keep_filled(blank, ["a", "b"]).count() == 1
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_overlay(spark, monkeypatch, limit):
-    """The broadcast and the shuffled way give the same sheet."""
-    monkeypatch.setattr(template, "BROADCAST_CELLS", limit)
+def test_overlay(spark):
     header = ["省份", "GDP", None, "省份"]
     sheet = spark.createDataFrame([(1, None, "9"), (4, "old", "tail")], "pos long, `省份` string, GDP string")
     records = spark.createDataFrame([(1, "湖北省", None), (2, None, "5"), (3, "", "")], "pos long, `省份` string, GDP string")
     got = rows(template.overlay(sheet, records, header), "pos")
     assert got == [(1, "湖北省", "9", "湖北省"), (2, None, "5", None), (3, "", "", ""), (4, "old", "tail", None)]
+    assert rows(template.overlay(sheet, records.limit(0), header), "pos") == [(1, None, "9", None), (4, "old", "tail", None)]
+    assert template.overlay(sheet.limit(0), records, header).count() == 3
+
+
+def test_fill_many_in_place(spark):
+    records = spark.createDataFrame([(1, "x", None), (2, "", "b2")], "pos long, a string, b string")
+    headers = spark.createDataFrame([("t", ["b", None, "a", "zz"]), ("u", ["a"]), ("v", [])], "template string, header array<string>")
+    sheet = [("t", 1, ["old", "keep"]), ("t", 3, ["tail"]), ("u", 2, ["gone", "beyond"]), ("other", 9, ["no header"])]
+    sheet = spark.createDataFrame(sheet, "template string, pos long, cells array<string>")
+    got = rows(template.fill_many_in_place(records, headers, sheet), "template", "pos")
+    assert got == [
+        ("t", 1, ["old", "keep", "x", None]), ("t", 2, ["b2", None, "", None]), ("t", 3, ["tail"]),
+        ("u", 1, ["x"]), ("u", 2, ["", "beyond"]), ("v", 1, []), ("v", 2, []),
+    ]
 
 
 def test_fill_many_reads_records_once(spark):

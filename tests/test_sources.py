@@ -240,6 +240,22 @@ def test_folder_nodes_and_index_reuse(spark, tmp_path):
     assert again.nodes.count() == 3
 
 
+def test_skipped_files_are_not_read(spark, tmp_path):
+    """Contents are read of the files still to do only; no exchange carries them; names may hold any sign."""
+    folder = put(tmp_path / "in", {"a[1].txt": "one", "b {x}*.txt": "two", "c.md": "# three", "d.txt": "four"})
+    done = spark.createDataFrame([("d.txt.md",), ("gone.txt.md",)], "key string")
+    out = convert_folder(spark, folder, existing=done)
+    got = {r.key: (r.status, r.markdown) for r in out.collect()}
+    assert got == {
+        "a[1].txt.md": ("done", "```text\none\n```"), "b {x}*.txt.md": ("done", "```text\ntwo\n```"),
+        "c.md.md": ("done", "# three"), "d.txt.md": ("skipped", None),
+    }
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.split("\n") if "Exchange" in line and "content" in line]
+    everything = convert_folder(spark, folder, existing=out.select("key"))
+    assert {r.status for r in everything.collect()} == {"skipped"}
+
+
 def test_folder_search_in_all_modes(spark, tmp_path):
     """Stored vectors and postings over ids made of paths; vectors can be added later."""
     folder = put(tmp_path / "in", {"a.txt": "red apple apple", "b.md": "green pear", "c.docx": docx(["red wine"])})
