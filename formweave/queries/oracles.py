@@ -390,7 +390,48 @@ DOCX_BLOCKS = f"""
   r AS (SELECT concat('docs/', doc_id, '.docx') AS path, i - 1 AS pos, t[i] AS text, len(t) AS n, i
     FROM b, unnest(range(1, len(t) + 1)) AS r(i))"""
 
+CUSTOMER_FILES = "SELECT c_nationkey::BIGINT AS k, string_agg(c_name, chr(10) ORDER BY c_custkey) || chr(10) AS t, min_by(c_name, c_custkey) AS top FROM customer GROUP BY c_nationkey"
+HAN_DIGITS = "'0123456789', '零一二三四五六七八九'"
+HAN_PAIRS = "list_transform(range(1, greatest(length(text) - 1, 1) + 1), lambda i: substr(text, i, 2))"
+
 ORACLES = {
+    "folder_texts": f"SELECT k AS nation, t AS text, 'done' AS status FROM ({CUSTOMER_FILES})",
+    "folder_markdown": """SELECT concat(n_nationkey, '.md') AS file,
+    CASE WHEN n_nationkey % 3 = 0 THEN concat('# é ', n_name) ELSE concat('# 国家 ', n_name) END AS text, 'done' AS status FROM nation""",
+    "json_objects": """SELECT c_custkey::VARCHAR AS key, c_name AS name, NULL::BIGINT AS n FROM customer
+  UNION ALL SELECT NULL, c_mktsegment, count(*) FROM customer GROUP BY c_mktsegment""",
+    "json_lists": """
+  WITH l AS (SELECT n_regionkey AS r, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS pos, n_name AS name,
+    CASE WHEN n_nationkey % 2 = 1 THEN n_nationkey::VARCHAR END AS odd FROM nation)
+  SELECT concat(r, '.json') AS file, pos::INTEGER AS pos, name, odd FROM l WHERE r <> 2
+  UNION ALL SELECT 'table', 0, name, odd FROM l WHERE r = 1""",
+    "json_template": """SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, 'o_orderstatus|zz|o_orderkey' AS fields
+  FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1996-03-01' AND TIMESTAMP '1996-05-31'""",
+    "template_rows": """SELECT row_number() OVER (ORDER BY n_nationkey) AS pos, n_name AS name, n_regionkey::VARCHAR AS region, 'none' AS again,
+  'name||region|name' AS header, 2::BIGINT AS n_sheets FROM nation""",
+    "stored_tables": """SELECT c_custkey AS key, c_name AS name, c_mktsegment AS segment, f AS file FROM customer,
+    (VALUES ('data_filtered.csv'), ('data_filtered.parquet')) AS v(f)
+  UNION ALL SELECT n_nationkey, n_name, 'one', 'nation.json' FROM nation""",
+    "converted_files": f"""
+  WITH f AS ({CUSTOMER_FILES}),
+  a AS (SELECT k, CASE WHEN k % 3 = 0 THEN 'skipped' WHEN k = 1 THEN 'failed' ELSE 'done' END AS status, top FROM f)
+  SELECT k AS nation, 'stored' AS status, '' AS message, concat('```text', chr(10), t, chr(10), '```') AS markdown FROM f WHERE k % 3 = 0
+  UNION ALL SELECT k, 'stored', '', top FROM a WHERE status = 'done'
+  UNION ALL SELECT k, status, CASE status WHEN 'skipped' THEN 'already converted' WHEN 'failed' THEN 'ValueError: not this one' ELSE '' END,
+    CASE WHEN status = 'done' THEN top END FROM a""",
+    "observed_run": """WITH m AS (SELECT doc_id IN (SELECT doc_id FROM labels) AS s FROM documents)
+  SELECT count(*) AS total, count(*) AS success, 0::BIGINT AS failed, count(*) FILTER (s) AS skipped, source
+  FROM m, (VALUES ('observed'), ('aggregate')) AS v(source) GROUP BY source""",
+    "date_column_chosen": """SELECT o_orderkey::VARCHAR AS k, CASE WHEN o_orderkey % 16 > 0 THEN strftime(o_orderdate, '%Y/%-m/%-d') ELSE '?' END AS day,
+  'most' AS chosen, 'none' AS without FROM orders""",
+    "han_index": f"""
+  WITH documents AS (SELECT o_orderkey AS doc_id, translate(o_orderkey::VARCHAR, {HAN_DIGITS}) AS text FROM orders),
+  {bm25_scores(f"SELECT n_nationkey AS query_id, translate((n_nationkey * 37 + 10)::VARCHAR, {HAN_DIGITS}) AS text FROM nation").replace(TOKENS, HAN_PAIRS)}
+  SELECT query_id, node_id, score, rank::INTEGER AS rank
+  FROM ({ranked("SELECT query_id, node_id, round(score, 4) AS score FROM scores", 5)})""",
+    "pooled_fields": """SELECT o_orderkey, '合同金额' AS template_field, 'amount' AS field,
+  CASE WHEN o_orderkey % 4 = 0 THEN 'model says' ELSE (o_orderkey * 10000)::VARCHAR END AS value,
+  CASE WHEN o_orderkey % 4 = 0 THEN 'model' ELSE 'rule' END AS tier FROM orders""",
     "stored_index": f"""WITH {bm25_scores(BENCH_Q)}
   SELECT query_id, node_id, score, rank::INTEGER AS rank
   FROM ({ranked("SELECT query_id, node_id, round(score, 4) AS score FROM scores", 5)})""",

@@ -27,6 +27,8 @@ from formweave.operators.daterange import (
     require_range,
 )
 from formweave.operators.positions import first_occurrence, global_position, global_rank
+from formweave.queries.folders import QUERIES as FOLDER_QUERIES
+from formweave.queries.folders import put
 from formweave.session import kept_path
 from formweave.sinks.tables import indexed_records, write_records
 from formweave.sources import docx as docx_source
@@ -873,29 +875,21 @@ def fill_many_in_place(spark: SparkSession, sf: str) -> DataFrame:
     return filled.select("template", "pos", joined(F.col("cells")).alias("cells"))
 
 
-def _put(spark: SparkSession, folder: str, name: str, content: bytes) -> None:
-    """One small file of a query's folder, in whatever store the folder is."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
-    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
-    out.write(bytearray(content))
-    out.close()
-
-
 def job_report(spark: SparkSession, sf: str) -> DataFrame:
     """A job over a text and a workbook for each nation; some books are broken or of another form, some texts undecodable."""
     from formweave.plans.fill import run_job
     from formweave.queries.office import xlsx
 
     request, data, sheet = (kept_path(spark, k) for k in ("request", "data", "sheet"))
-    _put(spark, request, "request.txt", REQUEST.encode())
-    _put(spark, sheet, "sheet.xlsx", xlsx({"s": [["kind", "UpdateTime", "nation"], ["old", None, None]]}))
+    put(spark, request, "request.txt", REQUEST.encode())
+    put(spark, sheet, "sheet.xlsx", xlsx({"s": [["kind", "UpdateTime", "nation"], ["old", None, None]]}))
     # One row a nation: the files of books are few, whatever the tables' size.
     for n in table(spark, sf, "nation").select("n_nationkey", "n_name").collect():
         days = ["1996-05-01", "1999-01-01", "1997-01-01"][: 1 + n.n_nationkey % 3]
         rows = [["UpdateTime", "nation"], *[[d, n.n_name] for d in days]] if n.n_nationkey % 5 > 1 else [["other"], [1]]
-        _put(spark, data, f"book{n.n_nationkey}.xlsx", b"no book" if n.n_nationkey % 5 == 0 else xlsx({"s": rows}))
+        put(spark, data, f"book{n.n_nationkey}.xlsx", b"no book" if n.n_nationkey % 5 == 0 else xlsx({"s": rows}))
         if n.n_nationkey % 10 == 3:
-            _put(spark, data, f"bad{n.n_nationkey}.txt", b"\xff\xff")
+            put(spark, data, f"bad{n.n_nationkey}.txt", b"\xff\xff")
     c = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n"), F.max("c_custkey").alias("top"))
     text = F.concat(F.lit("kind: "), F.col("n").cast("string"), F.lit("; until "), F.col("top").cast("string"))
     c.select("c_nationkey", text.alias("text")).write.partitionBy("c_nationkey").text(f"{data}/texts")
@@ -1038,4 +1032,5 @@ QUERIES = {
     "job_report": job_report,
     "skip_existing": skip_existing,
     "run_stats": run_stats,
+    **FOLDER_QUERIES,
 }
