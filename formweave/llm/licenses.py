@@ -3,7 +3,7 @@
 A text is brought to its words (A-Z lowered; digits, letters and everything
 beyond ASCII make words), joined by single spaces. Hundreds of signature rules,
 regular expressions over whole words, are then tried: a rule runs only where its
-keyword stands in the text. Each rule has a tier: tags first, full names next,
+keyword stands in the text; the keyword is a word of every text the rule matches. Each rule has a tier: tags first, full names next,
 abbreviations last. A detection lying inside the interval of a detection of a
 better tier, or inside a longer one of its own tier, is suppressed; the rules of
 the base phrases are never suppressed.
@@ -14,6 +14,7 @@ The work is one pass over each row: no shuffle and no Python.
 from __future__ import annotations
 
 import re
+import string
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -92,11 +93,10 @@ def signature_rules() -> list[tuple[str, int, str, str]]:
     """(label, tier, keyword, expression over words), hundreds of them, in order of priority."""
     rules = _tags() + _creative_commons()
     gnu = "(?:gnu )?"
-    rules += _versioned("agpl", [f"{gnu}affero general public licen[cs]e", "agpl"], ["3.0", "3"], "agpl")
+    rules += _versioned("agpl", ["agpl"], ["3.0", "3"], "agpl")
     rules += _versioned("agpl", [f"{gnu}affero general public licen[cs]e"], ["3.0", "3"], "affero")
-    lesser = [f"{gnu}(?:lesser|library) general public licen[cs]e", "lgpl"]
-    rules += _versioned("lgpl", lesser, ["2.0", "2.1", "2", "3.0", "3"], "lgpl")
-    rules += _versioned("lgpl", lesser[:1], ["2.0", "2.1", "2", "3.0", "3"], "public")
+    rules += _versioned("lgpl", ["lgpl"], ["2.0", "2.1", "2", "3.0", "3"], "lgpl")
+    rules += _versioned("lgpl", [f"{gnu}(?:lesser|library) general public licen[cs]e"], ["2.0", "2.1", "2", "3.0", "3"], "public")
     rules += _versioned("gpl", [f"{gnu}general public licen[cs]e"], ["1.0", "1", "2.0", "2", "3.0", "3"], "public")
     rules += _versioned("gpl", [f"{gnu}gpl"], ["1.0", "1", "2.0", "2", "3.0", "3"], "gpl")
     rules += _versioned("apache", ["apache (?:software )?licen[cs]e", "apache"], ["1.0", "1.1", "2.0", "2"], "apache")
@@ -124,7 +124,8 @@ def signature_rules() -> list[tuple[str, int, str, str]]:
         ("mit", _SHORT, "mit", "licensed under (?:the )?mit"),
         ("isc", _NAME, "isc", "(?:the )?isc licen[cs]e"),
         ("isc", _NAME, "permission", "permission to use copy modify and or distribute this software for any purpose"),
-        ("bsd-2-clause", _NAME, "bsd", "(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)(?: licen[cs]e)?"),
+        ("bsd-2-clause", _NAME, "bsd", "(?:simplified bsd|bsd 2 clause|2 clause bsd)(?: licen[cs]e)?"),
+        ("bsd-2-clause", _NAME, "freebsd", "freebsd(?: licen[cs]e)?"),
         ("bsd-3-clause", _NAME, "bsd", "(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd)(?: licen[cs]e)?"),
         ("bsd-4-clause", _NAME, "bsd", "(?:original bsd|bsd 4 clause|4 clause bsd)(?: licen[cs]e)?"),
         ("bsd", _SHORT, "bsd", "bsd(?: style)? licen[cs]e"),
@@ -145,9 +146,15 @@ def signature_rules() -> list[tuple[str, int, str, str]]:
     return rules
 
 
+def _lowered(text: Column) -> Column:
+    """A-Z in lower case; other letters stay, also those whose lower case is one of a-z."""
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
+
+
 def _words(text: Column) -> Column:
     """The words of a text, each followed by a blank, one blank before the first."""
-    return F.concat(F.lit(" "), F.ltrim(F.regexp_replace(F.concat(F.lower(text), F.lit(" ")), _NOT_WORD, " ")))
+    return F.concat(F.lit(" "), F.ltrim(F.regexp_replace(F.concat(_lowered(text), F.lit(" ")), _NOT_WORD, " ")))
 
 
 def _blanks(text: Column) -> Column:

@@ -164,28 +164,32 @@ def similarity(a: np.ndarray, b: np.ndarray, wanted: float = SIMILARITY) -> floa
     return matches / (total - matches)
 
 
-def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, comp): each node's smallest connected node.
+def _components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, comp): components of ``labels`` joined by links (a, b) between nodes.
 
-    Components hook to their smallest neighbour and chains are shortened by
-    jumping, until no link joins two components. Every step is a written table.
+    Links are brought to components first. Components hook to their smallest
+    neighbour and chains are shortened by jumping; links inside one component
+    then go and equal ones merge, so each round looks only at what is left. Every
+    step is a written table.
     """
-    labels = nodes
+    a, b = (labels.select(F.col("node").alias(n), F.col("comp").alias(f"c{n}")) for n in ("a", "b"))
+    between = links.select("a", "b").join(a, "a").join(b, "b")
     while True:
-        a, b = (labels.select(F.col("node").alias(n), F.col("comp").alias(f"c{n}")) for n in ("a", "b"))
-        between = links.join(a, "a").join(b, "b").filter("ca <> cb").select("ca", "cb")
+        low, high = F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")
+        between = materialise(between.filter("ca <> cb").select(low, high).distinct())
+        if between.isEmpty():
+            return labels
         both = between.unionByName(between.select(F.col("cb").alias("ca"), F.col("ca").alias("cb")))
         parents = materialise(both.groupBy("ca").agg(F.min("cb").alias("low")).select(F.col("ca").alias("node"), F.least("ca", "low").alias("up")))
-        if parents.isEmpty():
-            return labels
         while True:
             above = parents.select(F.col("node").alias("up"), F.col("up").alias("next"))
             jumped = materialise(parents.join(above, "up").select("node", F.col("next").alias("up"), (F.col("next") != F.col("up")).alias("moved")))
             parents = jumped.select("node", "up")
             if jumped.filter("moved").isEmpty():
                 break
-        moved = parents.select(F.col("node").alias("comp"), "up")
-        labels = materialise(labels.join(moved, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")))
+        labels = materialise(labels.join(parents.select(F.col("node").alias("comp"), "up"), "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")))
+        one, two = (parents.select(F.col("node").alias(c), F.col("up").alias(f"up_{c}")) for c in ("ca", "cb"))
+        between = between.join(one, "ca").join(two, "cb").select(F.col("up_ca").alias("ca"), F.col("up_cb").alias("cb"))
 
 
 def _fits(m: Column, n: Column, wanted: float) -> Column:
@@ -194,14 +198,18 @@ def _fits(m: Column, n: Column, wanted: float) -> Column:
 
 
 def _pivot_pairs(members: DataFrame, labels: DataFrame, picks: list[Column], wanted: float) -> DataFrame:
-    """Pairs (a, b) of members and pivots of the same bucket, in different components."""
+    """Pairs (a, b) of members and pivots of the same bucket, in different components.
+
+    The pivots are a written table, so that both sides of their join are plain
+    shuffles (or one is small): a bucket with a large share of the rows can be split.
+    """
     live = members.join(labels, "node")
     chosen = live.groupBy("bucket").agg(
         F.min("comp").alias("low"),
         F.max("comp").alias("high"),
         F.array_distinct(F.array(*[F.min_by(F.struct("node", "comp", "shingles"), p) for p in picks])).alias("pivots"),
     )
-    pivots = chosen.filter("low <> high").select("bucket", F.explode("pivots").alias("pivot"))
+    pivots = materialise(chosen.filter("low <> high").select("bucket", F.explode("pivots").alias("pivot")))
     pairs = live.join(pivots, "bucket").filter((F.col("comp") != F.col("pivot.comp")) & _fits(F.col("shingles"), F.col("pivot.shingles"), wanted))
     return pairs.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
 
@@ -217,7 +225,7 @@ def _remaining_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, wa
     commonest component are paired with all.
     """
     live = members.join(labels, "node")
-    mixed = live.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("bucket")
+    mixed = materialise(live.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("bucket"))
     open_ = materialise(live.join(mixed, "bucket").select("node", "comp").distinct())
 
     def shingled(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +246,7 @@ def _remaining_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, wa
     prefix = prefix.select("node", "m", "own", F.posexplode(F.slice("shared", F.lit(1), (first - own).cast("int"))).alias("at", "s"))
     prefix = materialise(prefix.select("node", "m", (F.col("own") + F.col("at")).alias("at"), F.col("s.x").alias("x")).join(open_, "node"))
     common = prefix.groupBy("x", "comp").agg(F.count("*").alias("n")).groupBy("x")
-    common = common.agg(F.count("*").alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("common")).filter("comps > 1")
+    common = materialise(common.agg(F.count("*").alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("common")).filter("comps > 1"))
     mixed_x = prefix.join(common, "x")
     side = lambda d, n: d.select("x", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "comp", "m", "at")])
     need = F.ceil((F.col("m_a") + F.col("m_b")) * (wanted / (1 + wanted)) - 1e-9)
@@ -314,7 +322,7 @@ def near_classes(docs: DataFrame, wanted: float = SIMILARITY, with_key: bool = F
     )
     signed = nodes.select("node", "shingles", F.posexplode("sketch").alias("table", "signature"))
     signed = signed.select("node", "shingles", F.xxhash64("table", "signature").alias("bucket"))
-    full = signed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    full = materialise(signed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"))
     members = materialise(signed.join(full, "bucket").select("bucket", "node", "shingles"))
     candidates = materialise(members.select("node").distinct())
     firsts = nodes.join(candidates, "node", "left_semi").select("node", F.col("first.doc").alias("__doc"), F.col("first.key").alias("__key"))

@@ -1,6 +1,7 @@
 """License scans against a plain word-by-word scan."""
 
 import re
+from re import _parser
 
 import pytest
 
@@ -54,6 +55,10 @@ TEXTS = [
     "éric GENERAL  public\tlicense\x00x creative commons attribution share alike 4.0",
     "general public licenses are not it; ccby neither",
     "all rights reserved " * 50,
+    "under the FreeBSD license, the Simplified BSD License or the AGPL v3",
+    "the GNU Affero General Public License; the GNU Library General Public License 2.1 or any later",
+    "a M\u0130T license and the \u212aerberos M\u0131T LICENSE; the MIT Licen\u00c7e \u00c9 GPL 2.0",
+    "filler text " * 60000 + "licensed under MIT",
 ]
 
 
@@ -83,3 +88,33 @@ def test_given_documents(spark):
 def test_hundreds_of_rules_and_an_empty_table(spark):
     assert len(signature_rules()) > 200
     assert scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def samples(parsed):
+    """Texts that an expression matches: every alternative of it, optional parts with and without."""
+    texts = [""]
+    for kind, value in parsed:
+        name = str(kind)
+        if name == "LITERAL":
+            more = [chr(value)]
+        elif name == "SUBPATTERN":
+            more = samples(value[3])
+        elif name == "BRANCH":
+            more = [t for branch in value[1] for t in samples(branch)]
+        elif name == "IN":
+            low = value[0][1]
+            more = [chr(low[0] if isinstance(low, tuple) else low)]
+        elif name == "MAX_REPEAT":
+            once = samples(value[2])
+            more = [""] + once if value[0] == 0 else [t * value[0] for t in once]
+        else:
+            raise AssertionError(name)
+        texts = [a + b for a in texts for b in more]
+    return texts
+
+
+def test_every_rule_passes_its_gate():
+    """The keyword is a whole word of everything that the rule matches."""
+    for label, _, keyword, expression in signature_rules():
+        for text in samples(_parser.parse(expression)):
+            assert re.fullmatch(expression, text) and keyword in text.split(), (label, text)
