@@ -4,7 +4,8 @@ On a bounded sample the exact neighbour graph is built and cut into balanced
 parts, so that neighbours tend to share a part. A small network learns to tell
 a vector's part. It then routes every vector to its most probable part, and every
 query to its several most probable ones; how many, is the smallest number that
-reaches the wanted recall on the sample. Within the routed parts the search is exact.
+reaches the wanted recall for sample vectors held back from fitting. A query whose
+parts hold too few rows visits further ones. Within the routed parts the search is exact.
 
 All vectors are indexed. A part is dealt into blocks of bounded size by the hash
 of the id, so a part that holds most of the vectors, or most of their copies, is many
@@ -30,7 +31,7 @@ from formweave.session import materialise
 SAMPLE_ROWS = 16_384
 MAX_PARTS = 256
 BLOCK, QUERY_BLOCK = 8192, 512
-_ROUTED = pa.schema([("part", pa.int32()), ("query", pa.bool_()), ("id", pa.int64()), ("vector", pa.binary())])
+_ROUTED = pa.schema([("part", pa.int32()), ("id", pa.int64()), ("vector", pa.binary())])
 _PACKED = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("ids", pa.binary()), ("vectors", pa.binary())])
 _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
@@ -145,15 +146,17 @@ def fit_router(rows: np.ndarray, part: np.ndarray, parts: int, epochs: int = 40,
 
 
 def learn_partitions(rows: np.ndarray, parts: int, k: int, recall: float) -> Router:
-    """Fit a router on sample vectors; its visits reach the recall on the sample."""
-    parts = max(1, min(parts, len(rows) // 16))
-    if parts == 1 or len(rows) <= k:
+    """Fit a router on three quarters of the sample; its visits reach the recall for the rest."""
+    mixed = np.random.default_rng(1).permutation(len(rows))
+    held, fitted = np.split(mixed, [len(rows) // 4])
+    parts = max(1, min(parts, len(fitted) // 16))
+    if parts == 1 or len(rows) <= 4 * k:
         size = rows.shape[1]
         return Router(np.zeros((size, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1.0)
-    part = balanced_parts(rows, neighbour_graph(rows), parts)
-    router = fit_router(rows, part, parts)
+    part = balanced_parts(rows[fitted], neighbour_graph(rows[fitted]), parts)
+    router = fit_router(rows[fitted], part, parts)
     home = router.best(rows, 1)[:, 0]
-    asked = np.random.default_rng(1).choice(len(rows), min(512, len(rows)), replace=False)
+    asked = held[:1024]
     s = rows[asked] @ rows.T
     s[np.arange(len(asked)), asked] = -np.inf
     nearest = np.argpartition(-s, k - 1, axis=1)[:, :k]
@@ -163,21 +166,40 @@ def learn_partitions(rows: np.ndarray, parts: int, k: int, recall: float) -> Rou
     return router
 
 
-def _routed(vectors: DataFrame, router: Router, size: int, step: int) -> DataFrame:
+def _homes(vectors: DataFrame, router: Router, size: int) -> DataFrame:
+    """Every usable vector with its most probable part."""
+
     def route(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(stream):
             ids, rows = usable(b.column(0).cast(pa.int64()), b.column(1), size)
-            if not len(ids):
-                continue
-            best = router.best(rows, router.visits)
-            asks = np.flatnonzero(ids % step == 0)
-            data = [r.tobytes() for r in rows]
-            part = np.concatenate([best[:, 0], best[asks].ravel()]).astype(np.int32)
-            who = np.concatenate([np.arange(len(ids)), np.repeat(asks, router.visits)])
-            query = np.arange(len(who)) >= len(ids)
-            yield pa.record_batch([pa.array(part), pa.array(query), pa.array(ids[who]), pa.array([data[i] for i in who], pa.binary())], schema=_ROUTED)
+            if len(ids):
+                part = router.best(rows, 1)[:, 0].astype(np.int32)
+                yield pa.record_batch([pa.array(part), pa.array(ids), pa.array([r.tobytes() for r in rows], pa.binary())], schema=_ROUTED)
+
+    return vectors.mapInArrow(route, "part int, id long, vector binary")
+
+
+def parts_to_visit(router: Router, rows: np.ndarray, held: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, part) pairs: each row's most probable parts, as many as the router visits,
+    and further ones until they hold ``least`` vectors (all parts if they hold fewer)."""
+    best = router.best(rows, router.parts)
+    before = np.cumsum(held[best], axis=1) - held[best]
+    wanted = (np.arange(router.parts) < router.visits) | (before < least)
+    row, place = np.nonzero(wanted & (held[best] > 0))
+    return row, best[row, place]
+
+
+def _visits(homes: DataFrame, router: Router, size: int, held: np.ndarray, least: int) -> DataFrame:
+    """The queries, once for every part that they visit."""
+
+    def route(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(stream):
+            data = b.column(2).to_pylist()
+            row, part = parts_to_visit(router, np.frombuffer(b"".join(data)).reshape(-1, size), held, least)
+            ids = b.column(1).to_numpy()[row]
+            yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(ids), pa.array([data[i] for i in row], pa.binary())], schema=_ROUTED)
 
-    return vectors.mapInArrow(route, "part int, query boolean, id long, vector binary")
+    return homes.mapInArrow(route, "part int, id long, vector binary")
 
 
 def _packed(routed: DataFrame, block: int, counts: dict[int, int]) -> DataFrame:
@@ -213,7 +235,9 @@ def best_of_block(queries: np.ndarray, asked: np.ndarray, ids: np.ndarray, rows:
         yield int(q), ids[at][order], score[order]
 
 
-def nearest(vectors: DataFrame, k: int = 20, step: int = 20, recall: float = 0.95, sample: int = SAMPLE_ROWS) -> DataFrame:
+def nearest(
+    vectors: DataFrame, k: int = 20, step: int = 20, recall: float = 0.95, sample: int = SAMPLE_ROWS, parts: int | None = None
+) -> DataFrame:
     """The k nearest rows by inner product of every row whose id is divisible by ``step``.
 
     ``vectors``: (vec_id, embedding). Returns (query_id, rank from 1, vec_id,
@@ -221,25 +245,31 @@ def nearest(vectors: DataFrame, k: int = 20, step: int = 20, recall: float = 0.9
     are fewer than k. Rows of the query's own id are no candidates; other rows
     with equal vectors are, each. Vectors null, zero, with null or non-finite components, of
     another length than most, or without an id take no part. An empty
-    table gives an empty table; other columns are not looked at.
+    table gives an empty table; other columns are not looked at. ``parts`` fixes the
+    number of parts, which otherwise follows the number of vectors.
     """
     given = vectors.select("vec_id", "embedding")
     sizes = given.groupBy(F.size("embedding").alias("size")).count().filter("size > 0").orderBy(F.desc("count"), "size").first()
     size = sizes["size"] if sizes else 0
     total = sizes["count"] if sizes else 0
-    parts = min(MAX_PARTS, 1 << max(0, round(math.log2(max(1.0, math.sqrt(total) / 14)))))
+    parts = parts or min(MAX_PARTS, 1 << max(0, round(math.log2(max(1.0, math.sqrt(total) / 14)))))
     taken = given.orderBy(F.xxhash64("vec_id"), "vec_id").limit(min(sample, max(4096, 64 * parts))).toArrow().combine_chunks()
     column = lambda n: taken[n].combine_chunks() if taken.num_rows else pa.array([], taken.schema.field(n).type)
     _, rows = usable(column("vec_id").cast(pa.int64()), column("embedding"), size)
     router = learn_partitions(rows, parts, k, recall)
 
-    routed = materialise(_routed(given, router, size, step))
-    held = routed.groupBy("query", "part").count().collect()  # two rows a part at most
-    count = lambda q: {r.part: r["count"] for r in held if r.query == q} or {0: 1}
-    stored = _packed(routed.filter("NOT query"), BLOCK, count(False))
-    asked = _packed(routed.filter("query"), QUERY_BLOCK, count(True)).select("part", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    blocks = F.create_map(*[F.lit(x) for p, n in count(False).items() for x in (p, math.ceil(n / BLOCK))])
-    asked = asked.filter(blocks[F.col("part")].isNotNull()).withColumn("block", F.explode(F.sequence(F.lit(0), blocks[F.col("part")] - 1)))
+    homes = materialise(_homes(given, router, size))
+    count = lambda d: {r.part: r["count"] for r in d.groupBy("part").count().collect()} or {0: 1}  # noqa: E731  a row for each part
+    held = count(homes)
+    stored = _packed(homes, BLOCK, held)
+    queries = homes.filter(F.pmod("id", F.lit(step)) == 0)
+    # Rows of the query's own id are no candidates: that many more are needed.
+    own = queries.groupBy("id").count().agg(F.max("count")).first()[0] or 1
+    sizes = np.array([held.get(p, 0) for p in range(router.parts)])
+    asked = materialise(_visits(queries, router, size, sizes, k + own))
+    asked = _packed(asked, QUERY_BLOCK, count(asked)).select("part", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+    blocks = F.create_map(*[F.lit(x) for p, n in held.items() for x in (p, math.ceil(n / BLOCK))])
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), blocks[F.col("part")] - 1)))
 
     def search(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(stream):

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from formweave.llm.neighbours import balanced_parts, nearest, neighbour_graph
+from formweave.llm.neighbours import Router, balanced_parts, learn_partitions, nearest, neighbour_graph, parts_to_visit
 
 
 def brute(ids, rows, k, step):
@@ -52,3 +52,34 @@ def test_parts_are_balanced():
     rows = np.random.default_rng(0).normal(size=(600, 8))
     part = balanced_parts(rows, neighbour_graph(rows), 6)
     assert np.bincount(part).max() <= 110
+
+
+def recall(table, ids, rows, parts):
+    want, got = brute(ids, rows, 20, 20), found(nearest(table, parts=parts))
+    assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
+    # Equal scores are equally near: a copy may stand for another.
+    return sum(sum(s >= want[q][-1][1] for _, s in got[q]) for q in want) / (20 * len(want))
+
+
+def test_recall_where_few_parts_are_visited(spark):
+    """Clustered vectors, and the same with a third of the rows alike: most parts are never looked at."""
+    random = np.random.default_rng(4)
+    centres = random.normal(size=(80, 24))
+    clustered = centres[random.integers(0, 80, 6000)] + 0.35 * random.normal(size=(6000, 24))
+    clustered /= np.linalg.norm(clustered, axis=1, keepdims=True)
+    skewed = clustered.copy()
+    skewed[random.random(6000) < 1 / 3] = clustered[0]
+    ids = np.arange(6000)
+    for rows in (clustered, skewed):
+        assert learn_partitions(rows[::2], 32, 20, 0.95).visits < 8
+        table = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, rows)], "vec_id long, embedding array<double>")
+        assert recall(table, ids, rows, 32) >= 0.9
+
+
+def test_parts_until_enough_are_held():
+    router = Router(np.eye(3), np.zeros(3), np.eye(3), np.zeros(3), 1.0)
+    rows = np.array([[3.0, 2.0, 1.0], [1.0, 2.0, 3.0]])
+    row, part = parts_to_visit(router, rows, np.array([4, 0, 9]), 5)
+    assert list(zip(row.tolist(), part.tolist())) == [(0, 0), (0, 2), (1, 2)]
+    row, part = parts_to_visit(router, rows, np.array([4, 0, 9]), 99)
+    assert list(zip(row.tolist(), part.tolist())) == [(0, 0), (0, 2), (1, 2), (1, 0)]
