@@ -200,16 +200,17 @@ def _fits(m: Column, n: Column, wanted: float) -> Column:
 def _pivot_pairs(members: DataFrame, labels: DataFrame, picks: list[Column], wanted: float) -> DataFrame:
     """Pairs (a, b) of members and pivots of the same bucket, in different components.
 
+    The pivots belong to the bucket's largest component: its own members, often most
+    of the bucket, have nothing to ask then, and the others meet what they most likely join.
     The pivots are a written table, so that both sides of their join are plain
     shuffles (or one is small): a bucket with a large share of the rows can be split.
     """
     live = members.join(labels, "node")
-    chosen = live.groupBy("bucket").agg(
-        F.min("comp").alias("low"),
-        F.max("comp").alias("high"),
-        F.array_distinct(F.array(*[F.min_by(F.struct("node", "comp", "shingles"), p) for p in picks])).alias("pivots"),
+    inside = live.groupBy("bucket", "comp").agg(
+        F.count("*").alias("n"), F.array_distinct(F.array(*[F.min_by(F.struct("node", "comp", "shingles"), p) for p in picks])).alias("pivots")
     )
-    pivots = materialise(chosen.filter("low <> high").select("bucket", F.explode("pivots").alias("pivot")))
+    chosen = inside.groupBy("bucket").agg(F.count("*").alias("comps"), F.max_by("pivots", F.struct("n", -F.col("comp"))).alias("pivots"))
+    pivots = materialise(chosen.filter("comps > 1").select("bucket", F.explode("pivots").alias("pivot")))
     pairs = live.join(pivots, "bucket").filter((F.col("comp") != F.col("pivot.comp")) & _fits(F.col("shingles"), F.col("pivot.shingles"), wanted))
     return pairs.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
 
