@@ -15,8 +15,9 @@ length, at every byte of every text, are decided, in these steps.
    that agree over LENGTH bytes are compared byte by byte, and the earliest of
    each run stays.
 4. Anchors with very many surroundings, such as the ends of a passage that a
-   large part of the corpus shares, are not gathered: their strings are grouped
-   one by one, by 128 bits of hash, which spreads them over all shards.
+   large part of the corpus shares, are not gathered in one shard: each of their
+   strings goes, with its bytes, to the shard of the whole string's hash. Equal strings
+   still meet, and step 3 decides them there as it does all others.
 5. The strings found are joined to intervals, per document.
 
 Copies within one batch of texts are settled before anything is shuffled, so a
@@ -45,17 +46,16 @@ SLICE = 1 << 19
 KEPT_POWERS = 1 << 21
 # Strings of different surroundings that are sorted at once.
 SORTED = 200_000
-# An anchor standing more often than this is handled string by string.
+# An anchor standing more often than this is dealt over the shards string by string.
 HOT = 2000
 _LAST = (1 << 63) - 1  # stands for a null doc_id: after all others
-_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
 _NEVER = np.uint64(0xFFFFFFFFFFFFFFFF)
 _POWERS: dict[int, list[np.ndarray]] = {}
 _CONTEXT = np.dtype([("doc", "<i8"), ("key", "<i8"), ("at", "<u4"), ("ahead", "<u2"), ("strings", "<u2"), ("size", "<u4")])
-_STRING = np.dtype([("doc", "<i8"), ("key", "<i8"), ("at", "<u4"), ("h1", "<u8"), ("h2", "<u8")])
-_SHARDED = pa.schema([("shard", pa.int32()), ("hot", pa.bool_()), ("records", pa.binary()), ("data", pa.binary())])
-_SHARDED_SQL = "shard int, hot boolean, records binary, data binary"
+_SHARDED = pa.schema([("shard", pa.int32()), ("records", pa.binary()), ("data", pa.binary())])
+_SHARDED_SQL = "shard int, records binary, data binary"
 _SPANS = pa.schema([("doc", pa.int64()), ("key", pa.int64()), ("spans", pa.binary())])
 
 
@@ -82,7 +82,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 class Prefixes:
     """Prefix polynomial hashes of a buffer: the hash of any part in constant time."""
 
-    def __init__(self, buffer: np.ndarray, base: int = _BASES[0]):
+    def __init__(self, buffer: np.ndarray, base: int = _BASE):
         power, self.inverse = _powers(base, len(buffer) + 1)
         self.sums = np.empty(len(buffer) + 1, _U)
         self.sums[0] = 0
@@ -213,7 +213,7 @@ def repeated_anchors(table: DataFrame, hot: int) -> DataFrame:
 
 
 def surroundings(joined: DataFrame, shards: int, length: int, gram: int) -> DataFrame:
-    """(shard, hot, records, data): what the shards need to decide the strings of repeated anchors.
+    """(shard, records, data): what the shards need to decide the strings of repeated anchors.
 
     ``joined``: (doc, key, text, places). Strings repeated within one batch are
     settled here, and only reported (a record without bytes).
@@ -265,33 +265,40 @@ def _send_part(part: list[tuple], seen: dict, shards: int, length: int, gram: in
             data.append(b"")
     records["size"] = sizes
     for shard, at in _split(np.arange(len(chosen)), shard_of[chosen]):
-        yield pa.record_batch([pa.array([shard], pa.int32()), [False], pa.array([records[at].tobytes()], pa.binary()), pa.array([b"".join([data[i] for i in at])], pa.binary())], schema=_SHARDED)
+        yield _sharded(shard, records[at], b"".join([data[i] for i in at]))
 
     chosen = np.flatnonzero(kind == 2)
     if len(chosen):
         counts = high[chosen] - low[chosen] + 1
         p = np.repeat(low[chosen] - np.append(0, np.cumsum(counts)[:-1]), counts) + np.arange(counts.sum())
         mine = np.repeat(owner[chosen], counts)
-        strings = np.empty(len(p), _STRING)
+        strings = np.empty(len(p), _CONTEXT)
         strings["doc"], strings["key"], strings["at"] = docs[mine], keys[mine], p - starts[mine]
-        strings["h1"] = _mixed(prefixes.of(p, p + length))
-        strings["h2"] = _mixed(Prefixes(buffer, _BASES[1]).of(p, p + length))
+        strings["ahead"], strings["strings"], strings["size"] = np.repeat(x[chosen], counts) - p, 1, length
+        whole = _mixed(prefixes.of(p, p + length))
         # The texts are in order, so the first of equal strings is the earliest here.
-        order = np.lexsort((np.arange(len(p)), strings["h2"], strings["h1"]))
-        strings = strings[order]
-        lead = np.flatnonzero(np.append(True, (strings["h1"][1:] != strings["h1"][:-1]) | (strings["h2"][1:] != strings["h2"][:-1])))
-        lead = np.repeat(lead, np.diff(np.append(lead, len(strings))))
+        order = np.argsort(whole, kind="stable")
+        strings, p, whole = strings[order], p[order], whole[order]
+        first = np.flatnonzero(np.append(True, whole[1:] != whole[:-1]))
+        lead = np.repeat(first, np.diff(np.append(first, len(p))))
         again = (strings["doc"] != strings["doc"][lead]) | (strings["at"] != strings["at"][lead])
-        known, strings = strings[again], strings[~again]
-        for shard, some in _split(strings, (strings["h1"] % _U(shards)).astype(np.int32)):
-            yield pa.record_batch([pa.array([shard], pa.int32()), [True], pa.array([some.tobytes()], pa.binary()), pa.array([b""], pa.binary())], schema=_SHARDED)
-        if len(known):
-            told = np.zeros(len(known), _CONTEXT)
-            for n in ("doc", "key", "at"):
-                told[n] = known[n]
-            told["strings"] = 1
-            for shard, some in _split(told, (told["key"] % shards).astype(np.int32)):
-                yield pa.record_batch([pa.array([shard], pa.int32()), [False], pa.array([some.tobytes()], pa.binary()), pa.array([b""], pa.binary())], schema=_SHARDED)
+        again[again] = _equal_bytes(buffer, p[lead[again]], p[again], length)
+        strings["size"][again] = 0
+        for shard, at in _split(np.arange(len(p)), (whole % _U(shards)).astype(np.int32)):
+            yield _sharded(shard, strings[at], buffer[p[at[~again[at]]][:, None] + np.arange(length)].tobytes())
+
+
+def _sharded(shard: int, records: np.ndarray, data: bytes) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([shard], pa.int32()), pa.array([records.tobytes()], pa.binary()), pa.array([data], pa.binary())], schema=_SHARDED)
+
+
+def _equal_bytes(buffer: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Whether the strings at ``a`` and ``b`` are the same, byte by byte."""
+    same, span = np.zeros(len(a), bool), np.arange(length)
+    for i in range(0, len(a), 1 << 12):
+        some = slice(i, i + (1 << 12))
+        same[some] = (buffer[a[some][:, None] + span] == buffer[b[some][:, None] + span]).all(1)
+    return same
 
 
 def common_extension(prefixes: Prefixes, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
@@ -376,10 +383,7 @@ def _sorted_repeats(buffer: np.ndarray, prefixes: Prefixes, r: np.ndarray, b: np
     same = np.zeros(len(order) - 1, bool)
     near = np.flatnonzero(group[order][1:] == group[order][:-1])
     near = near[common_extension(prefixes, start[order[near]], start[order[near + 1]], length) == length]
-    span = np.arange(length)
-    for i in range(0, len(near), 1 << 12):  # collisions: compare the bytes themselves
-        some = near[i : i + (1 << 12)]
-        same[some] = (buffer[start[order[some]][:, None] + span] == buffer[start[order[some + 1]][:, None] + span]).all(1)
+    same[near] = _equal_bytes(buffer, start[order[near]], start[order[near + 1]], length)  # collisions
     # The sort is stable over (doc, start): a run's first is its earliest.
     lead = np.flatnonzero(np.append(True, ~same))
     lead = np.repeat(lead, np.diff(np.append(lead, len(order))))
@@ -416,7 +420,9 @@ def _repeated_in_shard(records: np.ndarray, data: bytes, length: int, gram: int)
     order = np.lexsort((records["at"], records["doc"], size, records["ahead"], whole))
     s = records[order]
     same = (whole[order][1:] == whole[order][:-1]) & (s["ahead"][1:] == s["ahead"][:-1]) & (s["size"][1:] == s["size"][:-1])
-    for i in np.flatnonzero(same):  # verified by their bytes
+    single = np.flatnonzero(same & (s["size"][1:] == length))  # verified by their bytes
+    same[single] = _equal_bytes(buffer, begin[order[single]], begin[order[single + 1]], length)
+    for i in np.flatnonzero(same & (s["size"][1:] != length)):
         a, b, n = begin[order[i]], begin[order[i + 1]], size[order[i]]
         same[i] = data[a : a + n] == data[b : b + n]
     lead = np.flatnonzero(np.append(True, ~same))
@@ -442,30 +448,13 @@ def _repeated_in_shard(records: np.ndarray, data: bytes, length: int, gram: int)
     return tuple(np.concatenate(o) if o else np.zeros(0, np.int64) for o in out)
 
 
-def _repeated_hot(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((strings["at"], strings["doc"], strings["h2"], strings["h1"]))
-    s = strings[order]
-    new = np.append(True, (s["h1"][1:] != s["h1"][:-1]) | (s["h2"][1:] != s["h2"][:-1])) if len(s) else np.zeros(0, bool)
-    lead = np.flatnonzero(new)
-    lead = np.repeat(lead, np.diff(np.append(lead, len(s))))
-    again = (s["doc"][lead] < s["doc"]) | ((s["doc"][lead] == s["doc"]) & (s["at"][lead] < s["at"]))
-    return s["doc"][again], s["key"][again], s["at"][again].astype(np.int64)
-
-
 def found_spans(sent: DataFrame, length: int, gram: int) -> DataFrame:
     """(doc, key, spans): byte spans to remove, found by one shard, as pairs of 32-bit numbers."""
 
     def decide(shard: pa.Table) -> pa.Table:
-        hot = shard["hot"].to_numpy(zero_copy_only=False)
-        records, data = shard["records"].to_pylist(), shard["data"].to_pylist()
-        cold = [np.frombuffer(records[i], _CONTEXT) for i in np.flatnonzero(~hot)]
-        warm = [np.frombuffer(records[i], _STRING) for i in np.flatnonzero(hot)]
-        parts = []
-        if cold:
-            parts.append(_repeated_in_shard(np.concatenate(cold), b"".join(data[i] for i in np.flatnonzero(~hot)), length, gram))
-        if warm:
-            parts.append(_repeated_hot(np.concatenate(warm)))
-        doc, key, at = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        records = np.concatenate([np.frombuffer(r.as_buffer(), _CONTEXT) for r in shard["records"]])
+        data = b"".join(shard["data"].to_pylist())
+        doc, key, at = _repeated_in_shard(records, data, length, gram)
         if not len(doc):
             return _SPANS.empty_table()
         order = np.lexsort((at, key, doc))

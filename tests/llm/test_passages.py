@@ -54,6 +54,18 @@ def test_edges(spark):
     assert kept[8] == rows[8][1] and kept[9] == "" and "�" not in kept[6]
 
 
+def test_passage_in_most_texts(spark):
+    """A frequent passage with other words around it everywhere, and one id with several texts."""
+    picks = np.random.default_rng(8)
+    word = lambda n: "".join(chr(97 + c) for c in picks.integers(0, 26, n))
+    passage, tail = word(220), word(60)
+    rows = [(int(i), word(int(picks.integers(0, 40))) + passage + (tail if i % 3 else "") + word(30)) for i in picks.permutation(60)]
+    rows += [(7, word(5) + passage), (7, word(5) + passage), (30, rows[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for hot in (2000, 20, 0):
+        assert found(remove_repeats(docs, hot=hot)) == brute(rows)
+
+
 def test_suffix_sort():
     picks = np.random.default_rng(4)
     buffer = picks.integers(97, 99, 600).astype(np.uint8)
