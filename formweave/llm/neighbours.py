@@ -7,6 +7,11 @@ query to its several most probable ones; how many, is the smallest number that
 reaches the wanted recall for sample vectors held back from fitting. A query whose
 parts hold too few rows visits further ones. Within the routed parts the search is exact.
 
+The number of parts follows the square root of the number of vectors. One network tells
+up to MAX_PARTS parts; beyond that each of these is cut again, on a bounded sample of its own
+vectors, by a network of its own, fitted on the executors. Both networks' probabilities
+multiplied order the parts for a query.
+
 All vectors are indexed. A part is dealt into blocks of bounded size by the hash
 of the id, so a part that holds most of the vectors, or most of their copies, is many
 blocks. A task multiplies one block with a block of queries and keeps each
@@ -16,12 +21,13 @@ query's best; only those are shuffled again.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formweave.llm.common import batches
@@ -29,10 +35,15 @@ from formweave.session import materialise
 
 # The network is fitted on at most this many vectors.
 SAMPLE_ROWS = 16_384
+# Parts that one network tells, and the vectors on which each network of the second level is fitted.
 MAX_PARTS = 256
+BELOW_ROWS = 4096
+# Probabilities of parts that are held at once.
+HELD = 4 << 20
 BLOCK, QUERY_BLOCK = 8192, 512
 _ROUTED = pa.schema([("part", pa.int32()), ("id", pa.int64()), ("vector", pa.binary())])
 _PACKED = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("ids", pa.binary()), ("vectors", pa.binary())])
+_FITTED = pa.schema([("part", pa.int32()), ("network", pa.binary())])
 _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
@@ -117,6 +128,38 @@ class Router:
     def best(self, rows: np.ndarray, visits: int) -> np.ndarray:
         return np.argsort(-self.logits(rows), axis=1, kind="stable")[:, :visits]
 
+    def home(self, rows: np.ndarray) -> np.ndarray:
+        return self.logits(rows).argmax(1)
+
+
+def _log_shares(logits: np.ndarray) -> np.ndarray:
+    z = logits - logits.max(1, keepdims=True)
+    return z - np.log(np.exp(z).sum(1, keepdims=True))
+
+
+@dataclass
+class Tree(Router):
+    """A router whose parts are cut again, each by a router of its own; parts are numbered one part after another."""
+
+    below: list[Router] = field(default_factory=list)
+
+    @property
+    def parts(self) -> int:
+        return sum(r.parts for r in self.below)
+
+    def home(self, rows: np.ndarray) -> np.ndarray:
+        """The likeliest part of the likeliest part of the first level."""
+        first = np.cumsum([0, *(r.parts for r in self.below)])
+        top = super().logits(rows).argmax(1)
+        out = np.empty(len(rows), np.int64)
+        for p in np.unique(top):
+            out[top == p] = first[p] + self.below[p].home(rows[top == p])
+        return out
+
+    def logits(self, rows: np.ndarray) -> np.ndarray:
+        top = _log_shares(super().logits(rows))
+        return np.hstack([top[:, p : p + 1] + _log_shares(r.logits(rows)) for p, r in enumerate(self.below)])
+
 
 def fit_router(rows: np.ndarray, part: np.ndarray, parts: int, epochs: int = 40, width: int = 128) -> Router:
     random = np.random.default_rng(9)
@@ -145,27 +188,67 @@ def fit_router(rows: np.ndarray, part: np.ndarray, parts: int, epochs: int = 40,
     return Router(*values, scale)
 
 
+def _undivided(size: int) -> Router:
+    return Router(np.zeros((size, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1.0)
+
+
+def _held_back(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A quarter of the sample, by which visits are measured, and the rest, on which is fitted."""
+    held, fitted = np.split(np.random.default_rng(1).permutation(len(rows)), [len(rows) // 4])
+    return held, fitted
+
+
+def visits_for(router: Router, rows: np.ndarray, k: int, recall: float) -> int:
+    """How many parts a query must visit to reach the recall for sample vectors held back from fitting."""
+    home = router.home(rows)
+    asked = _held_back(rows)[0][:1024]
+    s = rows[asked] @ rows.T
+    s[np.arange(len(asked)), asked] = -np.inf
+    nearest = np.argpartition(-s, k - 1, axis=1)[:, :k]
+    order = np.argsort(router.best(rows[asked], router.parts), axis=1)  # the visit at which each part is reached
+    visit = np.take_along_axis(order, home[nearest], 1)
+    return next(v for v in range(1, router.parts + 1) if (visit < v).mean() >= recall or v == router.parts)
+
+
 def learn_partitions(rows: np.ndarray, parts: int, k: int, recall: float) -> Router:
     """Fit a router on three quarters of the sample; its visits reach the recall for the rest."""
-    mixed = np.random.default_rng(1).permutation(len(rows))
-    held, fitted = np.split(mixed, [len(rows) // 4])
+    fitted = _held_back(rows)[1]
     parts = max(1, min(parts, len(fitted) // 16))
     if parts == 1 or len(rows) <= 4 * k:
-        size = rows.shape[1]
-        return Router(np.zeros((size, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1.0)
+        return _undivided(rows.shape[1])
     part = balanced_parts(rows[fitted], neighbour_graph(rows[fitted]), parts)
     router = fit_router(rows[fitted], part, parts)
-    home = router.best(rows, 1)[:, 0]
-    asked = held[:1024]
-    s = rows[asked] @ rows.T
-    s[np.arange(len(asked)), asked] = -np.inf
-    nearest = np.argpartition(-s, k - 1, axis=1)[:, :k]
-    order = np.argsort(router.best(rows[asked], parts), axis=1)  # the visit at which each part is reached
-    visit = np.take_along_axis(order, home[nearest], 1)
-    router.visits = next(v for v in range(1, parts + 1) if (visit < v).mean() >= recall or v == parts)
+    router.visits = visits_for(router, rows, k, recall)
     return router
 
 
+def learn_below(vectors: DataFrame, router: Router, size: int, split: int, total: int, asked: np.ndarray) -> Tree:
+    """Cut every part of ``router`` in about ``split``, each on at most BELOW_ROWS of its vectors.
+
+    The vectors are taken by a hash of their ids, equal ones once; a part that still has more
+    than twice what is fitted on is thinned by a hash, so no group grows with the table.
+    Rows of ``asked``, by which visits are measured, are not among them.
+    """
+    unseen = {r.tobytes() for r in asked}
+
+    def cut(rows: pa.Table) -> pa.Table:
+        vectors = np.frombuffer(b"".join(sorted({v for v in rows["vector"].to_pylist()} - unseen))).reshape(-1, size)
+        vectors = vectors[np.random.default_rng(3).permutation(len(vectors))[:BELOW_ROWS]]
+        parts = min(split, len(vectors) // 16)
+        network = fit_router(vectors, balanced_parts(vectors, neighbour_graph(vectors), parts), parts) if parts > 1 else _undivided(size)
+        return pa.table([pa.array([rows["part"][0].as_py()], pa.int32()), pa.array([pickle.dumps(network)], pa.binary())], schema=_FITTED)
+
+    every = max(1, total // (2 * BELOW_ROWS * router.parts))
+    taken = vectors.filter(F.pmod(F.xxhash64("vec_id", F.lit("below")), F.lit(every)) == 0)
+    different = materialise(_homes(taken, router, size).select("part", "vector").distinct())
+    thinner = _blocks({r.part: r["count"] for r in different.groupBy("part").count().collect()} or {0: 1}, 2 * BELOW_ROWS)
+    thinned = different.filter(F.pmod(F.xxhash64("vector", F.lit("thin")), thinner) == 0)
+    fitted = thinned.groupBy("part").applyInArrow(cut, "part int, network binary")
+    networks = {r.part: pickle.loads(r.network) for r in fitted.collect()}  # one for each part of the first level
+    below = [networks.get(p) or _undivided(size) for p in range(router.parts)]
+    return Tree(router.hidden, router.hidden_shift, router.out, router.out_shift, router.scale, below=below)
+
+
 def _homes(vectors: DataFrame, router: Router, size: int) -> DataFrame:
     """Every usable vector with its most probable part."""
 
@@ -173,7 +256,7 @@ def _homes(vectors: DataFrame, router: Router, size: int) -> DataFrame:
         for b in batches(stream):
             ids, rows = usable(b.column(0).cast(pa.int64()), b.column(1), size)
             if len(ids):
-                part = router.best(rows, 1)[:, 0].astype(np.int32)
+                part = router.home(rows).astype(np.int32)
                 yield pa.record_batch([pa.array(part), pa.array(ids), pa.array([r.tobytes() for r in rows], pa.binary())], schema=_ROUTED)
 
     return vectors.mapInArrow(route, "part int, id long, vector binary")
@@ -194,17 +277,24 @@ def _visits(homes: DataFrame, router: Router, size: int, held: np.ndarray, least
 
     def route(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(stream):
-            data = b.column(2).to_pylist()
-            row, part = parts_to_visit(router, np.frombuffer(b"".join(data)).reshape(-1, size), held, least)
-            ids = b.column(1).to_numpy()[row]
-            yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(ids), pa.array([data[i] for i in row], pa.binary())], schema=_ROUTED)
+            step = max(1, HELD // router.parts)
+            for some in (b.slice(a, step) for a in range(0, b.num_rows, step)):
+                data = some.column(2).to_pylist()
+                row, part = parts_to_visit(router, np.frombuffer(b"".join(data)).reshape(-1, size), held, least)
+                ids = some.column(1).to_numpy()[row]
+                yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(ids), pa.array([data[i] for i in row], pa.binary())], schema=_ROUTED)
 
     return homes.mapInArrow(route, "part int, id long, vector binary")
 
 
+def _blocks(counts: dict[int, int], block: int) -> Column:
+    """The number of blocks of a row's part."""
+    sizes = [math.ceil(counts.get(p, 0) / block) for p in range(max(counts) + 1)]
+    return F.element_at(F.lit(sizes), F.col("part") + 1)
+
+
 def _packed(routed: DataFrame, block: int, counts: dict[int, int]) -> DataFrame:
     """Blocks of about ``block`` rows of the same part: (part, block, ids, vectors)."""
-    blocks = F.create_map(*[F.lit(x) for p, n in counts.items() for x in (p, math.ceil(n / block))])
 
     def pack(rows: pa.Table) -> pa.Table:
         ids = rows["id"].to_numpy().astype(np.int64)
@@ -213,7 +303,7 @@ def _packed(routed: DataFrame, block: int, counts: dict[int, int]) -> DataFrame:
         key = [[rows[c][0].as_py()] for c in ("part", "block")]
         return pa.table([*key, [ids[order].tobytes()], [b"".join(vectors[i] for i in order)]], schema=_PACKED)
 
-    numbered = routed.select("part", F.pmod(F.xxhash64("id"), blocks[F.col("part")]).cast("int").alias("block"), "id", "vector")
+    numbered = routed.select("part", F.pmod(F.xxhash64("id"), _blocks(counts, block)).cast("int").alias("block"), "id", "vector")
     return numbered.groupBy("part", "block").applyInArrow(pack, "part int, block int, ids binary, vectors binary")
 
 
@@ -236,7 +326,13 @@ def best_of_block(queries: np.ndarray, asked: np.ndarray, ids: np.ndarray, rows:
 
 
 def nearest(
-    vectors: DataFrame, k: int = 20, step: int = 20, recall: float = 0.95, sample: int = SAMPLE_ROWS, parts: int | None = None
+    vectors: DataFrame,
+    k: int = 20,
+    step: int = 20,
+    recall: float = 0.95,
+    sample: int = SAMPLE_ROWS,
+    parts: int | None = None,
+    most: int = MAX_PARTS,
 ) -> DataFrame:
     """The k nearest rows by inner product of every row whose id is divisible by ``step``.
 
@@ -246,17 +342,20 @@ def nearest(
     with equal vectors are, each. Vectors null, zero, with null or non-finite components, of
     another length than most, or without an id take no part. An empty
     table gives an empty table; other columns are not looked at. ``parts`` fixes the
-    number of parts, which otherwise follows the number of vectors.
+    number of parts, which otherwise follows the number of vectors; above ``most``, parts are cut again.
     """
     given = vectors.select("vec_id", "embedding")
     sizes = given.groupBy(F.size("embedding").alias("size")).count().filter("size > 0").orderBy(F.desc("count"), "size").first()
     size = sizes["size"] if sizes else 0
     total = sizes["count"] if sizes else 0
-    parts = parts or min(MAX_PARTS, 1 << max(0, round(math.log2(max(1.0, math.sqrt(total) / 14)))))
+    parts = parts or 1 << max(0, round(math.log2(max(1.0, math.sqrt(total) / 14))))
     taken = given.orderBy(F.xxhash64("vec_id"), "vec_id").limit(min(sample, max(4096, 64 * parts))).toArrow().combine_chunks()
     column = lambda n: taken[n].combine_chunks() if taken.num_rows else pa.array([], taken.schema.field(n).type)
     _, rows = usable(column("vec_id").cast(pa.int64()), column("embedding"), size)
-    router = learn_partitions(rows, parts, k, recall)
+    router = learn_partitions(rows, min(parts, most), k, recall)
+    if router.parts > 1 and parts > most:
+        router = learn_below(given, router, size, math.ceil(parts / most), total, rows[_held_back(rows)[0][:1024]])
+        router.visits = visits_for(router, rows, k, recall)
 
     homes = materialise(_homes(given, router, size))
     count = lambda d: {r.part: r["count"] for r in d.groupBy("part").count().collect()} or {0: 1}  # noqa: E731  a row for each part
@@ -268,8 +367,7 @@ def nearest(
     sizes = np.array([held.get(p, 0) for p in range(router.parts)])
     asked = materialise(_visits(queries, router, size, sizes, k + own))
     asked = _packed(asked, QUERY_BLOCK, count(asked)).select("part", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    blocks = F.create_map(*[F.lit(x) for p, n in held.items() for x in (p, math.ceil(n / BLOCK))])
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), blocks[F.col("part")] - 1)))
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), _blocks(held, BLOCK) - 1)))
 
     def search(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(stream):

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from formweave.llm.neighbours import Router, balanced_parts, learn_partitions, nearest, neighbour_graph, parts_to_visit
+from formweave.llm.neighbours import Router, balanced_parts, learn_below, learn_partitions, nearest, neighbour_graph, parts_to_visit, visits_for
 
 
 def brute(ids, rows, k, step):
@@ -54,8 +54,8 @@ def test_parts_are_balanced():
     assert np.bincount(part).max() <= 110
 
 
-def recall(table, ids, rows, parts):
-    want, got = brute(ids, rows, 20, 20), found(nearest(table, parts=parts))
+def recall(table, ids, rows, parts, most=256):
+    want, got = brute(ids, rows, 20, 20), found(nearest(table, parts=parts, most=most))
     assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
     # Equal scores are equally near: a copy may stand for another.
     return sum(sum(s >= want[q][-1][1] for _, s in got[q]) for q in want) / (20 * len(want))
@@ -74,6 +74,21 @@ def test_recall_where_few_parts_are_visited(spark):
         assert learn_partitions(rows[::2], 32, 20, 0.95).visits < 8
         table = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, rows)], "vec_id long, embedding array<double>")
         assert recall(table, ids, rows, 32) >= 0.9
+        assert recall(table, ids, rows, 32, most=8) >= 0.9
+
+
+def test_parts_cut_again(spark):
+    """Two levels of networks: as many parts as asked for, most of them never looked at."""
+    random = np.random.default_rng(6)
+    rows = random.normal(size=(60, 16))[random.integers(0, 60, 5000)] + 0.3 * random.normal(size=(5000, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    top = learn_partitions(rows[:3000], 6, 20, 0.95)
+    tree = learn_below(table, top, 16, 5, 5000, rows[:100])
+    assert tree.parts == 30 and visits_for(tree, rows[:3000], 20, 0.95) < 10
+    home = tree.home(rows)
+    assert np.array_equal(np.searchsorted(np.arange(0, 30, 5), home, side="right") - 1, top.home(rows))
+    assert np.bincount(home, minlength=30).max() < 2 * 5000 / 6
+    assert np.allclose(np.exp(tree.logits(rows[:50])).sum(1), 1)
 
 
 def test_parts_until_enough_are_held():
