@@ -90,7 +90,7 @@ class Prefixes:
             terms = buffer[a : a + SLICE].astype(_U)
             terms += _U(1)
             terms *= power[a : a + SLICE][: len(terms)]
-            terms[0] += self.sums[a]
+            terms[:1] += self.sums[a : a + 1]
             np.cumsum(terms, out=self.sums[a + 1 : a + 1 + len(terms)])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -365,6 +365,18 @@ def sort_suffixes(buffer: np.ndarray, prefixes: Prefixes, starts: np.ndarray, gr
     return order
 
 
+def _by_first_bytes(buffer: np.ndarray, start: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The groups split by the first eight bytes of their strings, numbered in that order, and their sizes."""
+    lead = np.zeros(len(start), _U)
+    if length >= 8 and len(start):
+        lead = np.ndarray(len(buffer) - 7, ">u8", buffer.data, strides=(1,))[start].astype(_U)
+    order = np.lexsort((lead, group))
+    new = (group[order][1:] != group[order][:-1]) | (lead[order][1:] != lead[order][:-1])
+    split = np.empty(len(order), np.int64)
+    split[order] = np.cumsum(np.append(False, new)[: len(order)])
+    return split, np.bincount(split)
+
+
 def _sorted_repeats(buffer: np.ndarray, prefixes: Prefixes, r: np.ndarray, b: np.ndarray, anchor: np.ndarray, length: int) -> tuple:
     """Records and starts of the strings that also start earlier, by sorting all strings of some anchors."""
     n = r["strings"].astype(np.int64)
@@ -372,8 +384,8 @@ def _sorted_repeats(buffer: np.ndarray, prefixes: Prefixes, r: np.ndarray, b: np
     start, w = np.repeat(b, n) + inner, np.repeat(r, n)
     at = w["at"] + inner
     group = np.repeat(anchor, n) * (length + 1) + (w["ahead"] - inner)
-    _, back, counts = np.unique(group, return_inverse=True, return_counts=True)
-    several = counts[back] > 1
+    group, counts = _by_first_bytes(buffer, start, group, length)
+    several = counts[group] > 1
     start, w, at, group = start[several], w[several], at[several], group[several]
     early = np.lexsort((at, w["doc"]))
     start, w, at, group = start[early], w[early], at[early], group[early]
