@@ -1,4 +1,6 @@
+import io
 import os
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from formweave.sinks.tables import (
     write_slices,
     write_table,
 )
+from formweave.sources import workbook
 from formweave.sources.docx import block_rows, decode_docx
 from formweave.sources.files import convert_folder, decoded, read_folder, read_markdown, read_texts, scan_files
 from formweave.sources.records import read_objects, read_range, read_record_lists, read_template, read_text_objects
@@ -346,3 +349,38 @@ def test_table_sinks(spark, value, tmp_path):
     write_slices(slice_documents(docs, F.col("path"), F.array(F.lit("s1"), F.lit("s2")), 10), str(tmp_path / "slices"))
     row = spark.read.json(str(tmp_path / "slices")).first()
     assert row.output == "d_Sliced.json" and [(s.id, s.text) for s in row.slices] == [(1, "s1"), (2, "s2")]
+
+
+def _rezipped(content: bytes, change=lambda name, data: data, **options) -> bytes:
+    """The parts of a book in an archive written by the standard library."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(content)) as old, zipfile.ZipFile(out, "w", **options) as new:
+        for name in old.namelist():
+            new.writestr(name, change(name, old.read(name)))
+    return out.getvalue()
+
+
+def _book_rows(content: bytes) -> list:
+    book = workbook._Book(content)
+    return [(name, *row) for name, part in book.sheets for row in book.rows(part)]
+
+
+def test_ordinary_books_need_no_reader_of_parts(monkeypatch):
+    content = xlsx(BOOK)
+    expected = _book_rows(b"in front" + content)  # found by the library's reader
+    monkeypatch.setattr(zipfile.ZipFile, "open", lambda *a, **k: pytest.fail("a reader was opened"))
+    assert _book_rows(content) == expected and len(expected) == 7
+
+
+def test_other_archives_give_the_same_rows():
+    content = xlsx(BOOK)
+    for options in ({"compression": zipfile.ZIP_STORED}, {"compression": zipfile.ZIP_BZIP2}, {"compression": zipfile.ZIP_DEFLATED}):
+        assert _book_rows(_rezipped(content, **options)) == _book_rows(content)
+    spaced = _rezipped(content, lambda name, data: data + b" " * (workbook._SMALL_PART if "sheet" in name else 0), compression=zipfile.ZIP_DEFLATED)
+    assert _book_rows(spaced) == _book_rows(content)
+
+
+def test_rows_before_a_break_are_kept(spark, tmp_path):
+    broken = _rezipped(xlsx({"s": [["h"], [1], [2]]}), lambda name, data: data.replace(b'<row r="3">', b'<row r="3"><') if "sheet1" in name else data)
+    rows = read_workbooks(spark, put(tmp_path, {"b.xlsx": broken})).collect()
+    assert sorted((r.error is None, r.cells) for r in rows) == [(False, None), (True, ["1"])]
