@@ -2,6 +2,7 @@ import io
 import os
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from formweave.sinks.tables import (
     write_table,
 )
 from formweave.sources import workbook
-from formweave.sources.docx import block_rows, decode_docx
+from formweave.sources.docx import block_rows, decode_batches, decode_docx
 from formweave.sources.files import convert_folder, decoded, read_folder, read_markdown, read_texts, scan_files
 from formweave.sources.records import read_objects, read_range, read_record_lists, read_template, read_text_objects
 from formweave.sources.workbook import (
@@ -384,3 +385,13 @@ def test_rows_before_a_break_are_kept(spark, tmp_path):
     broken = _rezipped(xlsx({"s": [["h"], [1], [2]]}), lambda name, data: data.replace(b'<row r="3">', b'<row r="3"><') if "sheet1" in name else data)
     rows = read_workbooks(spark, put(tmp_path, {"b.xlsx": broken})).collect()
     assert sorted((r.error is None, r.cells) for r in rows) == [(False, None), (True, ["1"])]
+
+
+def test_decoded_documents_leave_in_small_batches():
+    files = [docx(["word " * 50] * 200 + [str(i)]) for i in range(300)] + [b"x"]
+    paths = [str(i) for i in range(len(files))]
+    out = list(decode_batches([pa.record_batch([pa.array(paths), pa.array(files, pa.binary())], names=["path", "content"])]))
+    assert len(out) > 5 and max(b.nbytes for b in out) < 4 << 20
+    rows = [r for b in out for r in b.to_pylist()]
+    assert [r["path"] for r in rows] == paths and [r["blocks"][-1]["text"] for r in rows[:-1]] == paths[:-1]
+    assert rows[-1]["blocks"] is None and rows[-1]["error"].startswith("BadZipFile")
