@@ -514,3 +514,11 @@ def test_stats(spark):
     marked = status.mark_existing(spark.range(3), spark.range(1, 2), ["id"])
     assert rows(marked, "id") == [(0, "done"), (1, "skipped"), (2, "done")]
     assert rows(status.not_existing(spark.range(3), spark.range(1, 2), ["id"]), "id") == [(0,), (2,)]
+
+
+def test_first_hits_reads_found_hits_once_written(spark):
+    hits = spark.range(40).selectExpr("id % 2 query_id", "id node_id", "cast(id as double) score")
+    shown, rest = fusion.first_hits(hits, 3)
+    assert shown.inputFiles() and sorted(shown.inputFiles()) == sorted(rest.inputFiles())
+    assert sorted((r.query_id, r.node_id) for r in shown.collect()) == [(0, 34), (0, 36), (0, 38), (1, 35), (1, 37), (1, 39)]
+    assert {(r.query_id, r.n_more) for r in rest.collect()} == {(0, 17), (1, 17)}
