@@ -522,3 +522,14 @@ def test_first_hits_reads_found_hits_once_written(spark):
     assert shown.inputFiles() and sorted(shown.inputFiles()) == sorted(rest.inputFiles())
     assert sorted((r.query_id, r.node_id) for r in shown.collect()) == [(0, 34), (0, 36), (0, 38), (1, 35), (1, 37), (1, 39)]
     assert {(r.query_id, r.n_more) for r in rest.collect()} == {(0, 17), (1, 17)}
+
+
+def test_kept_postings_are_sorted_in_bounded_parts(spark, tmp_path, monkeypatch):
+    nodes = spark.range(4000).selectExpr("id node_id", "concat_ws(' ', transform(sequence(1, 40), i -> cast(hash(id, i) as string))) text").coalesce(1)
+    asked = nodes.filter("node_id % 500 = 0").selectExpr("node_id query_id", "text query")
+    whole = bm25.build_index(nodes, path=str(tmp_path / "whole"))
+    monkeypatch.setattr(bm25, "SORT_BYTES", 200_000)
+    parts = bm25.build_index(nodes, path=str(tmp_path / "parts"))
+    assert len(whole.postings.inputFiles()) == 1 and len(parts.postings.inputFiles()) > 3
+    found = [{(r.query_id, r.node_id, r.score) for r in bm25.best_matches(i, asked).collect()} for i in (whole, parts)]
+    assert found[0] == found[1] and len(found[0]) >= 8
