@@ -1,10 +1,12 @@
 """Quality and toxicity: held-out accuracy, and odd inputs."""
 
+import zlib
+
 import numpy as np
 import pytest
 
 from formweave.llm.quality import above_quantile, fit_ranker, measures, score_quality
-from formweave.llm.toxicity import Model, _convolved, best_cut, calibrate, fit, score_texts, score_toxicity, scores, train, word_rows, _Hashes
+from formweave.llm.toxicity import Model, _convolved, best_cut, calibrate, fit, score_texts, score_toxicity, scores, train, word_rows, _Hashes, _unpacked
 
 DATA = "/root/testdata/sf0.1"
 
@@ -112,3 +114,16 @@ def test_convolution_and_training():
         width = len(filters)
         want = [sum(words[i + j] @ filters[j] for j in range(width)) + shift for i in range(7 - width + 1)]
         assert np.allclose(got[: 7 - width + 1], want, atol=1e-5)
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """A word found in one toxic text alone, among more rows than a task takes, moves the model."""
+    rows = [(i, f"plain words {i % 7} nice", "en", 0) for i in range(400)]
+    rows += [(1000 + i, f"awful{i} words", "en", 1) for i in range(60)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    model, _ = train(given.select("doc_id", "text", "lang"), given.select("doc_id", "toxic"), sample=10)
+    used = [i for i in range(60) if zlib.crc32(b"%d" % (1000 + i)) % 3 != 1 and zlib.crc32(b"back %d" % (1000 + i)) % 5]
+    whole = np.array([_unpacked(word_rows(f"awful{i}", _Hashes()))[0, 0] for i in range(60)])
+    assert len(used) > 20 and (model.table[whole[used], 0] > 0.05).mean() > 0.95
+    score = score_texts(given, model).toPandas().set_index("doc_id")["score"]
+    assert score[score.index >= 1000].min() > score[score.index < 1000].max()
