@@ -21,7 +21,7 @@ from formweave.sinks.tables import (
     write_slices,
     write_table,
 )
-from formweave.sources import workbook
+from formweave.sources import files, workbook
 from formweave.sources.docx import block_rows, decode_batches, decode_docx
 from formweave.sources.files import convert_folder, decoded, read_folder, read_markdown, read_texts, scan_files
 from formweave.sources.records import read_objects, read_range, read_record_lists, read_template, read_text_objects
@@ -395,3 +395,12 @@ def test_decoded_documents_leave_in_small_batches():
     rows = [r for b in out for r in b.to_pylist()]
     assert [r["path"] for r in rows] == paths and [r["blocks"][-1]["text"] for r in rows[:-1]] == paths[:-1]
     assert rows[-1]["blocks"] is None and rows[-1]["error"].startswith("BadZipFile")
+
+
+def test_a_mixed_folder_is_listed_once(spark, tmp_path, monkeypatch):
+    folder = put(tmp_path, {"a.md": "one", "b/c.TXT": "two", "b/d.DOCX": docx(["three"]), "e.pdf": "no"})
+    scans, scan = [], files.scan_files
+    monkeypatch.setattr(files, "scan_files", lambda *a, **k: scans.append(a) or scan(*a, **k))
+    nodes = read_folder(spark, folder, recursive=True)
+    assert {os.path.basename(r.node_id): r.text for r in nodes.collect()} == {"a.md": "one", "c.TXT": "two", "d.DOCX": "three"}
+    assert len(scans) == 1
