@@ -33,7 +33,9 @@ from formweave.session import materialise, shared_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WINDOW, UNIT, DEPTH, END_ID = 2048, 8, 3, 1
-MEMO_PIECES = 500_000
+MEMO_PIECES = 800_000
+NEW_PIECES = 4_096
+GROUP_LENGTH = 1 << 20
 _PIECES = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -67,17 +69,35 @@ class Tokenizer:
         self.memo: dict[str, bytes] = {}
 
     def _direct(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch(texts, add_special_tokens=False)
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)  # without places in the text
         return [array("I", e.ids).tobytes() for e in found]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _learn(self, new: list[str]) -> None:
+        # What the library returns is many times larger than the ids: few pieces at once.
+        for a in range(0, len(new), NEW_PIECES):
+            some = new[a : a + NEW_PIECES]
+            self.memo.update(zip(some, self._direct(some)))
+
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text; the pieces of some texts are held at a time."""
+        group, held = [], 0
+        for text in texts:
+            group.append(text)
+            held += len(text)
+            if held >= GROUP_LENGTH:
+                yield from self._encode(group)
+                group, held = [], 0
+        if group:
+            yield from self._encode(group)
+
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
         split = [None if any(s in t for s in self.special) else self.pieces(t) for t in texts]
         if len(self.memo) > MEMO_PIECES:
             self.memo.clear()
-        new = list(set().union(*[p for p in split if p is not None]).difference(self.memo))
-        self.memo.update(zip(new, self._direct(new)))
+        self._learn(list(set().union(*[p for p in split if p is not None]).difference(self.memo)))
         get = self.memo.__getitem__
-        return [self._direct([t])[0] if p is None else b"".join(map(get, p)) for t, p in zip(texts, split)]
+        for p, t in zip(split, texts):
+            yield self._direct([t])[0] if p is None else b"".join(map(get, p))
 
 
 @lru_cache(maxsize=2)
@@ -97,7 +117,7 @@ def cut_pieces(docs: DataFrame, path: str, window: int, unit: int, end_id: int)
         seen: dict[int, int] = {}
         for b in batches(stream):
             out: list[list] = [[] for _ in _PIECES]
-            for doc, ids in zip(b.column(0).to_pylist(), tool.encode(b.column(1).to_pylist())):
+            for doc, ids in zip(b.column(0).to_pylist(), tool.encode(x.as_py() for x in b.column(1))):
                 ids += end
                 total = len(ids) // 4
                 for start in range(0, total, window):

@@ -60,3 +60,15 @@ def test_solver_and_plan():
         for c in combination:
             used[c] += repeats
     assert used[5] == 10 and used[3] >= 9 and used[8] == 4
+
+
+def test_tokenizer_holds_few_new_pieces_at_once(monkeypatch):
+    from formweave.llm import packing
+
+    tool, sizes = packing.Tokenizer(packing.VOCABULARY), []
+    texts = [" ".join(f"w{i}x{j}" for j in range(3000)) for i in range(6)] + ["", "é w0x1"]
+    expected = tool._direct(texts)
+    direct = tool._direct
+    monkeypatch.setattr(tool, "_direct", lambda some: sizes.append(len(some)) or direct(some))
+    assert list(tool.encode(texts)) == expected
+    assert max(sizes) <= packing.NEW_PIECES < sum(sizes)
