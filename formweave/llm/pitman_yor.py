@@ -81,16 +81,20 @@ def _chunk(chunk: int, docs: list[tuple], vocabulary: _Local, tokens: list[np.nd
     """One row for each shard with the chunk's different pairs, and one with its texts as numbers of those."""
     names = list(vocabulary)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, names), np.uint64, len(names))
-    contexts = np.fromiter(map(context_of, names), np.int64, len(names))
+    contexts = np.fromiter(map(context_of, names), np.uint16, len(names))
     shard = (hashes % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")  # words by shard
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    word = np.concatenate(tokens)
-    before = np.concatenate([np.append(0, contexts[t[:-1]]) for t in tokens])
     lengths = np.array([len(t) for t in tokens])
+    # One long array at a time: a chunk's are most of a worker's memory.
+    keys = place[np.concatenate(tokens)]
+    keys *= CONTEXTS
+    keys += np.concatenate([np.append(np.uint16(0), contexts[t[:-1]]) for t in tokens])
     train = np.repeat(np.array([not d[1] for d in docs]), lengths)
-    pairs, inverse = np.unique(place[word] * CONTEXTS + before, return_inverse=True)
+    pairs, inverse = np.unique(keys, return_inverse=True)
+    inverse = inverse.astype(np.uint32)
+    del keys
     counts = np.bincount(inverse[train], minlength=len(pairs))
     of_word = pairs // CONTEXTS
     cuts = np.searchsorted(shard[order], np.arange(shards + 1))
@@ -106,7 +110,7 @@ def _chunk(chunk: int, docs: list[tuple], vocabulary: _Local, tokens: list[np.nd
             data = (pairs[c:d] % CONTEXTS).astype("<u2").tobytes() + small.tobytes() + large.tobytes()
             yield pa.record_batch([[chunk], pa.array([s], pa.int32()), pa.array([words.tobytes()], pa.binary()), pa.array([_packed(data)], pa.binary())], schema=_SENT)
     held = np.array([(0 if i is None else i, i is None, h, n) for (i, h), n in zip(docs, lengths)], _DOC)
-    yield pa.record_batch([[chunk], pa.array([-1], pa.int32()), pa.array([held.tobytes()], pa.binary()), pa.array([_packed(inverse.astype("<u4"))], pa.binary())], schema=_SENT)
+    yield pa.record_batch([[chunk], pa.array([-1], pa.int32()), pa.array([held.tobytes()], pa.binary()), pa.array([_packed(inverse.astype("<u4", copy=False))], pa.binary())], schema=_SENT)
 
 
 def count_chunks(docs: DataFrame, shards: int) -> DataFrame:
@@ -120,7 +124,7 @@ def count_chunks(docs: DataFrame, shards: int) -> DataFrame:
             for doc, held, text in zip(*(b.column(i).to_pylist() for i in range(3))):
                 words = words_of(text)
                 ids.append((doc, held))
-                tokens.append(np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)))
+                tokens.append(np.fromiter(map(vocabulary.__getitem__, words), np.uint32, len(words)))
                 total += len(words)
                 if total >= CHUNK_TOKENS:
                     yield from _chunk(base + made, ids, vocabulary, tokens, shards)
