@@ -404,3 +404,18 @@ def test_a_mixed_folder_is_listed_once(spark, tmp_path, monkeypatch):
     nodes = read_folder(spark, folder, recursive=True)
     assert {os.path.basename(r.node_id): r.text for r in nodes.collect()} == {"a.md": "one", "c.TXT": "two", "d.DOCX": "three"}
     assert len(scans) == 1
+
+
+def test_rows_of_one_id_share_a_file(spark, tmp_path, monkeypatch):
+    from formweave.queries import tables
+
+    rows = [(i % 40, f"line {i // 40}") for i in range(80)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(0, "line")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    made = []
+    keep = tables.kept_path
+    monkeypatch.setattr(tables, "kept_path", lambda s, kind: made.append(keep(s, kind)) or made[-1])
+    tables.folder_search(spark, str(tmp_path))
+    parts = [f for d, _, names in os.walk(made[0]) for f in names if f.endswith(".txt")]
+    tasks = {f.split("-")[1] for f in parts}
+    assert len(parts) == 40 and len(tasks) > 1
