@@ -4,9 +4,12 @@ import zlib
 
 import numpy as np
 import pytest
+import zstandard
 
+from formweave.llm import toxicity
 from formweave.llm.quality import above_quantile, fit_ranker, measures, score_quality
 from formweave.llm.toxicity import Model, _convolved, best_cut, calibrate, fit, score_texts, score_toxicity, scores, train, word_rows, _Hashes, _unpacked
+from formweave.session import materialise
 
 DATA = "/root/testdata/sf0.1"
 
@@ -127,3 +130,23 @@ def test_toxicity_learns_from_every_labelled_row(spark):
     assert len(used) > 20 and (model.table[whole[used], 0] > 0.05).mean() > 0.95
     score = score_texts(given, model).toPandas().set_index("doc_id")["score"]
     assert score[score.index >= 1000].min() > score[score.index < 1000].max()
+
+
+def test_toxicity_sends_words_compressed(spark, monkeypatch):
+    """No text crosses the network in training: its words do, compressed, whatever the number of labels."""
+    rows = [(i, f"Some plain words, and the {i % 50}th of many more of them; " * 20, "en", i % 9 == 0) for i in range(900)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic boolean").selectExpr("doc_id", "text", "lang", "int(toxic) toxic")
+    written = []
+    monkeypatch.setattr(toxicity, "materialise", lambda df: written.append(df) or materialise(df))
+    train(given.select("doc_id", "text", "lang"), given.select("doc_id", "toxic"))
+    plan = written[-1]._jdf.queryExecution().optimizedPlan().toString()
+    join = plan[plan.index("Join") :].splitlines()[0]
+    assert "merge" in join and "text#" not in plan[: plan.index("MapInArrow run")]
+    sent = toxicity.squeezed(given).collect()
+    assert sum(len(r.words) for r in sent) * 2 < sum(len(t) for _, t, _, _ in rows)
+    hashes = _Hashes()
+    for r in sent[:50]:
+        words = zstandard.decompress(r.words).split()
+        assert (toxicity._rows_of(words, hashes) == word_rows(rows[r.doc_id][1], hashes)).all()
+    odd = spark.createDataFrame([(1, "", None), (2, " \n!", "en"), (3, "É a", "fr")], "doc_id long, text string, lang string")
+    assert [zstandard.decompress(r.words) for r in toxicity.squeezed(odd).orderBy("doc_id").collect()] == [b"", b"", "É a".encode()]
