@@ -533,3 +533,20 @@ def test_kept_postings_are_sorted_in_bounded_parts(spark, tmp_path, monkeypatch)
     assert len(whole.postings.inputFiles()) == 1 and len(parts.postings.inputFiles()) > 3
     found = [{(r.query_id, r.node_id, r.score) for r in bm25.best_matches(i, asked).collect()} for i in (whole, parts)]
     assert found[0] == found[1] and len(found[0]) >= 8
+
+
+def test_ranks_of_all_nodes_without_looking_up_ids(spark):
+    """An index used once gives ids with its scores; ranks are written without scores; repeated ids stay apart."""
+    docs = [(i % 37, f"red {'fox ' * (i % 5)} word{i % 11}") for i in range(90)] + [(99, None)]
+    index = bm25.build_index(spark.createDataFrame(docs, "doc_id long, text string"), node="doc_id")
+    queries = spark.createDataFrame([(1, "fox word3"), (2, "red"), (3, "absent")], "query_id long, query string")
+    hits = bm25.matched_scores(index, queries).withColumn("score", F.round("score", 6))
+    assert "node_id" in index.postings.columns
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Aggregate [query_id") and "node_id" in plan.splitlines()[0]  # no join above the scores
+    got = sorted((r.query_id, r.rank, r.node_id) for r in fusion.ranked_all(hits).collect())
+    want = []
+    for q in (1, 2):
+        own = sorted((-r.score, r.node_id) for r in hits.filter(F.col("query_id") == q).collect())
+        want += [(q, i + 1, n) for i, (_, n) in enumerate(own)]
+    assert got == want and fusion.ranked_all(hits).columns == ["query_id", "node_id", "rank"]
