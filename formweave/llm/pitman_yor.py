@@ -1,8 +1,7 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-There is a restaurant for every context, the class of the word before (its last
-letters and length), and all of them share one parent, the unigram restaurant, over a
-base measure that gives half its mass to words never seen. A customer is a token;
+There is a restaurant for every context, the word before (the end, at the start of a
+text), and all of them share one parent, the unigram restaurant, over a base measure that gives half its mass to words never seen. A customer is a token;
 each table of a context restaurant is a customer of the parent. Seating is
 sampled by Gibbs sweeps: block by block, all customers of one word in one
 restaurant stand up and are seated again one by one with the probabilities of
@@ -13,45 +12,49 @@ last sweeps.
 
 The corpus is counted by chunks of texts: a chunk sends each different (word, context)
 once, with its count, to the shard of the word, so a frequent word or pair is one
-entry per chunk. A word's restaurants meet in one shard: at most CONTEXTS
-entries. Between sweeps only the restaurants' totals, a vector of CONTEXTS numbers, pass
-through the driver. Shards send back one probability per entry received, and
+entry per chunk. A word's restaurants meet in one shard: as many entries as different
+words come before it. Between sweeps the shards exchange the totals of their contexts: each
+sends them to the contexts' groups, which add them and send them back; a few numbers
+about the parent pass through the driver. Shards send back one probability per entry received, and
 chunks sum them over their texts. Everything grows with the corpus in proportion.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formweave.llm.common import batches, remainder
 from formweave.session import materialise
 
-CONTEXTS = 4096
+CONTEXTS = 4096  # groups of contexts whose totals are added together, at most
 SWEEPS, KEPT, TRIES = 3, 2, 2
 CHUNK_TOKENS = 3_000_000
 SHARD_BYTES, MIN_SHARDS = 24 << 20, 32
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-_SENT = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("words", pa.binary()), ("pairs", pa.binary())])
-_SENT_SQL = "chunk long, shard int, words binary, pairs binary"
+_SENT = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("words", pa.binary()), ("pairs", pa.binary()), ("contexts", pa.binary())])
+_SENT_SQL = "chunk long, shard int, words binary, pairs binary, contexts binary"
+_TOTAL = pa.schema([("owner", pa.int32()), ("shard", pa.int32()), ("contexts", pa.binary()), ("values", pa.binary()), ("facts", pa.list_(pa.float64()))])
+_TOTAL_SQL = "owner int, shard int, contexts binary, values binary, facts array<double>"
 _WORD = np.dtype([("hash", "<u8"), ("pairs", "<u4")])
 _DOC = np.dtype([("doc", "<i8"), ("null", "?"), ("held", "?"), ("tokens", "<u4")])
 
 
+def _planes(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
 def _packed(values: np.ndarray | bytes) -> bytes:
     """Compressed; numbers by their bytes' places, as high bytes hardly differ."""
-    if not isinstance(values, bytes):
-        values = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
-    return zstandard.compress(values, 3)
+    return zstandard.compress(values if isinstance(values, bytes) else _planes(values), 3)
 
 
 def _numbers(data: bytes, kind: str) -> np.ndarray:
@@ -59,6 +62,15 @@ def _numbers(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def _close(keys: np.ndarray) -> bytes:
+    """Sorted keys by the steps between them."""
+    return _packed(np.diff(keys, prepend=np.uint64(0)).astype("<u8"))
+
+
+def _opened(data: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(data, "<u8"))
+
+
 class _Local(dict):
     """Numbers words in order of appearance; the empty word, the end of a text, is 0."""
 
@@ -72,31 +84,32 @@ def words_of(text: str) -> list[bytes]:
     return [*text.encode("utf-8", "replace").translate(_LOWER).split(), b""]
 
 
-def context_of(word: bytes) -> int:
-    """The context that a word is for the next one; 0 is the start of a text."""
-    return zlib.crc32(bytes([min(len(word), 8)]) + word[-3:]) % (CONTEXTS - 1) + 1 if word else 0
-
-
 def _chunk(chunk: int, docs: list[tuple], vocabulary: _Local, tokens: list[np.ndarray], shards: int) -> Iterator[pa.RecordBatch]:
     """One row for each shard with the chunk's different pairs, and one with its texts as numbers of those."""
     names = list(vocabulary)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, names), np.uint64, len(names))
-    contexts = np.fromiter(map(context_of, names), np.uint16, len(names))
     shard = (hashes % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")  # words by shard
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
+    # A context goes by 48 bits of its hash: among ten million words two meet with a chance of a sixth.
+    contexts = hashes >> np.uint64(16)
+    by_hash = np.argsort(contexts)
+    contexts = contexts[by_hash]
+    rank = np.empty(len(order), np.uint32)
+    rank[by_hash] = np.arange(len(order))
     lengths = np.array([len(t) for t in tokens])
     # One long array at a time: a chunk's are most of a worker's memory.
     keys = place[np.concatenate(tokens)]
-    keys *= CONTEXTS
-    keys += np.concatenate([np.append(np.uint16(0), contexts[t[:-1]]) for t in tokens])
+    keys *= len(names)
+    keys += np.concatenate([rank[np.append(np.uint32(0), t[:-1])] for t in tokens])
     train = np.repeat(np.array([not d[1] for d in docs]), lengths)
     pairs, inverse = np.unique(keys, return_inverse=True)
     inverse = inverse.astype(np.uint32)
     del keys
     counts = np.bincount(inverse[train], minlength=len(pairs))
-    of_word = pairs // CONTEXTS
+    of_word, before = np.divmod(pairs, len(names))
+    del pairs
     cuts = np.searchsorted(shard[order], np.arange(shards + 1))
     ends = np.searchsorted(of_word, cuts)
     per_word = np.bincount(of_word, minlength=len(order))
@@ -107,10 +120,12 @@ def _chunk(chunk: int, docs: list[tuple], vocabulary: _Local, tokens: list[np.nd
             words["hash"], words["pairs"] = hashes[order[a:b]], per_word[a:b]
             small = np.minimum(counts[c:d], 255).astype(np.uint8)
             large = counts[c:d][counts[c:d] >= 255].astype("<u8")
-            data = (pairs[c:d] % CONTEXTS).astype("<u2").tobytes() + small.tobytes() + large.tobytes()
-            yield pa.record_batch([[chunk], pa.array([s], pa.int32()), pa.array([words.tobytes()], pa.binary()), pa.array([_packed(data)], pa.binary())], schema=_SENT)
+            used, context = np.unique(before[c:d], return_inverse=True)
+            data = _planes(context.astype("<u4")) + small.tobytes() + large.tobytes()
+            parts = [pa.array([v], pa.binary()) for v in (words.tobytes(), _packed(data), _close(contexts[used]))]
+            yield pa.record_batch([[chunk], pa.array([s], pa.int32()), *parts], schema=_SENT)
     held = np.array([(0 if i is None else i, i is None, h, n) for (i, h), n in zip(docs, lengths)], _DOC)
-    yield pa.record_batch([[chunk], pa.array([-1], pa.int32()), pa.array([held.tobytes()], pa.binary()), pa.array([_packed(inverse.astype("<u4", copy=False))], pa.binary())], schema=_SENT)
+    yield pa.record_batch([[chunk], pa.array([-1], pa.int32()), pa.array([held.tobytes()], pa.binary()), pa.array([_packed(inverse.astype("<u4", copy=False))], pa.binary()), pa.array([b""], pa.binary())], schema=_SENT)
 
 
 def count_chunks(docs: DataFrame, shards: int) -> DataFrame:
@@ -146,24 +161,39 @@ class Shard:
     words: int
     back: list[np.ndarray]  # for each sender, the merged pair of each of its pairs
     back_word: list[np.ndarray]
+    contexts: np.ndarray | None = None  # their hashes, by group
 
 
-def merged(words: list[bytes], pairs: list[bytes]) -> Shard:
+def merged(words: list[bytes], pairs: list[bytes], contexts: list[bytes], groups: int) -> Shard:
+    every = [_opened(c) for c in contexts]
+    known, of_context = np.unique(np.concatenate(every), return_inverse=True)
+    by_group = np.argsort(known % np.uint64(groups), kind="stable")
+    at = np.empty(len(known), np.uint32)
+    at[by_group] = np.arange(len(known))
+    of_context = np.split(at[of_context], np.cumsum([len(c) for c in every])[:-1])
     heads = [np.frombuffer(w, _WORD) for w in words]
     parts = []
-    for head, data in zip(heads, pairs):
+    for head, data, context in zip(heads, pairs, of_context):
         n, data = int(head["pairs"].sum()), zstandard.decompress(data)
-        count = np.frombuffer(data, np.uint8, n, 2 * n).astype(np.int64)
-        count[count == 255] = np.frombuffer(data, "<u8", offset=3 * n).astype(np.int64)
-        parts.append((np.frombuffer(data, "<u2", n).astype(np.int64), count))
+        count = np.frombuffer(data, np.uint8, n, 4 * n).astype(np.int32)
+        count[count == 255] = np.frombuffer(data, "<u8", offset=5 * n)
+        local = np.ascontiguousarray(np.frombuffer(data, np.uint8, 4 * n).reshape(4, n).T).view("<u4").ravel()
+        parts.append((context[local], count))
     hashes, of_word = np.unique(np.concatenate([h["hash"] for h in heads]), return_inverse=True)
     sizes = np.concatenate([h["pairs"] for h in heads])
-    keys, of_pair = np.unique(np.repeat(of_word, sizes) * CONTEXTS + np.concatenate([p[0] for p in parts]), return_inverse=True)
-    count = np.bincount(of_pair, weights=np.concatenate([p[1] for p in parts]), minlength=len(keys)).astype(np.int64)
+    # Half as wide where it will do, one long array at a time: a shard's are most of a worker's memory.
+    lengths, received = [len(c) for c, _ in parts], np.concatenate([n for _, n in parts])
+    keys = np.repeat(of_word, sizes) * len(known)
+    keys += np.concatenate([c for c, _ in parts])
+    del parts, of_context
+    keys, of_pair = np.unique(keys, return_inverse=True)
+    of_pair = of_pair.astype(np.uint32)
+    count = np.bincount(of_pair, weights=received, minlength=len(keys)).astype(np.int64)
+    word = (keys // len(known)).astype(np.uint32)
+    keys %= len(known)
     cut = lambda a, lengths: np.split(a, np.cumsum(lengths)[:-1])
-    return Shard(
-        keys // CONTEXTS, keys % CONTEXTS, count, len(hashes), cut(of_pair, [len(p[0]) for p in parts]), cut(of_word, [len(h) for h in heads])
-    )
+    back = cut(of_pair, lengths), cut(of_word, [len(h) for h in heads])
+    return Shard(word, keys.astype(np.uint32), count, len(hashes), *back, known[by_group])
 
 
 @dataclass
@@ -283,69 +313,107 @@ def _discount(ones: float, twos: float) -> float:
     return float(np.clip(ones / (ones + 2 * twos) if ones else 0.5, 0.05, 0.95))
 
 
-def _counted(gathered: DataFrame) -> Model:
+def _totals(number: int, shard: Shard, groups: int, values: list[np.ndarray], facts: list[float]) -> Iterator[pa.RecordBatch]:
+    """A shard's numbers by context, one row for each group of contexts, and what is summed over all shards."""
+    cuts = np.searchsorted(shard.contexts % np.uint64(groups), np.arange(groups + 1))
+    yield pa.record_batch([[-1], [number], [b""], [b""], [facts]], schema=_TOTAL)
+    for g in np.flatnonzero(np.diff(cuts)):
+        part = slice(cuts[g], cuts[g + 1])
+        sent = _packed(np.concatenate([v[part] for v in values]).astype("<u8"))
+        yield pa.record_batch([[int(g)], [number], [_close(shard.contexts[part])], [sent], [None]], schema=_TOTAL)
+
+
+def _exchanged(rows: DataFrame, facts: int) -> tuple[np.ndarray, DataFrame]:
+    """Facts summed, and for each shard (shard, told) its contexts' numbers summed over all shards, by group."""
+    schema = pa.schema([("owner", pa.int32()), ("shard", pa.int32()), ("values", pa.binary())])
+
+    def add(t: pa.Table) -> pa.Table:
+        if t["owner"][0].as_py() < 0:
+            summed = np.sum([f.as_py() for f in t["facts"]], 0)
+            return pa.table([t["owner"][:1], pa.array([-1], pa.int32()), pa.array([summed.tobytes()], pa.binary())], schema=schema)
+        contexts = [_opened(c.as_py()) for c in t["contexts"]]
+        values = [_numbers(v.as_py(), "<u8").reshape(-1, len(c)) for v, c in zip(t["values"], contexts)]
+        _, at = np.unique(np.concatenate(contexts), return_inverse=True)
+        sums = np.stack([np.bincount(at, weights=v)[at] for v in np.concatenate(values, 1)]).astype("<u8")
+        ends = np.cumsum([len(c) for c in contexts])
+        back = [_packed(sums[:, e - len(c) : e].ravel()) for e, c in zip(ends, contexts)]
+        return pa.table([t["owner"], t["shard"], pa.array(back, pa.binary())], schema=schema)
+
+    added = rows.groupBy("owner").applyInArrow(add, "owner int, shard int, values binary")
+    told = added.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("owner", "values"))).alias("told"))
+    told = materialise(told.select("shard", F.col("told.values").alias("told")))
+    whole = told.filter("shard < 0").first()
+    return np.zeros(facts) if whole is None else np.frombuffer(whole["told"][0]), told.filter("shard >= 0")
+
+
+def _with_told(gathered: DataFrame, told: list[DataFrame]) -> DataFrame:
+    """The shards beside the totals of their contexts, before each sweep so far."""
+    for k, t in enumerate(told):
+        gathered = gathered.join(t.withColumnRenamed("told", f"told{k}").hint("shuffle_hash"), "shard")
+    return gathered
+
+
+def _local(model: Model, told: list[list[bytes]]) -> Model:
+    """The model with the numbers of one shard's contexts."""
+    first = np.concatenate([_numbers(v, "<u8").reshape(2, -1) for v in told[0]], 1).astype(float)
+    tables = [first[1], *(np.concatenate([_numbers(v, "<u8") for v in t]).astype(float) for t in told[1:])]
+    totals = [replace(t, tables=own) for t, own in zip(model.totals, tables)]
+    return replace(model, customers=first[0], totals=totals)
+
+
+def _counted(gathered: DataFrame, groups: int) -> tuple[Model, DataFrame]:
     """Counts over all shards, and the totals with one table a pair."""
-    schema = pa.schema([("customers", pa.list_(pa.float64())), ("tables", pa.list_(pa.float64())), ("facts", pa.list_(pa.float64()))])
 
     def count(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(stream):
-            for words, pairs in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                shard = merged(words, pairs)
+            for number, words, pairs, contexts in zip(*(b.column(i).to_pylist() for i in range(4))):
+                shard = merged(words, pairs, contexts, groups)
                 own = np.bincount(shard.word, weights=shard.count, minlength=shard.words)
                 sizes = lambda c: [(c == 1).sum(), (c == 2).sum()]
                 facts = [own.sum(), (own > 0).sum(), *sizes(shard.count), *sizes(own), (shard.count > 0).sum()]
-                vector = lambda w: np.bincount(shard.context, weights=w, minlength=CONTEXTS)
-                yield pa.record_batch([pa.array([v], t) for v, t in zip((vector(shard.count), vector(shard.count > 0), facts), schema.types)], schema=schema)
-
-    rows = gathered.mapInArrow(count, "customers array<double>, tables array<double>, facts array<double>")
-    customers, tables, facts = _summed(rows, [("customers", CONTEXTS), ("tables", CONTEXTS), ("facts", 7)])
-    tokens, words, one, two, parent_one, parent_two, pairs = facts
-    model = Model(customers, int(tokens), int(words), _discount(one, two), _discount(parent_one, parent_two))
-    model.totals.append(Totals(tables, float(pairs), float(words)))
-    return model
-
-
-def _summed(rows: DataFrame, columns: list[tuple[str, int]]) -> list[np.ndarray]:
-    """Sums of array columns, by element: a bounded number of numbers, summed on the executors."""
-    added = rows.select(*[F.posexplode(F.concat(*[F.col(c) for c, _ in columns])).alias("at", "value")]).groupBy("at").agg(F.sum("value").alias("value")).collect()
-    flat = np.zeros(sum(n for _, n in columns))
-    for r in added:
-        flat[r["at"]] = r["value"]
-    return np.split(flat, np.cumsum([n for _, n in columns])[:-1])
+                vector = lambda w: np.bincount(shard.context, weights=w, minlength=len(shard.contexts))
+                yield from _totals(number, shard, groups, [vector(shard.count), vector(shard.count > 0)], [float(f) for f in facts])
+                del shard
 
+    (tokens, words, one, two, parent_one, parent_two, pairs), told = _exchanged(gathered.mapInArrow(count, _TOTAL_SQL), 7)
+    none = np.zeros(0)
+    model = Model(none, int(tokens), int(words), _discount(one, two), _discount(parent_one, parent_two))
+    model.totals.append(Totals(none, float(pairs), float(words)))
+    return model, told
 
-def _swept(gathered: DataFrame, model: Model, number: int) -> Totals:
-    schema = pa.schema([("tables", pa.list_(pa.float64())), ("parent", pa.list_(pa.float64()))])
 
+def _swept(gathered: DataFrame, told: list[DataFrame], model: Model, number: int, groups: int) -> tuple[Totals, DataFrame]:
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(stream):
-            for words, pairs in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                shard = merged(words, pairs)
-                for _, tables, customers, parent in sweeps(shard, model, number):
+            for n, words, pairs, contexts, _, *heard in zip(*(c.to_pylist() for c in b.columns)):
+                shard = merged(words, pairs, contexts, groups)
+                for _, tables, customers, parent in sweeps(shard, _local(model, heard), number):
                     pass
-                by_context = np.bincount(shard.context, weights=tables, minlength=CONTEXTS)
-                yield pa.record_batch([pa.array([v], t) for v, t in zip((by_context, [customers.sum(), parent.sum()]), schema.types)], schema=schema)
+                by_context = np.bincount(shard.context, weights=tables, minlength=len(shard.contexts))
+                yield from _totals(n, shard, groups, [by_context], [float(customers.sum()), float(parent.sum())])
+                del shard, tables
 
-    tables, parent = _summed(gathered.mapInArrow(run, "tables array<double>, parent array<double>"), [("tables", CONTEXTS), ("parent", 2)])
-    return Totals(tables, float(parent[0]), float(parent[1]))
+    parent, heard = _exchanged(_with_told(gathered, told).mapInArrow(run, _TOTAL_SQL), 2)
+    return Totals(np.zeros(0), float(parent[0]), float(parent[1])), heard
 
 
-def _answers(gathered: DataFrame, model: Model) -> DataFrame:
+def _answers(gathered: DataFrame, told: list[DataFrame], model: Model, groups: int) -> DataFrame:
     """For each chunk and shard: the count of each word sent, and log10 probabilities of its pairs."""
     schema = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("pairs", pa.binary()), ("counts", pa.binary()), ("scores", pa.binary())])
 
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(stream):
-            for number, words, pairs, chunks in zip(*(b.column(i).to_pylist() for i in range(4))):
-                shard = merged(words, pairs)
-                score = np.log10(probabilities(shard, model)).astype("<f4")
+            for number, words, pairs, contexts, chunks, *heard in zip(*(c.to_pylist() for c in b.columns)):
+                shard = merged(words, pairs, contexts, groups)
+                score = np.log10(probabilities(shard, _local(model, heard))).astype("<f4")
                 own = np.bincount(shard.word, weights=shard.count, minlength=shard.words).astype("<u8")
                 for chunk, head, pair, word in zip(chunks, words, shard.back, shard.back_word):
                     sizes = np.frombuffer(head, _WORD)["pairs"].astype("<u4")
                     row = ([chunk], pa.array([number], pa.int32()), *(pa.array([_packed(v)], pa.binary()) for v in (sizes, own[word], score[pair])))
                     yield pa.record_batch(list(row), schema=schema)
+                del shard, score, pair
 
-    return gathered.mapInArrow(run, "chunk long, shard int, pairs binary, counts binary, scores binary")
+    return _with_told(gathered, told).mapInArrow(run, "chunk long, shard int, pairs binary, counts binary, scores binary")
 
 
 def _scored(texts: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
@@ -403,13 +471,22 @@ def score_language(docs: DataFrame, modulus: int = 5) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(MIN_SHARDS, size // SHARD_BYTES)
     sent = materialise(count_chunks(texts, shards))
-    gathered = materialise(
+    groups = int(min(shards, CONTEXTS))
+    # Kept where it was dealt to, so that the totals come to the shards and not the shards to them.
+    gathered = (
         sent.filter("shard >= 0")
+        .repartition(int(shards), "shard")
         .groupBy("shard")
-        .agg(F.collect_list(F.struct("chunk", "words", "pairs")).alias("sent"))
-        .select("shard", F.col("sent.words").alias("words"), F.col("sent.pairs").alias("pairs"), F.col("sent.chunk").alias("chunks"))
+        .agg(F.collect_list(F.struct("chunk", "words", "pairs", "contexts")).alias("sent"))
+        .select("shard", *[F.col(f"sent.{c}").alias(c) for c in ("words", "pairs", "contexts")], F.col("sent.chunk").alias("chunks"))
+        .persist(StorageLevel.DISK_ONLY)
     )
-    model = _counted(gathered)
+    model, first = _counted(gathered, groups)
+    told = [first]
     for number in range(1, SWEEPS + 1):
-        model.totals.append(_swept(gathered, model, number))
-    return _scored(sent.filter("shard < 0"), _answers(gathered, model), model)
+        totals, heard = _swept(gathered, told, model, number, groups)
+        model.totals.append(totals)
+        told.append(heard)
+    answers = materialise(_answers(gathered, told, model, groups))
+    gathered.unpersist()
+    return _scored(sent.filter("shard < 0"), answers, model)

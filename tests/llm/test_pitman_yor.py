@@ -92,3 +92,16 @@ def test_tables_follow_their_distribution():
     drawn, _ = seat(np.full(n, count), np.full(n, rest), np.full(n, p), concentration, discount, np.random.default_rng(1))
     for t, q in chance.items():
         assert abs((drawn == t).mean() - q) < 4 * math.sqrt(q / n) + 2e-3
+
+
+def test_every_previous_word_is_a_context(spark):
+    """Words of one ending and length were one context: the word after them could not be told."""
+    names = [f"{a}{b}axyz" for a in "bcdfghjklm" for b in "bcdfghjklm"]
+    texts = [f"{n} then{i % 2}" for i, n in enumerate(names)] * 30
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    held = [i for i in range(10000, 12000) if zlib.crc32(str(i).encode()) % 5 == 1][: len(names)]
+    swapped = spark.createDataFrame([(h, f"{n} then{1 - i % 2}") for i, (h, n) in enumerate(zip(held, names))], docs.schema)
+    scored = score_language(docs.union(swapped)).filter("held_out").collect()
+    right = [r.score for r in scored if r.doc_id < 10000]
+    wrong = [r.score for r in scored if r.doc_id >= 10000]
+    assert len(wrong) == len(names) and min(right) > max(wrong) + 0.2 and np.mean(right) > np.mean(wrong) + 0.5
