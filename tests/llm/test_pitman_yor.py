@@ -1,12 +1,15 @@
 """The language model: exact counts, proper probabilities, better than the base."""
 
 import math
+import os
 import zlib
 from collections import Counter
 
 import numpy as np
 
+from formweave.llm import pitman_yor
 from formweave.llm.pitman_yor import CONTEXTS, Model, Shard, Totals, probabilities, score_language, seat, sweeps, words_of
+from formweave.session import shared_dir
 
 
 def base(rows):
@@ -105,3 +108,35 @@ def test_every_previous_word_is_a_context(spark):
     right = [r.score for r in scored if r.doc_id < 10000]
     wrong = [r.score for r in scored if r.doc_id >= 10000]
     assert len(wrong) == len(names) and min(right) > max(wrong) + 0.2 and np.mean(right) > np.mean(wrong) + 0.5
+
+
+def test_only_scores_are_left(spark):
+    """Copies of the pairs, totals and answers stayed in the shared folder, and shards were merged in every pass."""
+    files = lambda: {os.path.join(d, f) for d, _, fs in os.walk(shared_dir(spark)) for f in fs}
+    rows = [(i, f"w{i % 7} and then w{i % 11}") for i in range(200)]
+    before = files()
+    scored = score_language(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    left = {os.path.dirname(f) for f in files() - before}
+    assert len(left) == 1 and {r.doc_id for r in spark.read.parquet(left.pop()).collect()} == set(range(200))
+    assert found(scored) == base(rows) and not [t for t in spark.catalog.listTables() if t.name.startswith("formweave_")]
+
+
+def test_each_sweep_goes_on_from_the_last():
+    """One sweep from a given seating is what all sweeps run from the start come to."""
+    shard, model, _, _ = small()
+    last, seatings = None, []
+    for s, *shown in sweeps(shard, model, 3):
+        last = pitman_yor.sweep(shard, model, s, last)
+        assert all(np.array_equal(a, b) for a, b in zip(shown, last.shown(shard)))
+        seatings.append((s, *shown))
+    assert np.array_equal(probabilities(shard, model, seatings[1:]), probabilities(shard, model))
+
+
+def test_distinct_keys():
+    picks = np.random.default_rng(4)
+    for size, bound in ((0, 9), (1, 1), (5000, 700), (5000, 1 << 49), (5000, 1 << 62)):
+        keys = picks.integers(0, bound, size)
+        keys = np.append(keys, keys[: size // 3])
+        values, at = np.unique(keys, return_inverse=True)
+        got, of_key = pitman_yor._distinct(keys.copy(), bound)
+        assert np.array_equal(got, values) and np.array_equal(of_key, at)
