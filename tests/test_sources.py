@@ -1,5 +1,6 @@
 import io
 import os
+import re
 import zipfile
 
 import pyarrow as pa
@@ -419,3 +420,27 @@ def test_rows_of_one_id_share_a_file(spark, tmp_path, monkeypatch):
     parts = [f for d, _, names in os.walk(made[0]) for f in names if f.endswith(".txt")]
     tasks = {f.split("-")[1] for f in parts}
     assert len(parts) == 40 and len(tasks) > 1
+
+
+def test_documents_are_written_into_few_folders(spark, tmp_path):
+    """Files of many ids share folders named so that paths keep the order of the ids; no file is left half written."""
+    from formweave.queries.folders import put_texts
+
+    rows = [(i, f"text {i}") for i in range(150)] + [(7, "again"), (8, None), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    put_texts(docs, str(tmp_path / "out"))
+    found = {os.path.relpath(os.path.join(d, f), tmp_path / "out"): open(os.path.join(d, f)).read() for d, _, names in os.walk(tmp_path / "out") for f in names}
+    texts = {re.match(r"\w{1,4}/doc_id=(\w+)-\d{5}\.txt$", path)[1]: text for path, text in found.items()}
+    expected = {str(i): f"text {i}\n" for i in range(150)} | {"null": "no id\n"}
+    assert sorted(texts.pop("7").split("\n")) == ["", "again", "text 7"] and sorted(texts.pop("8").split("\n")) == ["", "", "text 8"]
+    assert texts == {k: v for k, v in expected.items() if k not in ("7", "8")}
+    assert len(os.listdir(tmp_path / "out")) <= 101
+    ids = [re.search("doc_id=(\\d+)", p)[1] for p in sorted(found) if "null" not in p]
+    assert ids == sorted(ids, key=lambda i: i + "/")
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    folder = put(tmp_path / "in", {f"{i}.txt": "some word" for i in range(200)})
+    index = open_folder(spark, str(tmp_path / "index"), folder)
+    assert index.texts.count() == 200
+    assert len([f for f in os.listdir(tmp_path / "index" / "texts") if f.startswith("part-")]) <= 4
