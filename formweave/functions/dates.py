@@ -115,8 +115,11 @@ def to_moment(value: Column) -> Column:
         at = F.instr(F.lit(MONTHS), name)
         return F.when(at % 3 == 1, F.floor(at / 3) + 1).otherwise(0).cast("string")
 
+    # The forms exclude each other; the commonest is tried first.
     iso = (
-        F.when(s.rlike(ymd), F.regexp_replace(s, ymd, "$1-$2-$3$4"))
+        # A cast alone would read "12:30" as a time of today.
+        F.when(s.rlike("^[0-9]{4}(?:-|$)"), s)
+        .when(s.rlike(ymd), F.regexp_replace(s, ymd, "$1-$2-$3$4"))
         .when(s.rlike(mdy), F.regexp_replace(s, mdy, "$3-$1-$2$4"))
         .when(s.rlike(dmy), F.regexp_replace(s, dmy, "$3-$2-$1$4"))
         .when(s.rlike(compact), F.regexp_replace(s, compact, "$1-$2-$3"))
@@ -125,8 +128,6 @@ def to_moment(value: Column) -> Column:
             s.rlike(named_us),
             F.concat(F.regexp_replace(s, named_us, "$3-"), month(named_us, 1), F.regexp_replace(s, named_us, "-$2$4")),
         )
-        # A cast alone would read "12:30" as a time of today.
-        .when(s.rlike("^[0-9]{4}(?:-|$)"), s)
     )
     dated = F.length(s) > 4
     return let(

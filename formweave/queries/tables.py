@@ -798,7 +798,7 @@ def workbook_markdown(spark: SparkSession, sf: str) -> DataFrame:
 
 def workbook_range(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of all books within the requested range, by each sheet's own date column."""
-    rows = workbook.decode_workbooks(_order_books(spark, sf))
+    rows = workbook.decode_workbooks(_order_books(spark, sf), dated=True)
     kept = workbook.filter_rows(rows, request_range(spark, REQUEST))
     return kept.select("path", "sheet", "row_idx", F.coalesce(joined(F.col("cells")), F.lit("none")).alias("cells"))
 

@@ -444,3 +444,74 @@ def test_small_files_share_tasks(spark, tmp_path):
     index = open_folder(spark, str(tmp_path / "index"), folder)
     assert index.texts.count() == 200
     assert len([f for f in os.listdir(tmp_path / "index" / "texts") if f.startswith("part-")]) <= 4
+
+
+def test_dated_rows_are_filtered_where_they_lie(spark, tmp_path, monkeypatch):
+    """The date column found while decoding is that of date_columns(); no group, join or copy is made."""
+    dates = [[f"2020-07-{d:02d}", "5"] for d in range(1, 9)]
+    long = [["x", "1"] for _ in range(workbook._ROWS_PER_BATCH - 50)]
+    books = {
+        "a": {
+            "byname": [["id", "UpdateTime", "日期"], ["1", "2020-07-01", "x"], ["2", "2020-09-30", "x"], ["3", "bad", "x"]],
+            "bycontent": [["w", "v"], *dates, ["x", "6"], ["y", "7"]], "weak": [["w", "v"], *dates[:7], ["x", "6"], ["y", "7"], ["z", "8"]],
+            "second": [["w", "v"], ["q"], *[[str(i), "2020-07-03"] for i in range(9)]], "empty": [["date"]], "bare": [],
+        },
+        "b": {"long": [["w", "v"], *dates * 12, *long, *dates * 12], "gap": [["w"], *[[] for _ in range(120)], ["2020-07-04"], ["2021-01-01"]]},
+    }
+    files = {f"{k}.xlsx": xlsx(v, shared=False) for k, v in books.items()} | {"bad.xlsx": b"no zip"}
+    swap = lambda name, data: re.sub(rb'(<row r="2">.*?</row>)(.*)(</sheetData>)', rb"\2\1\3", data) if "sheet" in name else data
+    files["c.xlsx"] = _rezipped(files["b.xlsx"], swap)
+    folder = put(tmp_path, files)
+    plain, dated = read_workbooks(spark, folder), read_workbooks(spark, folder, dated=True)
+    found = {(r.path, r.sheet): r.date_idx for r in dated.filter("cells is not null").select("path", "sheet", "date_idx").distinct().collect()}
+    assert found == {(r.path, r.sheet): r.date_idx for r in date_columns(plain.filter("cells is not null")).collect()}
+    request = spark.sql("select date'2020-07-01' start_date, date'2020-08-31' end_date")
+    expected = filter_rows(plain, request)
+    monkeypatch.setattr(workbook, "materialise", lambda *a, **k: pytest.fail("a copy was written"))
+    kept = filter_rows(dated, request)
+    assert kept.columns == plain.columns and sorted(map(str, kept.collect())) == sorted(map(str, expected.collect()))
+    assert "Exchange" not in kept._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_ordinary_parts_need_no_parser(monkeypatch):
+    books = [xlsx({k: BOOK[k] for k in ("first", "empty")}), xlsx({"s": [["a", 7], [True, ("date", 44013.25)]]}, date1904=True)]
+    expected = [_book_rows(_rezipped(b, lambda name, data: data + b"<!-- -->")) for b in books]
+    monkeypatch.setattr(workbook.ElementTree, "fromstring", lambda *a: pytest.fail("a part was parsed"))
+    monkeypatch.setattr(workbook.zipfile, "ZipFile", lambda *a: pytest.fail("a reader was made"))
+    assert [_book_rows(b) for b in books] == expected and len(expected[0]) == 4
+
+
+def test_other_parts_read_as_the_parser_reads_them(monkeypatch):
+    """Parts changed in all ways give the rows, or the failure, that the parser gives."""
+
+    def outcome(content):
+        try:
+            return _book_rows(content)
+        except Exception as e:  # noqa: BLE001
+            return f"{type(e).__name__}: {e}"
+
+    changes = [
+        (b"<v>", b"<v>&#49;"), (b"<v>", b"<v>\x01"), (b"<v>", b"<v>]]>"), (b"<v>", b"<!-- c --><v>"), (b"<v>", b"<f>A1</f><v>"), (b"</v>", b"</w>"),
+        (b"<c r=", b'<c r="A1" r='), (b"<c r=", b'<c x="1" r='), (b"<c r=", b"<x:c r="), (b"<row ", b'<row spans="1:3" '), (b"<row ", b'<row ht="3" '),
+        (b"</row>", b"</row><row/>"), (b"</row>", b'<c s="1"/><c/></row>'), (b"<t>", b"<t>\r\n"), (b"<t>", b"<t> "), (b"<t>", b"<t>\xff"), (b"<t>", b"<r><t>z</t></r><t>"),
+        (b"<sheets>", b"<bookViews/><sheets>"), (b' r:id="', b' q:id="'), (b' r:id="', b' id="rId1" r:id="'), (b'Target="', b'Target="/xl/'), (b"numFmtId", b"numfmtId"),
+        (b'"yyyy/mm/dd"', b'"0.00"'), (b'"yyyy/mm/dd"', b"\"[d]0 'm'\""), (b'xmlns="http://', b'xmlns="https://'), (b'xmlns="http', b'xmlns:x="http'),
+        (b"<worksheet", b'<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\r\n<worksheet'), (b"<worksheet", b'<?xml version="1.0" encoding="latin-1"?><worksheet'),
+        (b"</worksheet>", b"</worksheet>\xc2\xa0"), (b"</worksheet>", b"</worksheet> \n"), (b"</worksheet>", b""), (b"</sst>", b"</sst><sst/>"), (b"<v>", b"<v>9"), (b"<v>", b"<v> "),
+    ]
+    books = [xlsx(BOOK), xlsx(BOOK, shared=False, date1904=True)]
+    made = [_rezipped(b, lambda name, data, old=old, new=new: data.replace(old, new)) for b in books for old, new in changes]
+    found = [outcome(m) for m in made]
+    monkeypatch.setattr(workbook, "_plain", lambda raw, whole: None)
+    assert found == [outcome(m) for m in made]
+    assert sum(isinstance(f, str) for f in found) > 10 and sum(isinstance(f, list) for f in found) > 30
+
+
+def test_parts_of_written_books_are_packed_once():
+    from formweave.queries import office
+
+    office._kept_part.cache_clear()
+    books = [xlsx({"s": [["key"], [i]], "notes": [["empty"]]}) for i in range(50)]
+    assert [_book_rows(b)[1][2] for b in books] == [[str(i)] for i in range(50)]
+    # Of six parts of a book, the sheet alone differs.
+    assert office._kept_part.cache_info().misses == 5 + 50
